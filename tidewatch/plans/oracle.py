@@ -160,3 +160,83 @@ LEFT JOIN ({agg}) a ON a.channel_id = i.channel_id"""
 def binding_features_sql(name: str) -> str:
     b, ch, vi = BINDING_SQL[name]
     return features_sql(ch, vi, b.ref, b.short, b.long)
+
+
+# ---- scoring -----------------------------------------------------------------
+
+from ..functions import rules as _R  # noqa: E402
+
+
+def dbl(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+def risk_component_sql(name: str, v: str) -> str:
+    if name == "days_since_last_upload":
+        return f"({v} / ({v} + 30.0))"
+    if name in ("upload_freq_30d", "upload_freq_90d", "momentum_ratio", "freq_trend_ratio"):
+        return f"(1.0 / (1.0 + {v}))"
+    if name == "avg_engagement_rate":
+        return f"(1.0 / (1.0 + {v} * 100.0))"
+    if name == "upload_regularity":
+        return f"({v} / ({v} + 14.0))"
+    return f"({v} / ({v} + 1.0))"
+
+
+def risk_score_sql(cols=_R.FEATURE_COLUMNS) -> str:
+    total = "0.0"
+    for c, w in _R.normalized_weights(cols).items():
+        v = f"coalesce(CAST({c} AS DOUBLE), 0.0)"
+        total = f"({total} + {dbl(w)} * {risk_component_sql(c, v)})"
+    return f"least(greatest({total}, 0.0), 1.0)"
+
+
+def label_sql(i: str, n: str) -> str:
+    t = [f"'{x}'" for x in _R.LABEL_TEMPLATES]
+    return (f"CASE WHEN {n} = 1 THEN '{_R.SINGLE_CLUSTER_LABEL}' "
+            f"WHEN {n} = 2 THEN CASE WHEN {i} = 0 THEN {t[0]} ELSE {t[4]} END "
+            f"WHEN {n} = 3 THEN CASE WHEN {i} = 0 THEN {t[0]} WHEN {i} = {n} - 1 THEN {t[4]} ELSE {t[2]} END "
+            f"WHEN {n} = 4 THEN CASE {i} WHEN 0 THEN {t[0]} WHEN 1 THEN {t[1]} WHEN 2 THEN {t[3]} ELSE {t[4]} END "
+            f"ELSE CASE WHEN {i} = 0 THEN {t[0]} WHEN {i} = 1 THEN {t[1]} WHEN {i} = 2 THEN {t[2]} "
+            f"WHEN {i} = 3 THEN {t[3]} ELSE {t[4]} END END")
+
+
+def thresholds_sql(scored_sql: str) -> str:
+    """(lo, hi) tier thresholds (N8) over a frame with risk_score."""
+    return f"""
+SELECT CASE WHEN lo >= hi THEN med * 0.95 ELSE lo END AS lo,
+       CASE WHEN lo >= hi THEN med * 1.05 ELSE hi END AS hi
+FROM (SELECT max(CASE WHEN i = greatest(CAST(floor(n * CAST(0.3 AS DOUBLE)) AS BIGINT) - 1, 0) THEN risk_score END) AS lo,
+             max(CASE WHEN i = least(CAST(ceil(n * CAST(0.7 AS DOUBLE)) AS BIGINT), n - 1) THEN risk_score END) AS hi,
+             (max(CASE WHEN i = (n - 1) // 2 THEN risk_score END) + max(CASE WHEN i = n // 2 THEN risk_score END)) / 2.0 AS med
+      FROM (SELECT risk_score, row_number() OVER (ORDER BY risk_score) - 1 AS i, count(*) OVER () AS n
+            FROM ({scored_sql}) q WHERE risk_score IS NOT NULL) o) t"""
+
+
+def tier_sql(score: str = "risk_score") -> str:
+    return f"CASE WHEN {score} <= th.lo THEN 'Healthy' WHEN {score} >= th.hi THEN 'At-Risk' ELSE 'Watch' END"
+
+
+FEATURE_NAMES = ("channel_id, computed_at, upload_freq_30d, upload_freq_90d, freq_trend_ratio, momentum_ratio, "
+                 "avg_engagement_rate, days_since_last_upload, upload_regularity, duration_trend, insufficient_history")
+
+
+def fixed_clusters_sql(features: str, cluster_expr: str, ref, model_version: str = "fixed_v1") -> str:
+    """Scoring with a given cluster id: P14 -> P12 -> W4 -> W3 -> U1."""
+    s = (f"SELECT {FEATURE_NAMES}, {risk_score_sql()} AS risk_score, CAST({cluster_expr} AS INTEGER) AS cluster_id "
+         f"FROM ({features}) f WHERE NOT coalesce(insufficient_history, true)")
+    return f"""
+WITH s AS ({s}),
+lab AS (SELECT cluster_id, {label_sql('i', 'n')} AS cluster_label FROM (
+          SELECT cluster_id, row_number() OVER (ORDER BY avg(risk_score) DESC NULLS LAST, cluster_id) - 1 AS i,
+                 count(*) OVER () AS n FROM s GROUP BY cluster_id) c),
+th AS ({thresholds_sql('SELECT risk_score FROM s')})
+SELECT s.*, lab.cluster_label, CASE WHEN s.risk_score IS NOT NULL THEN {tier_sql('s.risk_score')} END AS risk_flag,
+       '{model_version}' AS model_version, {ts(ref)} AS scored_at,
+       CAST(NULL AS DOUBLE) AS distance_to_centroid, CAST(NULL AS DOUBLE) AS confidence
+FROM s LEFT JOIN lab ON lab.cluster_id = s.cluster_id LEFT JOIN th ON true
+UNION ALL
+SELECT {FEATURE_NAMES}, CAST(NULL AS DOUBLE) AS risk_score, CAST(-1 AS INTEGER) AS cluster_id,
+       'Unscored' AS cluster_label, 'Unscored' AS risk_flag, '{model_version}' AS model_version, {ts(ref)} AS scored_at,
+       CAST(NULL AS DOUBLE) AS distance_to_centroid, CAST(NULL AS DOUBLE) AS confidence
+FROM ({features}) f WHERE coalesce(insufficient_history, true)"""
