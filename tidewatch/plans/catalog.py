@@ -45,4 +45,4 @@ def register(name: str, sql: str | None = None):
 
 
 # Query modules register themselves on import.
-from . import queries_core, queries_scoring  # noqa: E402,F401
+from . import queries_core, queries_eda, queries_scoring  # noqa: E402,F401
