@@ -20,10 +20,11 @@ ORACLE: dict[str, str] = {}
 
 
 def ntz_out(df: DataFrame) -> DataFrame:
-    """Cast timestamp columns to timestamp_ntz (UTC wall time) for comparison."""
+    """Cast timestamp (and date) columns to timestamp_ntz (UTC wall time) so
+    both engines hand the same type to the comparison."""
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, T.TimestampType):
+        if isinstance(f.dataType, (T.TimestampType, T.DateType)):
             cols.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
         else:
             cols.append(F.col(f.name))
@@ -45,4 +46,4 @@ def register(name: str, sql: str | None = None):
 
 
 # Query modules register themselves on import.
-from . import queries_core, queries_eda, queries_scoring  # noqa: E402,F401
+from . import queries_core, queries_eda, queries_ops, queries_scoring  # noqa: E402,F401

@@ -27,7 +27,8 @@ FROM supplier s
 LEFT JOIN (SELECT l_suppkey, count(*) AS video_count FROM lineitem GROUP BY l_suppkey) c
        ON c.l_suppkey = s.s_suppkey"""
 
-B1_VIDEOS_RAW = f"""
+def b1_videos_raw_sql(ref) -> str:
+    return f"""
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS video_id,
        l_suppkey AS channel_id, l_shipdate AS published_at,
        CAST(floor(l_extendedprice) AS BIGINT) AS view_count,
@@ -36,19 +37,26 @@ SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS vi
        l_returnflag = 'N' AS comments_disabled,
        CAST(floor(l_quantity * 37) AS INTEGER) AS duration_seconds,
        l_shipdate, l_suppkey, l_partkey, l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus
-FROM lineitem WHERE l_shipdate < {ts(B1.ref)}"""
+FROM lineitem WHERE l_shipdate < {ts(ref)}"""
+
+
+B1_VIDEOS_RAW = b1_videos_raw_sql(B1.ref)
 
 VIDEO_COLS = ("video_id, channel_id, published_at, view_count, like_count, comment_count, "
               "comments_disabled, duration_seconds")
 
-B1_VIDEOS = f"""
+def b1_videos_sql(ref) -> str:
+    return f"""
 SELECT {VIDEO_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY l_shipdate NULLS FIRST, l_suppkey NULLS FIRST,
          l_partkey NULLS FIRST, l_extendedprice NULLS FIRST, l_quantity NULLS FIRST, l_discount NULLS FIRST,
          l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) AS _rn
-  FROM ({B1_VIDEOS_RAW}) r) d
+  FROM ({b1_videos_raw_sql(ref)}) r) d
 WHERE _rn = 1"""
 
+
+B1_VIDEOS = b1_videos_sql(B1.ref)
+
 B2_CHANNELS = """
 SELECT c.c_custkey AS channel_id, c.c_name AS title,
        CASE WHEN c.c_acctbal >= 0 THEN CAST(floor(c.c_acctbal * 100) AS BIGINT) END AS subscriber_count,
@@ -57,14 +65,18 @@ FROM customer c
 LEFT JOIN (SELECT o_custkey, count(*) AS video_count FROM orders GROUP BY o_custkey) o
        ON o.o_custkey = c.c_custkey"""
 
-B2_VIDEOS = f"""
+def b2_videos_sql(ref) -> str:
+    return f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS video_id, o_custkey AS channel_id, o_orderdate AS published_at,
        CAST(floor(o_totalprice) AS BIGINT) AS view_count,
        CAST(o_orderkey % 97 AS BIGINT) AS like_count,
        CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderkey % 7 AS BIGINT) END AS comment_count,
        o_orderpriority = '5-LOW' AS comments_disabled,
        CAST((o_orderkey % 50) * 30 AS INTEGER) AS duration_seconds
-FROM orders WHERE o_orderdate < {ts(B2.ref)}"""
+FROM orders WHERE o_orderdate < {ts(ref)}"""
+
+
+B2_VIDEOS = b2_videos_sql(B2.ref)
 
 B3_CHANNELS = """
 SELECT user_id AS channel_id, 'user-' || CAST(user_id AS VARCHAR) AS title,
