@@ -46,4 +46,4 @@ def register(name: str, sql: str | None = None):
 
 
 # Query modules register themselves on import.
-from . import queries_core, queries_eda, queries_io, queries_model, queries_ops, queries_scoring  # noqa: E402,F401
+from . import queries_core, queries_eda, queries_io, queries_model, queries_ops, queries_scoring, queries_stream  # noqa: E402,F401,E501
