@@ -162,7 +162,7 @@ def _block_partial(it):
         if rows:
             yield pd.concat(rows, ignore_index=True)
         else:
-            yield pd.DataFrame({"pid": pd.Series([], dtype="int64"), "cl": pd.Series([], dtype="int64"),
+            yield pd.DataFrame({"pid": pd.Series([], dtype="object"), "cl": pd.Series([], dtype="int64"),
                                 "dsum": pd.Series([], dtype="float64"), "n": pd.Series([], dtype="int64")})
 
 
@@ -184,7 +184,7 @@ def silhouette(df: DataFrame, features: str = "features", label: str = "cluster_
     vec = vector_to_array(F.col(features)) if isinstance(d.schema[features].dataType, T.UserDefinedType) \
         else F.col(features).cast("array<double>")
     pid = F.col(id_col) if id_col else F.monotonically_increasing_id()
-    pts = d.select(pid.cast("long").alias("pid"), F.col(label).cast("long").alias("cl"), vec.alias("vec"))
+    pts = d.select(pid.cast("string").alias("pid"), F.col(label).cast("long").alias("cl"), vec.alias("vec"))
     nb = max(1, math.ceil(n / block_size))
     pts = pts.withColumn("blk", F.pmod(F.xxhash64("pid"), F.lit(nb)).cast("int"))
     blocks = pts.groupBy("blk").agg(F.collect_list("pid").alias("ids"), F.collect_list("cl").alias("cls"),
@@ -195,7 +195,7 @@ def silhouette(df: DataFrame, features: str = "features", label: str = "cluster_
                           F.col("vecs").alias("r_vec"))
     pairs = left.join(right, "rb")  # block pairs: nb^2 rows of <= block_size points each
     part = pairs.select("l_id", "l_vec", "r_id", "r_cl", "r_vec").mapInPandas(
-        _block_partial, "pid long, cl long, dsum double, n long")
+        _block_partial, "pid string, cl long, dsum double, n long")
     per = part.groupBy("pid", "cl").agg(F.sum("dsum").alias("dsum"), F.sum("n").alias("n"))
     own = pts.select("pid", F.col("cl").alias("own"))
     j = per.join(own, "pid")

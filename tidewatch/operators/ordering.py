@@ -146,14 +146,14 @@ def global_index(df: DataFrame, order: Sequence[Column], blocks: int | None = No
 
 
 def kth_values(df: DataFrame, value_col: str, ks: Sequence[int], blocks: int | None = None,
-               max_group: int | None = None) -> dict[int, float]:
+               max_group: int | None = None, n: int | None = None) -> dict[int, float]:
     """Exact k-th smallest (0-based) non-null values of ``value_col``. Up to
     ``max_group`` values (checked count) are sorted in one task; beyond that a
     distributed global index is used."""
     vals = df.select(F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
     wanted = sorted(set(int(k) for k in ks))
     limit = max_group_rows(df.sparkSession) if max_group is None else max_group
-    n = vals.count()
+    n = vals.count() if n is None else n
     if n <= limit:
         arr = F.array_sort(F.collect_list("_v"))
         row = vals.agg(*[F.element_at(arr, k + 1).alias(f"k{k}") for k in wanted if k < n]).collect()[0]

@@ -6,6 +6,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,14 +31,15 @@ def tier_thresholds(df: DataFrame, score: str = "risk_score", low_q: float = 0.3
     Uses a distributed global index (range partition + per-partition counts),
     so only a handful of scalars reach the driver. Returns (low, high) or None
     when there are no scores."""
-    vals = df.where(F.col(score).isNotNull())
+    vals = df.select(score).where(F.col(score).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     n = vals.count()
     if n == 0:
         return None
     lo_i = max(int(math.floor(n * low_q)) - 1, 0)
     hi_i = min(int(math.ceil(n * high_q)), n - 1)
     m1, m2 = (n - 1) // 2, n // 2
-    kv = kth_values(vals, score, [lo_i, hi_i, m1, m2])
+    kv = kth_values(vals, score, [lo_i, hi_i, m1, m2], n=n)
+    vals.unpersist()
     low, high = kv[lo_i], kv[hi_i]
     if low >= high:
         med = (kv[m1] + kv[m2]) / 2.0
