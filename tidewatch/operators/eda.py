@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,7 +59,9 @@ def null_zero_profile(features: DataFrame, kind: str = "null") -> DataFrame:
 
 def feature_summary(features: DataFrame, cols: Sequence[str] = SUMMARY_FEATURES, digits: int = 4) -> DataFrame:
     """Per feature n, mean, std, min, p25, median, p75, max (rounded)."""
-    lf = long_form(features, cols).where(F.col("value").isNotNull())
+    # Small long table (one row per channel and feature) read by the size check,
+    # the moments and the quantiles: persisted so the features run once.
+    lf = long_form(features, cols).where(F.col("value").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     basic = lf.groupBy("feature").agg(
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))

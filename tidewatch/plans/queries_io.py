@@ -350,3 +350,30 @@ def q_sink_landing_json(spark, sf_dir):
             .select(F.lit(kind).alias("kind"), "batch", "n_items")
         out = b if out is None else out.unionByName(b)
     return out
+
+
+# ---- key checks and the previous report ----------------------------------------
+
+@register("key_violations", f"""
+SELECT 'videos' AS table_name, 'primary_key' AS check_name, 'video_id' AS columns,
+       CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS n
+FROM (SELECT video_id, count(*) AS c FROM ({O.B1_VIDEOS_RAW}) r GROUP BY video_id HAVING count(*) > 1) d
+UNION ALL SELECT 'videos', 'not_null', 'video_id', count_if(video_id IS NULL) FROM ({O.B1_VIDEOS_RAW}) r
+UNION ALL SELECT 'videos', 'not_null', 'published_at', count_if(published_at IS NULL) FROM ({O.B1_VIDEOS_RAW}) r
+UNION ALL SELECT 'videos', 'foreign_key', 'channel_id', count(*) FROM ({O.B1_VIDEOS_RAW}) r
+          WHERE channel_id IS NOT NULL AND channel_id NOT IN (SELECT channel_id FROM ({O.B1_CHANNELS}) c)""")
+def q_key_violations(spark, sf_dir):
+    """Primary-key duplicates, NULLs in required columns, orphan foreign keys (raw B1 videos)."""
+    raw = BD.b1_videos_raw(spark, sf_dir)
+    return CL.key_violations(raw, "videos", ["video_id"], ["published_at"],
+                             fk=("channel_id", BD.b1_channels(spark, sf_dir), "channel_id"))
+
+
+@register("previous_report_ids", f"""
+SELECT CAST(channel_id AS VARCHAR) AS channel_id, risk_flag FROM ({report_sql('b2')}) r WHERE risk_flag = 'At-Risk'""")
+def q_previous_report_ids(spark, sf_dir):
+    """At-Risk ids of a previously written report CSV (missing file -> empty)."""
+    path = scratch_path(spark, "previous-report")
+    SK.write_report_csv(report_for(spark, sf_dir, "b2"), path)
+    missing = LD.read_previous_report(spark, f"{path}-missing")
+    return LD.read_previous_report(spark, path).unionByName(missing)
