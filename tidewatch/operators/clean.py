@@ -32,7 +32,8 @@ def cap_outliers(df: DataFrame, column: str, p: float = 0.99, enabled: bool = Tr
     if not enabled:
         return df.withColumn(f"{column}_capped", F.lit(False))
     q = exact_quantiles(df, column, [p], group_cols).select(*group_cols, F.col("q").alias("_cap"))
-    j = df.crossJoin(q) if not group_cols else df.join(q, list(group_cols), "left")
+    # Without groups q is one row (broadcast); with groups it has one row per group.
+    j = df.crossJoin(F.broadcast(q)) if not group_cols else df.join(q, list(group_cols), "left")
     x = F.col(column).cast("double")
     return j.select(*[F.when(x > F.col("_cap"), F.col("_cap")).otherwise(x).alias(column) if c == column else F.col(c)
                       for c in df.columns],
@@ -72,7 +73,6 @@ def key_violations(df: DataFrame, table: str, pk: Sequence[str], not_null: Seque
                    fk: tuple[str, DataFrame, str] | None = None) -> DataFrame:
     """Primary-key duplicates, NULLs in required columns, and rows whose
     foreign key has no parent (left anti join). One row per check."""
-    spark = df.sparkSession
     pk = list(pk)
     dup = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1) \
         .agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("bigint").alias("n"))
@@ -90,5 +90,4 @@ def key_violations(df: DataFrame, table: str, pk: Sequence[str], not_null: Seque
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    _ = spark
     return out

@@ -35,7 +35,7 @@ def q_stream_ingest(spark, sf_dir):
                                      f"{root}/checkpoint", f"{root}/quarantine")
         q.awaitTermination()
     root = _land_in_two_steps(spark, sf_dir, run)
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
 @register("stream_upsert", f"""

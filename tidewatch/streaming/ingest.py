@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as SC
 from ..operators import merge as MG
+from ..sources.landing import split_corrupt
 
 
 def landing_stream(spark: SparkSession, path: str, item_schema: T.StructType,
@@ -41,16 +42,21 @@ def landing_stream(spark: SparkSession, path: str, item_schema: T.StructType,
 def ingest_landing_stream(spark: SparkSession, path: str, item_schema: T.StructType,
                           flatten: Callable[[DataFrame], DataFrame], out_path: str, checkpoint: str,
                           quarantine_path: str | None = None, available_now: bool = True):
-    """Append flattened rows of new files to ``out_path`` (parquet);
-    corrupt pages go to ``quarantine_path``. Returns the started query."""
+    """Flattened rows of new files under ``out_path/batch_id=<n>``
+    (parquet, replay-safe); corrupt pages go to ``quarantine_path``. Returns
+    the started query."""
     items = landing_stream(spark, path, item_schema)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        good = batch.where(F.col(SC.CORRUPT_COL).isNull() & F.col("id").isNotNull())
-        flatten(good).write.mode("append").parquet(out_path)
+        # One directory per micro-batch, overwritten on replay: a batch re-run
+        # after a failure between write and commit does not duplicate rows.
+        # A file is never split across micro-batches, so the batch rule of S3
+        # (skip a file with any unreadable page) applies per micro-batch.
+        good, _ = split_corrupt(batch)
+        flatten(good.where(F.col("id").isNotNull())).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
         if quarantine_path:
             batch.where(F.col(SC.CORRUPT_COL).isNotNull()).select("_source_file", SC.CORRUPT_COL) \
-                .write.mode("append").parquet(quarantine_path)
+                .write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
 
     w = items.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -65,7 +71,7 @@ def stream_upsert(spark: SparkSession, path: str, item_schema: T.StructType,
     items = landing_stream(spark, path, item_schema)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        good = flatten(batch.where(F.col(SC.CORRUPT_COL).isNull() & F.col("id").isNotNull()))
+        good = flatten(split_corrupt(batch)[0].where(F.col("id").isNotNull()))
         MG.merge_into(batch.sparkSession, table_path, good, keys, version=int(batch_id) + 1,
                       update_cols=update_cols, seq_col=seq_col)
 
