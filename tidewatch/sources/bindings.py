@@ -64,12 +64,19 @@ def b1_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def b1_videos_raw(spark: SparkSession, sf_dir: str, ref=B1.ref) -> DataFrame:
-    """Video rows before dedup (video_id is not unique), with the dedup order columns."""
+def _b1_source(spark: SparkSession, sf_dir: str, ref) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") < S.ntz_lit(ref))
-    n_flag = F.col("l_returnflag") == "N"
     return li.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("video_id"),
+        *B1_DEDUP_ORDER)
+
+
+def _b1_video_columns(df: DataFrame) -> DataFrame:
+    """Video columns derived from line-item columns (all derived from the
+    dedup order columns, so the dedup can run before the derivation)."""
+    n_flag = F.col("l_returnflag") == "N"
+    return df.select(
+        "video_id",
         F.col("l_suppkey").alias("channel_id"),
         S.ts_utc("l_shipdate").alias("published_at"),
         _bigint_floor("l_extendedprice").alias("view_count"),
@@ -81,9 +88,17 @@ def b1_videos_raw(spark: SparkSession, sf_dir: str, ref=B1.ref) -> DataFrame:
     )
 
 
+def b1_videos_raw(spark: SparkSession, sf_dir: str, ref=B1.ref) -> DataFrame:
+    """Video rows before dedup (video_id is not unique), with the dedup order columns."""
+    return _b1_video_columns(_b1_source(spark, sf_dir, ref))
+
+
 def b1_videos(spark: SparkSession, sf_dir: str, ref=B1.ref) -> DataFrame:
-    raw = b1_videos_raw(spark, sf_dir, ref)
-    return dedup_first(raw, ["video_id"], B1_DEDUP_ORDER).select(*VIDEO_COLS)
+    """Deduplicated videos: first row per video_id in the binding's order. The
+    dedup shuffles only the key and the order columns; video columns are
+    derived afterwards."""
+    first = dedup_first(_b1_source(spark, sf_dir, ref), ["video_id"], B1_DEDUP_ORDER)
+    return _b1_video_columns(first).select(*VIDEO_COLS)
 
 
 # ---- B2: customer / orders ---------------------------------------------------
