@@ -2,7 +2,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidewatch.operators import features as FE
 
@@ -90,4 +89,3 @@ def test_short_long_windows_7_21(spark):
     f = {r["channel_id"]: r for r in FE.compute_features(ch, vi, REF, short=7, long=21).collect()}
     assert f["UCactive"]["upload_freq_30d"] == pytest.approx(4 / 7)   # days 1,3,5,7
     assert f["UCactive"]["upload_freq_90d"] == pytest.approx(10 / 21)
-    _ = F

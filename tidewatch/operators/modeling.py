@@ -30,14 +30,14 @@ import pandas as pd
 from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules as R
 from ..functions import scalar as S
-from ..session import checkpoint_dir, scratch_path
+from ..session import scratch_path
 from . import scoring as SC
 from .eda import long_form
 from .ordering import exact_quantiles, global_index
@@ -574,5 +574,3 @@ def load_model(spark: SparkSession, path: str) -> tuple[Fitted, Preprocessor | N
         fitted = Fitted(mt, meta["k"], None, spark.read.parquet(f"{path}/labels"))
     return fitted, prep, meta
 
-
-_ = (array_to_vector, Window, checkpoint_dir)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -30,7 +29,8 @@ def attach_title(df: DataFrame, channels: DataFrame | None, key: str = "channel_
     """Left join (id, title); a NULL title when no channels table is given."""
     if channels is None:
         return df.withColumn("title", F.lit(None).cast("string"))
-    return df.drop("title").join(channels.select(key, "title").dropDuplicates([key]), key, "left")
+    titles = dedup_first(channels.select(key, "title"), [key], ["title"])
+    return df.drop("title").join(titles, key, "left")
 
 
 def round_cols(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
@@ -139,6 +139,3 @@ def extraction_budget(channels: DataFrame, per_call: int = 50, daily_quota: int
                     pl.alias("video_calls"), total.alias("total_units"),
                     F.ceil(total / F.lit(float(daily_quota))).cast("bigint").alias("days_needed"))
 
-
-def quota_days(total_units: int, daily_quota: int) -> int:
-    return int(math.ceil(total_units / daily_quota))
