@@ -65,3 +65,15 @@ def test_budget_plan(spark):
     ch = spark.createDataFrame(rows, "channel_id int, video_count long")
     r = RP.extraction_budget(ch).first()
     assert (r["channel_calls"], r["total_units"], r["days_needed"]) == (100, 8100, 1)
+
+
+def test_seed_first_n_in_file_order(spark):
+    path = scratch_path(spark, "seed-test")
+    ids = ["UC" + ch * 22 for ch in "zyxwvu"] + ["UC" + "z" * 22, "bad"]
+    spark.createDataFrame([(i, f"n{k}", "x", k) for k, i in enumerate(ids)], "channel_id string, name string, niche string, k int") \
+        .orderBy("k").drop("k").coalesce(1).write.option("header", True).csv(path)
+    first3 = [r["channel_id"] for r in LD.read_seed_csv(spark, path, n=3).orderBy("_ordinal").collect()]
+    assert first3 == ids[:3]
+    from tidewatch.operators import clean as CL
+    seeds = CL.build_seed(LD.read_seed_csv(spark, path), ordinal="_ordinal").orderBy("_ordinal").collect()
+    assert [r["channel_id"] for r in seeds] == ids[:6] and seeds[0]["name"] == "n0"

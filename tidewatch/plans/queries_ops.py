@@ -14,6 +14,8 @@ from ..operators import merge as MG
 from ..operators import monitor as MO
 from ..operators import reports as RP
 from ..operators import scoring as SC
+from ..session import scratch_path
+from ..sinks import files as SK
 from ..sources import bindings as BD
 from . import oracle as O
 from .catalog import register
@@ -189,7 +191,8 @@ def q_feature_drift(spark, sf_dir):
     """Feature means now vs an earlier run (B2 at 1999-10-01 vs 2000-01-01)."""
     prev = _features_at(spark, sf_dir, "b2", EARLIER)
     _, baseline = MO.feature_drift(prev, None, MEAN_COLS)
-    rep, _ = MO.feature_drift(features_for(spark, sf_dir, "b2"), baseline, MEAN_COLS)
+    path = SK.save_baseline(baseline, scratch_path(spark, "feature-baseline"))   # K12
+    rep, _ = MO.feature_drift(features_for(spark, sf_dir, "b2"), spark.read.parquet(path), MEAN_COLS)
     return rep
 
 
