@@ -129,3 +129,16 @@ def test_two_handmade_clusters_and_empty(spark):
     empty = df.withColumn("insufficient_history", F.lit(True))
     res = MD.score_creators(empty, F.current_timestamp(), "kmeans", n_boot=2)
     assert {r["risk_flag"] for r in res.clusters.collect()} == {"Unscored"}
+
+
+def test_batched_bootstrap_matches_structure(spark):
+    x, _ = blobs(n=200, centers=3, std=0.5, seed=11)
+    df = features_frame(spark, x)
+    out, _ = MD.preprocess(df)
+    f = MD.fit_model(out, "channel_id", "kmeans", 3, 3, 42, n_init=2)
+    conf, st = MD.bootstrap_confidence(out, f, "channel_id", n_iter=8, method="batched")
+    vals = [r["confidence"] for r in conf.collect()]
+    assert len(vals) == 200 and all(0 < v <= 1 for v in vals)
+    assert st["stability_mean"] > 0.9                     # well separated blobs are stable
+    conf2, st2 = MD.bootstrap_confidence(out, f, "channel_id", n_iter=3, method="refit", n_init=1)
+    assert conf2.count() == 200 and 0 < st2["stability_mean"] <= 1

@@ -127,11 +127,31 @@ def fit_gmm(df: DataFrame, k: int, seed: int = 42, features: str = "features",
     return gm.fit(df)
 
 
+def canonical_order(model) -> dict[int, int]:
+    """Model cluster index -> canonical id (centres sorted lexicographically),
+    so equal solutions found from different seeds carry the same ids."""
+    if isinstance(model, KMeansModel):
+        centers = [tuple(float(v) for v in c) for c in model.clusterCenters()]
+    elif isinstance(model, GaussianMixtureModel):
+        centers = [tuple(float(v) for v in r[0].toArray()) for r in model.gaussiansDF.select("mean").collect()]
+    else:
+        return {}
+    ranked = sorted(range(len(centers)), key=lambda i: centers[i])
+    return {old: new for new, old in enumerate(ranked)}
+
+
 def predict(model, df: DataFrame) -> DataFrame:
     out = model.transform(df)
     if "_prob" in out.columns:
         out = out.drop("_prob")
-    return out.withColumn("cluster_id", F.col("cluster_id").cast("int"))
+    mp = canonical_order(model)
+    cid = F.col("cluster_id").cast("int")
+    if mp and any(a != b for a, b in mp.items()):
+        expr = F.lit(None).cast("int")
+        for a, b in mp.items():
+            expr = F.when(cid == a, F.lit(b)).otherwise(expr)
+        cid = expr
+    return out.withColumn("cluster_id", cid)
 
 
 # ---- M5 -----------------------------------------------------------------------------
@@ -390,12 +410,9 @@ def fit_model(x: DataFrame, id_col: str, model_type: str = "auto", min_clusters:
 def healthy_centroid(fitted: Fitted, scored: DataFrame) -> list[float] | None:
     """Centre of the cluster most common among Healthy rows (ties: smallest id);
     without Healthy rows, the cluster with the highest mean momentum."""
-    if fitted.model_type == "kmeans":
-        centers = [list(map(float, c)) for c in fitted.model.clusterCenters()]
-    elif fitted.model_type == "gmm":
-        centers = [list(map(float, g)) for g in fitted.model.gaussiansDF.select("mean").rdd.map(lambda r: r[0]).collect()]
-    else:
+    if fitted.model_type not in ("kmeans", "gmm"):
         return None
+    centers = [list(map(float, c)) for c in _centers(fitted)]
     h = scored.where(F.col("risk_flag") == "Healthy").groupBy("cluster_id").count() \
         .orderBy(F.col("count").desc(), F.col("cluster_id").asc()).limit(1).collect()
     if h:
@@ -443,9 +460,72 @@ def _align(centers_ref: np.ndarray, centers_new: np.ndarray) -> dict[int, int]:
     return out
 
 
+def poisson_weight_col(id_col: str, iteration: Column, seed: int) -> Column:
+    """Poisson(1) draw from a hash of (id, iteration column, seed)."""
+    h = F.xxhash64(F.col(id_col).cast("string"), iteration.cast("int"), F.lit(int(seed)))
+    u = (F.pmod(h, F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53)))
+    w = F.lit(len(_POISSON1_CDF))
+    for k in reversed(range(len(_POISSON1_CDF))):
+        w = F.when(u < F.lit(_POISSON1_CDF[k]), F.lit(k)).otherwise(w)
+    return w.cast("double")
+
+
+def _nearest(v: Column, centers: Column) -> Column:
+    """0-based index of the nearest centre (array of arrays), first on ties."""
+    d = F.transform(centers, lambda c: F.aggregate(F.zip_with(v, c, lambda a, b: (a - b) * (a - b)),
+                                                   F.lit(0.0), lambda acc, t: acc + t))
+    return (F.array_position(d, F.array_min(d)) - 1).cast("int")
+
+
+def bootstrap_kmeans_batched(x: DataFrame, id_col: str, base_centers: np.ndarray, n_iter: int, seed: int = 42,
+                             max_steps: int = 30, tol: float = 1e-6) -> DataFrame:
+    """All bootstrap refits of k-means in one distributed Lloyd loop.
+
+    Rows are replicated once per iteration with their Poisson(1) weight
+    (``explode(sequence)``, no cross join), written to the checkpoint folder,
+    and every refit starts from the base centres, so cluster ids stay aligned
+    (N21 ``align``). Each Lloyd step is one job over all refits: nearest centre
+    via higher-order functions against a per-iteration centre array (one row
+    per iteration, broadcast), then weighted sums per (iteration, cluster).
+    Only the n_iter x k centres reach the driver. Returns (iter, id, cluster_id)."""
+    spark = x.sparkSession
+    k, d = base_centers.shape
+    pts = x.select(F.col(id_col).alias("_id"), vector_to_array(F.col("features")).alias("v"))
+    rep = pts.select("_id", "v", F.explode(F.sequence(F.lit(0), F.lit(n_iter - 1))).alias("iter"))
+    rep = rep.withColumn("w", poisson_weight_col("_id", F.col("iter"), seed)).checkpoint(eager=True)
+    centers = np.repeat(base_centers[None, :, :], n_iter, axis=0)
+
+    def centre_frame(c: np.ndarray) -> DataFrame:
+        rows = [(i, [[float(v) for v in c[i, j]] for j in range(k)]) for i in range(n_iter)]
+        return spark.createDataFrame(rows, "iter int, centers array<array<double>>")
+
+    for _ in range(max_steps):
+        cf = F.broadcast(centre_frame(centers))          # n_iter rows: bounded
+        a = rep.where(F.col("w") > 0).join(cf, "iter").withColumn("cl", _nearest(F.col("v"), F.col("centers")))
+        sums = a.groupBy("iter", "cl").agg(F.sum("w").alias("sw"),
+                                           *[F.sum(F.col("w") * F.col("v")[j]).alias(f"s{j}") for j in range(d)])
+        new = centers.copy()
+        for r in sums.collect():                          # <= n_iter * k rows
+            if r["sw"] and r["sw"] > 0:
+                new[r["iter"], r["cl"]] = [r[f"s{j}"] / r["sw"] for j in range(d)]
+        shift = float(np.max(np.abs(new - centers))) if new.size else 0.0
+        centers = new
+        if shift <= tol:
+            break
+    cf = F.broadcast(centre_frame(centers))
+    return rep.join(cf, "iter").select("iter", F.col("_id").alias(id_col),
+                                       _nearest(F.col("v"), F.col("centers")).alias("cluster_id"))
+
+
 def bootstrap_confidence(x: DataFrame, fitted: Fitted, id_col: str, n_iter: int = 500, seed: int = 42,
-                         align: bool = True, n_init: int = 5) -> tuple[DataFrame, dict]:
+                         align: bool = True, n_init: int = 5, method: str = "batched") -> tuple[DataFrame, dict]:
     """Per-row max share of a cluster over ``n_iter`` weighted refits.
+
+    ``method='batched'`` (k-means): every refit in one distributed Lloyd loop
+    started from the base centres. ``method='refit'``: one MLlib fit per
+    iteration (independent k-means|| starts, GMM), aligned to the base centres
+    by nearest centre when ``align``; predictions are appended per iteration to
+    the checkpoint folder and counted once.
     Returns (id, confidence) and {stability_mean, stability_std, n_iter}."""
     spark = x.sparkSession
     if fitted.model_type == "dbscan":
@@ -453,24 +533,27 @@ def bootstrap_confidence(x: DataFrame, fitted: Fitted, id_col: str, n_iter: int
     elif fitted.k <= 1:
         conf = x.select(id_col, F.lit(0.5).alias("confidence"))
     else:
-        out = scratch_path(spark, "bootstrap")
         ref = _centers(fitted)
-        base = x.select(id_col, "features").checkpoint(eager=True)
-        for it in range(n_iter):
-            wdf = base.withColumn("_w", poisson_weight(id_col, it, seed)).where(F.col("_w") > 0)
-            if fitted.model_type == "kmeans":
-                m = fit_kmeans(wdf, fitted.k, seed + it, n_init, weight_col="_w")
-            else:
-                m = fit_gmm(wdf, fitted.k, seed + it, weight_col="_w")
-            pred = predict(m, base)
-            if align and ref is not None:
-                mp = _align(ref, _centers(Fitted(fitted.model_type, fitted.k, m)))
-                expr = F.lit(-1)
-                for a, b in mp.items():
-                    expr = F.when(F.col("cluster_id") == a, F.lit(b)).otherwise(expr)
-                pred = pred.withColumn("cluster_id", expr)
-            pred.select(id_col, "cluster_id", F.lit(it).alias("iter")).write.mode("append").parquet(out)
-        preds = spark.read.parquet(out)
+        if method == "batched" and fitted.model_type == "kmeans":
+            preds = bootstrap_kmeans_batched(x, id_col, ref, n_iter, seed)
+        else:
+            out = scratch_path(spark, "bootstrap")
+            base = x.select(id_col, "features").checkpoint(eager=True)
+            for it in range(n_iter):
+                wdf = base.withColumn("_w", poisson_weight(id_col, it, seed)).where(F.col("_w") > 0)
+                if fitted.model_type == "kmeans":
+                    m = fit_kmeans(wdf, fitted.k, seed + it, n_init, weight_col="_w")
+                else:
+                    m = fit_gmm(wdf, fitted.k, seed + it, weight_col="_w")
+                pred = predict(m, base)
+                if align and ref is not None:
+                    mp = _align(ref, _centers(Fitted(fitted.model_type, fitted.k, m)))
+                    expr = F.lit(-1)
+                    for a, b in mp.items():
+                        expr = F.when(F.col("cluster_id") == a, F.lit(b)).otherwise(expr)
+                    pred = pred.withColumn("cluster_id", expr)
+                pred.select(id_col, "cluster_id", F.lit(it).alias("iter")).write.mode("append").parquet(out)
+            preds = spark.read.parquet(out)
         cnt = preds.groupBy(id_col, "cluster_id").agg(F.count(F.lit(1)).alias("c"))
         conf = cnt.groupBy(id_col).agg((F.max("c") / F.lit(float(n_iter))).alias("confidence"))
     st = conf.agg(F.avg("confidence").alias("m"), F.stddev_pop("confidence").alias("s")).collect()[0]
@@ -478,11 +561,18 @@ def bootstrap_confidence(x: DataFrame, fitted: Fitted, id_col: str, n_iter: int
 
 
 def _centers(fitted: Fitted):
+    """Centres indexed by canonical cluster id (as returned by ``predict``)."""
     if fitted.model_type == "kmeans":
-        return np.array([np.asarray(c) for c in fitted.model.clusterCenters()])
-    if fitted.model_type == "gmm":
-        return np.array([np.asarray(r[0].toArray()) for r in fitted.model.gaussiansDF.select("mean").collect()])
-    return None
+        raw = np.array([np.asarray(c) for c in fitted.model.clusterCenters()])
+    elif fitted.model_type == "gmm":
+        raw = np.array([np.asarray(r[0].toArray()) for r in fitted.model.gaussiansDF.select("mean").collect()])
+    else:
+        return None
+    mp = canonical_order(fitted.model)
+    out = np.empty_like(raw)
+    for old, new in mp.items():
+        out[new] = raw[old]
+    return out
 
 
 # ---- M10 / M11 ------------------------------------------------------------------------------
