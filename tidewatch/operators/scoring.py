@@ -7,7 +7,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
@@ -60,11 +60,14 @@ def label_clusters(df: DataFrame, cluster: str = "cluster_id", risk: str = "risk
                    out: str = "cluster_label") -> DataFrame:
     """Rank clusters by mean risk (desc, then id) and map to labels.
     The per-cluster table has one row per cluster (bounded by the model's k)."""
-    per = df.groupBy(cluster).agg(F.avg(risk).alias("_mr"))
-    w = Window.orderBy(F.col("_mr").desc_nulls_last(), F.col(cluster).asc())
-    per = per.select(cluster, (F.row_number().over(w) - 1).alias("_i"), F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
-    per = per.select(cluster, R.label_for_rank("_i", "_n").alias(out))
-    return df.drop(out).join(F.broadcast(per), cluster, "left")
+    per = df.groupBy(cluster).agg(F.avg(risk).alias("_mr")).collect()     # one row per cluster
+    ranked = sorted(per, key=lambda r: (r["_mr"] is None, -(r["_mr"] or 0.0), r[cluster]))
+    spark = df.sparkSession
+    ctype = df.schema[cluster].dataType.simpleString()
+    ranks = spark.createDataFrame([(r[cluster], i, len(ranked)) for i, r in enumerate(ranked)],
+                                  f"{cluster} {ctype}, _i int, _n int")
+    labels = ranks.select(cluster, R.label_for_rank("_i", "_n").alias(out))
+    return df.drop(out).join(F.broadcast(labels), cluster, "left")
 
 
 def unscored_rows(unscored: DataFrame, model_version: str, scored_at: Column) -> DataFrame:

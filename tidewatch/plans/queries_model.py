@@ -40,7 +40,7 @@ def scoring_result(spark, sf_dir):
     k = _key(spark, sf_dir, "score")
     if k not in _CACHE:
         feats = features_for(spark, sf_dir, "b1")
-        _CACHE[k] = MD.score_creators(feats, S.ts_lit(BD.B1.ref), "auto", n_boot=10)
+        _CACHE[k] = MD.score_creators(feats, S.ts_lit(BD.B1.ref), "auto", n_boot=500)
     return _CACHE[k]
 
 
@@ -182,10 +182,11 @@ def q_forced_models(spark, sf_dir):
 
 @register("bootstrap_confidence")
 def q_bootstrap_confidence(spark, sf_dir):
-    """M9: per-channel stability over 10 Poisson-weighted KMeans refits (k = 3)."""
+    """M9: per-channel stability over 500 Poisson-weighted k-means refits (k = 3),
+    all refits in one distributed Lloyd loop."""
     x, _ = prepared(spark, sf_dir)
     f = MD.fit_model(x, "channel_id", "kmeans", 3, 5, 42, n_init=3)
-    conf, _ = MD.bootstrap_confidence(x, f, "channel_id", n_iter=10, seed=42, n_init=2)
+    conf, _ = MD.bootstrap_confidence(x, f, "channel_id", n_iter=500, seed=42)
     return conf
 
 
