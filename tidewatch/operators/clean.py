@@ -32,8 +32,11 @@ def cap_outliers(df: DataFrame, column: str, p: float = 0.99, enabled: bool = Tr
     if not enabled:
         return df.withColumn(f"{column}_capped", F.lit(False))
     q = exact_quantiles(df, column, [p], group_cols).select(*group_cols, F.col("q").alias("_cap"))
-    # Without groups q is one row (broadcast); with groups it has one row per group.
-    j = df.crossJoin(F.broadcast(q)) if not group_cols else df.join(q, list(group_cols), "left")
+    if group_cols:
+        j = df.join(q, list(group_cols), "left")
+    else:
+        cap = q.first()                                   # one scalar
+        j = df.withColumn("_cap", F.lit(cap["_cap"] if cap else None).cast("double"))
     x = F.col(column).cast("double")
     return j.select(*[F.when(x > F.col("_cap"), F.col("_cap")).otherwise(x).alias(column) if c == column else F.col(c)
                       for c in df.columns],
@@ -43,10 +46,11 @@ def cap_outliers(df: DataFrame, column: str, p: float = 0.99, enabled: bool = Tr
 def dedup_with_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str = "first"):
     """(deduplicated frame, one-row frame with rows in/out/dropped)."""
     out = dedup_first(df, keys, order, keep)
-    n_in = df.agg(F.count(F.lit(1)).alias("rows_in"))
-    n_out = out.agg(F.count(F.lit(1)).alias("rows_out"))
-    stats = n_in.crossJoin(n_out).select("rows_in", "rows_out", (F.col("rows_in") - F.col("rows_out")).alias("dropped"))
-    return out, stats
+    tagged = df.select(F.lit(1).alias("_in"), F.lit(0).alias("_out")).unionByName(
+        out.select(F.lit(0).alias("_in"), F.lit(1).alias("_out")))
+    stats = tagged.agg(F.sum("_in").cast("bigint").alias("rows_in"), F.sum("_out").cast("bigint").alias("rows_out"))
+    stats = stats.select(F.coalesce("rows_in", F.lit(0)).alias("rows_in"), F.coalesce("rows_out", F.lit(0)).alias("rows_out"))
+    return out, stats.withColumn("dropped", F.col("rows_in") - F.col("rows_out"))
 
 
 def build_seed(df: DataFrame, id_col: str = "channel_id", ordinal: str = "ordinal") -> DataFrame:

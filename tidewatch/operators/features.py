@@ -144,8 +144,7 @@ def compute_features(channels: DataFrame, videos: DataFrame, ref, short: int = 3
     metrics = video_metrics(videos, ref, short, long, cols).persist(StorageLevel.MEMORY_AND_DISK)
     agg = channel_aggregates(ordered_videos(metrics, blocks))
     ids = channels.select(F.col(channel_col).alias("channel_id")).where(F.col("channel_id").isNotNull()).distinct()
-    # No videos at all -> no rows. A one-row probe (bounded) is broadcast.
-    probe = metrics.select(F.lit(1).alias("_any")).limit(1)
-    ids = ids.crossJoin(F.broadcast(probe)).drop("_any")
+    # No videos at all -> no rows (an EXISTS subquery reading one row).
+    ids = ids.where(metrics.exists())
     joined = ids.join(agg, "channel_id", "left").fillna(0, ["n_all", "n_short", "n_long"])
     return features_from_aggregates(joined, ref, short, long, min_videos).select(*FEATURE_OUTPUT)

@@ -147,18 +147,25 @@ def reconcile(tables: dict[str, DataFrame], expected: dict) -> DataFrame:
     spark = next(iter(tables.values())).sparkSession if tables else SparkSession.getActiveSession()
     parts = []
     for name, exp in expected.items():
-        if isinstance(exp, DataFrame):
-            e = exp.agg(F.count(F.lit(1)).alias("expected"))
-        else:
-            e = spark.createDataFrame([(int(exp),)], "expected bigint")
         if name in tables:
-            a = tables[name].agg(F.count(F.lit(1)).alias("actual"))
-        else:
-            a = spark.createDataFrame([(None,)], "actual bigint")
-        parts.append(a.crossJoin(e).select(F.lit(name).alias("table_name"), "actual", "expected"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("table_name", "actual", "expected", (F.col("actual") - F.col("expected")).alias("delta"),
-                      F.coalesce(F.col("actual") == F.col("expected"), F.lit(False)).alias("match"))
-
+            parts.append(tables[name].select(F.lit(name).alias("table_name"), F.lit(1).alias("_a"), F.lit(0).alias("_e")))
+        if isinstance(exp, DataFrame):
+            parts.append(exp.select(F.lit(name).alias("table_name"), F.lit(0).alias("_a"), F.lit(1).alias("_e")))
+    fixed = [(n, int(e)) for n, e in expected.items() if not isinstance(e, DataFrame)]
+    names = spark.createDataFrame([(n, n in tables) for n in expected], "table_name string, _known boolean")
+    out = names
+    if parts:
+        u = parts[0]
+        for p in parts[1:]:
+            u = u.unionByName(p)
+        cnt = u.groupBy("table_name").agg(F.sum("_a").cast("bigint").alias("_na"), F.sum("_e").cast("bigint").alias("_ne"))
+        out = out.join(cnt, "table_name", "left")
+    else:
+        out = out.withColumn("_na", F.lit(None).cast("bigint")).withColumn("_ne", F.lit(None).cast("bigint"))
+    fx = spark.createDataFrame(fixed or [("", 0)], "table_name string, _fe bigint")
+    out = out.join(fx, "table_name", "left")            # one row per expected table: bounded
+    actual = F.when(F.col("_known"), F.coalesce(F.col("_na"), F.lit(0)))
+    exp_col = F.coalesce(F.col("_fe"), F.coalesce(F.col("_ne"), F.lit(0)))
+    return out.select("table_name", actual.alias("actual"), exp_col.cast("bigint").alias("expected"),
+                      (actual - exp_col).alias("delta"),
+                      F.coalesce(actual == exp_col, F.lit(False)).alias("match"))

@@ -65,12 +65,11 @@ def new_at_risk(report: DataFrame, previous: DataFrame | None, key: str = "chann
 def freshness(a: DataFrame, b: DataFrame, key: str = "channel_id") -> DataFrame:
     """Distinct ids of both tables, their overlap, stale (overlap smaller
     than either side) and ok (some overlap; empty input -> not ok)."""
-    ia = a.select(key).where(F.col(key).isNotNull()).distinct()
-    ib = b.select(key).where(F.col(key).isNotNull()).distinct()
-    na = ia.agg(F.count(F.lit(1)).alias("n_a"))
-    nb = ib.agg(F.count(F.lit(1)).alias("n_b"))
-    no = ia.join(ib, key, "inner").agg(F.count(F.lit(1)).alias("n_overlap"))
-    j = na.crossJoin(nb).crossJoin(no)
+    ia = a.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_a", F.lit(True))
+    ib = b.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_b", F.lit(True))
+    j = ia.join(ib, key, "full_outer").agg(
+        F.count("_a").alias("n_a"), F.count("_b").alias("n_b"),
+        F.count_if(F.col("_a").isNotNull() & F.col("_b").isNotNull()).alias("n_overlap"))
     return j.select("n_a", "n_b", "n_overlap",
                     (F.col("n_overlap") < F.greatest("n_a", "n_b")).alias("stale"),
                     (F.col("n_overlap") > 0).alias("ok"))

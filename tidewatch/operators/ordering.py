@@ -175,8 +175,8 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     if limit > 0 and largest_group(vals, group_cols) <= limit:
         # Groups proven small: sort each group's values in one task.
         g = vals.groupBy(*group_cols).agg(F.array_sort(F.collect_list("_v")).alias("_a"))
-        g = g.withColumn("_n", F.size("_a")).crossJoin(
-            F.broadcast(df.sparkSession.createDataFrame([(float(p),) for p in probs], "p double")))
+        g = g.withColumn("_n", F.size("_a")).withColumn(
+            "p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         h = (F.col("_n") - 1) * F.col("p")
         lo = F.floor(h).cast("int")
         hi = F.least(lo + 1, F.col("_n") - 1)
@@ -188,12 +188,10 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         idx = global_index(vals, order, blocks)
         n = idx.count()
         ranked = idx.withColumn("_rank", F.col("_gidx") + 1).withColumn("_gsize", F.lit(n))
-    spark = df.sparkSession
-    ps = spark.createDataFrame([(float(p),) for p in probs], "p double")
     # Positions needed per group and p: lo = floor((n-1)p), hi = min(lo+1, n-1).
     sizes = ranked.groupBy(*group_cols).agg(F.max("_gsize").alias("_n")) if group_cols else \
         ranked.select(F.col("_gsize").alias("_n")).limit(1)
-    need = sizes.crossJoin(F.broadcast(ps)).select(
+    need = sizes.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs]))).select(
         *group_cols, "p", "_n",
         ((F.col("_n") - 1) * F.col("p")).alias("_h"))
     need = need.withColumn("_lo", F.floor("_h").cast("bigint")) \

@@ -129,17 +129,22 @@ def cluster_profile(scored: DataFrame, cols: Sequence[str] = R.FEATURE_COLUMNS)
 def radar_profile(scored: DataFrame, cols: Sequence[str] = R.FEATURE_COLUMNS, group: str = "cluster_label") -> DataFrame:
     """Per label mean of each feature, min-max normalised by the global
     min/max (+1e-10); 0.5 when the feature has < 2 values. Dominant flag."""
-    g = scored.agg(*[F.min(c).alias(f"_mn_{c}") for c in cols], *[F.max(c).alias(f"_mx_{c}") for c in cols],
-                   *[F.count(c).alias(f"_n_{c}") for c in cols])
+    g = scored.agg(*[F.min(c).cast("double").alias(f"_mn_{c}") for c in cols],
+                   *[F.max(c).cast("double").alias(f"_mx_{c}") for c in cols],
+                   *[F.count(c).alias(f"_n_{c}") for c in cols]).first()     # one row of scalars
     means = scored.groupBy(group).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
     flags = scored.groupBy(group, "risk_flag").agg(F.count(F.lit(1)).alias("_c"))
     dom = flags.groupBy(group).agg(
         F.min_by("risk_flag", F.struct((-F.col("_c")).alias("c"), F.col("risk_flag").alias("f"))).alias("dominant_flag"))
-    j = means.crossJoin(F.broadcast(g)).join(dom, group, "left")   # g is one row
+    j = means.join(dom, group, "left")
     out = [F.col(group), F.col("dominant_flag")]
     for c in cols:
-        norm = (F.col(f"_m_{c}") - F.col(f"_mn_{c}")) / (F.col(f"_mx_{c}") - F.col(f"_mn_{c}") + F.lit(1e-10))
-        out.append(F.when(F.col(f"_n_{c}") < 2, F.lit(0.5)).otherwise(norm).alias(f"r_{c}"))
+        mn, mx, n = g[f"_mn_{c}"], g[f"_mx_{c}"], g[f"_n_{c}"]
+        if n is None or n < 2:
+            out.append(F.lit(0.5).alias(f"r_{c}"))
+            continue
+        norm = (F.col(f"_m_{c}") - F.lit(mn)) / (F.lit(mx) - F.lit(mn) + F.lit(1e-10))
+        out.append(norm.alias(f"r_{c}"))
     return j.select(*out)
 
 

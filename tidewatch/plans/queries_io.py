@@ -96,11 +96,12 @@ def q_src_corrupt_files(spark, sf_dir):
     out = None
     for kind, raw in (("channels", _raw_channels(spark, sf_dir)), ("videos", _raw_videos(spark, sf_dir))):
         good, bad = LD.split_corrupt(raw)
-        b = bad.agg(F.countDistinct("_source_file").alias("n_corrupt_files"),
-                    F.count(F.lit(1)).alias("n_corrupt_records"))
-        g = good.agg(F.count(F.lit(1)).alias("n_good_items"))
-        part = b.crossJoin(g).select(F.lit(kind).alias("kind"), F.col("n_corrupt_files").cast("int"),
-                                     F.col("n_corrupt_records").cast("int"), "n_good_items")
+        tagged = bad.select("_source_file", F.lit(1).alias("_bad")).unionByName(
+            good.select(F.lit(None).cast("string").alias("_source_file"), F.lit(0).alias("_bad")))
+        part = tagged.agg(F.countDistinct("_source_file").cast("int").alias("n_corrupt_files"),
+                          F.sum("_bad").cast("int").alias("n_corrupt_records"),
+                          F.count_if(F.col("_bad") == 0).alias("n_good_items")) \
+            .select(F.lit(kind).alias("kind"), "n_corrupt_files", "n_corrupt_records", "n_good_items")
         out = part if out is None else out.unionByName(part)
     return out
 
