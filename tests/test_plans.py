@@ -25,3 +25,10 @@ def test_window_and_groupby_share_one_exchange(spark):
     agg = FE.channel_aggregates(FE.ordered_videos(FE.video_metrics(vi, b.ref, b.short, b.long)))
     p = agg._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"Exchange hashpartitioning\(channel_id", p)) == 1
+
+
+def test_dedup_limits_copies_before_the_shuffle(spark):
+    from tidewatch.sources import bindings as BD
+    df = BD.b1_videos(spark, SF_SMALL)
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in p and "Partial" in p

@@ -9,9 +9,9 @@
   per-partition counts as scalars, offsets added back).
 * ``kth_values`` / ``exact_quantiles`` — exact order statistics without the
   single-buffer ``percentile`` aggregate.
-* ``dedup_first`` — first row per key under an explicit order, as a
-  partial-aggregatable ``min(struct)``: a key with millions of copies is
-  reduced map-side before the shuffle.
+* ``dedup_first`` — first row per key under an explicit order, as
+  ``row_number() = 1`` with Spark's partial window group limit: a key with
+  millions of copies is reduced map-side before the shuffle.
 """
 
 from __future__ import annotations
@@ -211,13 +211,17 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str = "first") -> DataFrame:
     """One row per key: the first (or last) under ascending ``order``, NULLs first.
     Ties on ``order`` are broken by the remaining columns, so the result is
-    deterministic. Partial aggregation reduces hot keys before the shuffle."""
+    deterministic. Written as ``row_number() = 1``: Spark plans a partial
+    window group limit before the shuffle, so a key with millions of copies is
+    cut to one row per map task and never reaches one task whole."""
     keys, order = list(keys), list(order)
-    rest = [c for c in df.columns if c not in keys]
-    fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)] + [F.col(c).alias(c) for c in rest]
-    agg = F.min if keep == "first" else F.max
-    out = df.groupBy(*keys).agg(agg(F.struct(*fields)).alias("_m"))
-    return out.select(*keys, *[F.col(f"_m.{c}").alias(c) for c in rest]).select(*df.columns)
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    if keep == "first":
+        sort = [F.col(c).asc_nulls_first() for c in order + rest]
+    else:
+        sort = [F.col(c).desc_nulls_last() for c in order + rest]
+    w = Window.partitionBy(*keys).orderBy(*sort)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], seq_col: str) -> DataFrame:
