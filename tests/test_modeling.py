@@ -142,3 +142,11 @@ def test_batched_bootstrap_matches_structure(spark):
     assert st["stability_mean"] > 0.9                     # well separated blobs are stable
     conf2, st2 = MD.bootstrap_confidence(out, f, "channel_id", n_iter=3, method="refit", n_init=1)
     assert conf2.count() == 200 and 0 < st2["stability_mean"] <= 1
+
+
+def test_components_on_a_long_chain(spark):
+    x = np.array([[i * 0.5, 0.0, 0.0] for i in range(60)] + [[100.0 + i * 0.5, 0.0, 0.0] for i in range(7)])
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "id long, vec array<double>")
+    got = [r["cluster_id"] for r in MD.dbscan(df, "id", "vec", 0.6, 2, grid_dims=1).orderBy("id").collect()]
+    assert got == list(brute_dbscan(x, 0.6, 2))
+    assert set(got[:60]) == {0} and set(got[60:]) == {1}

@@ -275,14 +275,20 @@ def _offsets(g: int):
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
-    """Min-label propagation. nodes(id, lab), edges(src, dst) symmetric.
-    Every round is checkpointed to the shared folder (lineage stays short and
-    a lost executor recomputes one round)."""
+    """Min-label propagation with pointer jumping. nodes(id, lab) with lab a
+    node id (initially the node itself), edges(src, dst) symmetric. Each round
+    takes the smallest label among neighbours, then jumps lab <- lab(lab), so
+    long chains shrink geometrically instead of one hop per round. Every round
+    is checkpointed to the shared folder (short lineage; a lost executor
+    recomputes one round)."""
     labels = nodes.select("id", "lab").checkpoint(eager=True)
     for _ in range(max_rounds):
         nb = edges.join(labels.withColumnRenamed("id", "dst"), "dst").groupBy("src").agg(F.min("lab").alias("nl"))
-        new = labels.join(nb.withColumnRenamed("src", "id"), "id", "left") \
-            .select("id", F.least("lab", F.coalesce("nl", "lab")).alias("lab")).checkpoint(eager=True)
+        step = labels.join(nb.withColumnRenamed("src", "id"), "id", "left") \
+            .select("id", F.least("lab", F.coalesce("nl", "lab")).alias("lab"))
+        parent = step.select(F.col("id").alias("lab"), F.col("lab").alias("pl"))
+        new = step.join(parent, "lab", "left").select("id", F.least("lab", F.coalesce("pl", "lab")).alias("lab")) \
+            .checkpoint(eager=True)
         changed = new.join(labels.withColumnRenamed("lab", "old"), "id").where(F.col("lab") != F.col("old")).limit(1).count()
         labels = new
         if changed == 0:
@@ -290,24 +296,26 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
     return labels
 
 
-def dbscan(df: DataFrame, id_col: str, features: str = "features", eps: float = 0.5, min_samples: int = 5,
-           order_col: str | None = None, grid_dims: int = 3) -> DataFrame:
-    """DBSCAN labels (id, cluster_id); -1 = noise.
-
-    Identical points are collapsed to one weighted point first, so a group of
-    copies never turns into all-pairs work. min_samples counts the point itself."""
+def collapse_points(df: DataFrame, id_col: str, features: str, order_col: str | None = None):
+    """(points, unique points): every row gets a dense row index over
+    (order, id); identical vectors collapse to one weighted point whose uid is
+    the smallest row index among its copies (N17's 'lowest row index')."""
     order = F.col(order_col) if order_col else F.col(id_col)
     pts = df.select(F.col(id_col).alias("pid"), order.alias("ord"), _vec_array(df, features).alias("vec"))
-    uniq = pts.groupBy("vec").agg(F.count(F.lit(1)).alias("w"), F.min("ord").alias("ord"))
-    uniq = uniq.withColumn("uid", F.xxhash64("vec")).checkpoint(eager=True)
-    nbr = eps_neighbours(uniq.select("uid", "vec"), "uid", "vec", eps, grid_dims)
+    pts = global_index(pts, [F.col("ord").asc_nulls_last(), F.col("pid").asc_nulls_last()], index_col="row")
+    uniq = pts.groupBy("vec").agg(F.count(F.lit(1)).alias("w"), F.min("row").alias("uid")).checkpoint(eager=True)
+    return pts, uniq
+
+
+def dbscan_labels(pts: DataFrame, uniq: DataFrame, nbr: DataFrame, min_samples: int, id_col: str) -> DataFrame:
+    """DBSCAN given the eps-neighbour pairs (i, j) of the unique points."""
     wt = uniq.select(F.col("uid").alias("j"), F.col("w").alias("wj"))
     deg = nbr.join(wt, "j").groupBy(F.col("i").alias("uid")).agg(F.sum("wj").alias("nw"))
     u = uniq.join(deg, "uid", "left").withColumn("core", (F.col("w") + F.coalesce("nw", F.lit(0))) >= min_samples)
-    core = u.where("core").select("uid", "ord")
+    core = u.where("core").select("uid")
     ce = nbr.join(core.select(F.col("uid").alias("i")), "i").join(core.select(F.col("uid").alias("j")), "j") \
         .select(F.col("i").alias("src"), F.col("j").alias("dst"))
-    comp = connected_components(core.select(F.col("uid").alias("id"), F.col("ord").alias("lab")), ce)
+    comp = connected_components(core.select(F.col("uid").alias("id"), F.col("uid").alias("lab")), ce)
     # Cluster number = rank of the component's lowest row index.
     roots = comp.select("lab").distinct()
     numbered = global_index(roots, [F.col("lab").asc()]).select("lab", F.col("_gidx").cast("int").alias("cluster_id"))
@@ -320,6 +328,17 @@ def dbscan(df: DataFrame, id_col: str, features: str = "features", eps: float =
     return pts.join(lab, "vec").select(F.col("pid").alias(id_col), "cluster_id")
 
 
+def dbscan(df: DataFrame, id_col: str, features: str = "features", eps: float = 0.5, min_samples: int = 5,
+           order_col: str | None = None, grid_dims: int = 3) -> DataFrame:
+    """DBSCAN labels (id, cluster_id); -1 = noise.
+
+    Identical points are collapsed to one weighted point first, so a group of
+    copies never turns into all-pairs work. min_samples counts the point itself."""
+    pts, uniq = collapse_points(df, id_col, features, order_col)
+    nbr = eps_neighbours(uniq.select("uid", "vec"), "uid", "vec", eps, grid_dims)
+    return dbscan_labels(pts, uniq, nbr, min_samples, id_col)
+
+
 # ---- M6 / M7: selection ------------------------------------------------------------------
 
 @dataclass
@@ -369,8 +388,13 @@ def select_best_model(x: DataFrame, id_col: str, k_min: int = 3, k_max: int = 5,
         if sil > best_sil:
             best_sil, best = sil, Fitted("gmm", k, m, params={"k": k})
     best_db, best_db_sil, best_db_labels = None, -1.0, None
+    # One range join at the largest eps serves the whole grid (filtered by distance).
+    pts, uniq = collapse_points(x, id_col, "features")
+    nbr_all = eps_neighbours(uniq.select("uid", "vec"), "uid", "vec", max(e for e, _ in dbscan_grid)) \
+        .checkpoint(eager=True) if dbscan_grid else None
     for eps, ms in dbscan_grid:
-        lab = dbscan(x, id_col, "features", eps, ms).checkpoint(eager=True)
+        nbr = nbr_all.where(F.col("distance") <= F.lit(float(eps)))
+        lab = dbscan_labels(pts, uniq, nbr, ms, id_col).checkpoint(eager=True)
         sil = 0.0
         if _n_labels(lab, True) > 1:
             joined = x.select(id_col, "features").join(lab, id_col)
