@@ -247,13 +247,22 @@ def eps_neighbours(df: DataFrame, id_col: str, features: str, eps: float, grid_d
                    include_self: bool = False) -> DataFrame:
     """All ordered pairs (i, j), i != j, with Euclidean distance <= eps.
 
-    Grid range join: cells of width eps on the first ``grid_dims`` coordinates,
-    each point probes the 3^g neighbouring cells (equi-join on the cell key),
-    then the exact distance filter keeps true neighbours."""
+    Grid range join: cells of width eps on the ``grid_dims`` coordinates with
+    the largest variance, each point probes the 3^g neighbouring cells
+    (equi-join on the cell key), then the exact distance filter keeps true
+    neighbours."""
     pts = df.select(F.col(id_col).alias("pid"), _vec_array(df, features).alias("vec"))
-    dim = len(pts.select("vec").first()["vec"]) if pts.take(1) else 0
+    first = pts.select("vec").take(1)
+    dim = len(first[0]["vec"]) if first else 0
     g = max(0, min(grid_dims, dim))
-    cell = F.array(*[F.floor(F.col("vec")[i] / F.lit(float(eps))).cast("long") for i in range(g)])
+    # Grid on the g coordinates with the largest spread (one aggregation): the
+    # wider the spread relative to eps, the fewer candidates per cell.
+    if 0 < g < dim:
+        var = pts.agg(*[F.var_pop(F.col("vec")[i]).alias(f"v{i}") for i in range(dim)]).first()
+        dims = sorted(range(dim), key=lambda i: (-(var[f"v{i}"] or 0.0), i))[:g]
+    else:
+        dims = list(range(g))
+    cell = F.array(*[F.floor(F.col("vec")[i] / F.lit(float(eps))).cast("long") for i in dims])
     home = pts.select("pid", "vec", cell.alias("cell"))
     offsets = F.array(*[F.array(*[F.lit(int(o)) for o in combo]) for combo in _offsets(g)])
     probe = home.select(F.col("pid").alias("pid_a"), F.col("vec").alias("vec_a"),
