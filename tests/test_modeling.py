@@ -150,3 +150,12 @@ def test_components_on_a_long_chain(spark):
     got = [r["cluster_id"] for r in MD.dbscan(df, "id", "vec", 0.6, 2, grid_dims=1).orderBy("id").collect()]
     assert got == list(brute_dbscan(x, 0.6, 2))
     assert set(got[:60]) == {0} and set(got[60:]) == {1}
+
+
+def test_silhouette_with_singleton_cluster(spark):
+    x = np.array([[0.0, 0.0], [0.1, 0.0], [5.0, 5.0], [5.1, 5.0], [20.0, 0.0]])
+    lab = np.array([0, 0, 1, 1, 2])
+    df = spark.createDataFrame([(i, int(l), [float(v) for v in r]) for i, (r, l) in enumerate(zip(x, lab))],
+                               "id long, label int, vec array<double>")
+    val, _ = MD.silhouette(df, "vec", "label", id_col="id")
+    assert val == pytest.approx(brute_silhouette(x, lab), abs=1e-12)

@@ -219,7 +219,7 @@ def silhouette(df: DataFrame, features: str = "features", label: str = "cluster_
     per = part.groupBy("pid", "cl").agg(F.sum("dsum").alias("dsum"), F.sum("n").alias("n"))
     own = pts.select("pid", F.col("cl").alias("own"))
     j = per.join(own, "pid")
-    mean_d = F.col("dsum") / F.col("n")
+    mean_d = F.try_divide(F.col("dsum"), F.col("n"))   # n = 0: alone in its cluster
     agg = j.groupBy("pid").agg(
         F.max(F.when(F.col("cl") == F.col("own"), mean_d)).alias("a"),
         F.max(F.when(F.col("cl") == F.col("own"), F.col("n"))).alias("n_own"),
