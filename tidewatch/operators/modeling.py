@@ -386,39 +386,49 @@ def _n_labels(labels: DataFrame, exclude_noise: bool) -> int:
 def select_best_model(x: DataFrame, id_col: str, k_min: int = 3, k_max: int = 5, seed: int = 42,
                       n_init: int = 10, dbscan_grid=DBSCAN_GRID) -> Fitted:
     """M6: KMeans then GMM for k in [k_min, k_max], then the DBSCAN grid (noise
-    excluded); strictly greater silhouette wins; DBSCAN refused above 20% noise."""
-    trials, best, best_sil = [], None, -1.0
-    for k in range(k_min, k_max + 1):
-        m = fit_kmeans(x, k, seed, n_init)
-        lab = predict(m, x)
-        sil = (silhouette(lab, id_col=id_col)[0] or 0.0) if k > 1 and _n_labels(lab, False) > 1 else 0.0
-        trials.append({"model_type": "kmeans", "param": f"k={k}", "silhouette": sil})
-        if sil > best_sil:
-            best_sil, best = sil, Fitted("kmeans", k, m, params={"k": k})
-    for k in range(k_min, k_max + 1):
-        m = fit_gmm(x, k, seed)
+    excluded); strictly greater silhouette wins in that order; DBSCAN refused
+    above 20% noise. The candidates are fitted and scored as concurrent Spark
+    jobs; the choice is made afterwards in the fixed order, so it does not
+    depend on which job finishes first."""
+    ks = list(range(k_min, k_max + 1))
+
+    def eval_mllib(kind, k):
+        m = fit_kmeans(x, k, seed, n_init) if kind == "kmeans" else fit_gmm(x, k, seed)
         lab = predict(m, x)
         sil = (silhouette(lab, id_col=id_col)[0] or 0.0) if k > 1 and _n_labels(lab, False) > 1 else 0.0
-        trials.append({"model_type": "gmm", "param": f"k={k}", "silhouette": sil})
-        if sil > best_sil:
-            best_sil, best = sil, Fitted("gmm", k, m, params={"k": k})
-    best_db, best_db_sil, best_db_labels = None, -1.0, None
-    # One range join at the largest eps serves the whole grid (filtered by distance).
+        return kind, k, m, sil
+
     pts, uniq = collapse_points(x, id_col, "features")
+    # One range join at the largest eps serves the whole grid (filtered by distance).
     nbr_all = eps_neighbours(uniq.select("uid", "vec"), "uid", "vec", max(e for e, _ in dbscan_grid)) \
         .checkpoint(eager=True) if dbscan_grid else None
-    for eps, ms in dbscan_grid:
+
+    def eval_dbscan(cell):
+        eps, ms = cell
         nbr = nbr_all.where(F.col("distance") <= F.lit(float(eps)))
         lab = dbscan_labels(pts, uniq, nbr, ms, id_col).checkpoint(eager=True)
         sil = 0.0
         if _n_labels(lab, True) > 1:
             joined = x.select(id_col, "features").join(lab, id_col)
             sil = silhouette(joined, id_col=id_col, exclude_noise=True)[0] or 0.0
+        return eps, ms, lab, sil, _noise_frac(lab)
+
+    with ThreadPoolExecutor(max_workers=FIT_THREADS) as pool:
+        mllib = list(pool.map(lambda a: eval_mllib(*a), [("kmeans", k) for k in ks] + [("gmm", k) for k in ks]))
+        dbs = list(pool.map(eval_dbscan, list(dbscan_grid)))
+
+    trials, best, best_sil = [], None, -1.0
+    for kind, k, m, sil in mllib:                        # kmeans k asc, then gmm k asc
+        trials.append({"model_type": kind, "param": f"k={k}", "silhouette": sil})
+        if sil > best_sil:
+            best_sil, best = sil, Fitted(kind, k, m, params={"k": k})
+    best_db, best_db_sil, best_db_labels = None, -1.0, None
+    for eps, ms, lab, sil, noise in dbs:
         trials.append({"model_type": "dbscan", "param": f"eps={eps},min_samples={ms}", "silhouette": sil,
-                       "noise_frac": _noise_frac(lab)})
+                       "noise_frac": noise})
         if sil > best_db_sil:
-            best_db_sil, best_db, best_db_labels = sil, (eps, ms), lab
-    if best_db is not None and best_db_sil > best_sil and _noise_frac(best_db_labels) <= 0.2:
+            best_db_sil, best_db, best_db_labels = sil, (eps, ms, noise), lab
+    if best_db is not None and best_db_sil > best_sil and best_db[2] <= 0.2:
         k = _n_labels(best_db_labels, True)
         best_sil, best = best_db_sil, Fitted("dbscan", k, None, best_db_labels,
                                              params={"eps": best_db[0], "min_samples": best_db[1]})
