@@ -145,7 +145,8 @@ def thousands(c) -> Column:
 def fixed(c, digits: int = 2, scale: float = 1.0, suffix: str = "") -> Column:
     """P18: '%.{digits}f' text of c*scale (+suffix), NULL -> 'N/A'."""
     v = col(c).cast("double") * F.lit(scale)
-    return F.coalesce(F.concat(F.format_string(f"%.{digits}f", v), F.lit(suffix)), F.lit("N/A"))
+    # format_string renders NULL as text, so NULL is tested first.
+    return F.when(v.isNull(), F.lit("N/A")).otherwise(F.concat(F.format_string(f"%.{digits}f", v), F.lit(suffix)))
 
 
 def int_text(c) -> Column:
