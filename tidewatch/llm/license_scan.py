@@ -81,7 +81,10 @@ def _shingles(words: str, k: int) -> Column:
 
 def _band_keys(window: str, kind: str, bands: int) -> Column:
     """Keys of a window's MinHash bands; ``kind`` keeps window sizes apart."""
-    least = [F.array_min(F.transform(window, lambda x, s=s: F.xxhash64(x, F.lit(s)))) for s in range(bands * ROWS)]
+    def least_hash(seed: int) -> Column:
+        return F.array_min(F.transform(window, lambda x: F.xxhash64(x, F.lit(seed))))
+
+    least = [least_hash(s) for s in range(bands * ROWS)]
     return F.array(*[F.xxhash64(kind, F.lit(b), *least[b * ROWS:(b + 1) * ROWS]) for b in range(bands)])
 
 
