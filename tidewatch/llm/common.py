@@ -43,10 +43,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The planner's estimate of the frame's size, for sizing shuffles only."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return min(int(str(size)), 1 << 55)
+def text_bytes(df: DataFrame, text: str) -> int:
+    """UTF-8 bytes of a text column, for sizing shuffles (one pass, one number)."""
+    return df.agg(F.sum(F.octet_length(F.col(text).cast("string")).cast("long"))).first()[0] or 0
 
 
 def shuffle_partitions(spark: SparkSession, *, rows: int = 0, rows_per_task: int = 1) -> int:

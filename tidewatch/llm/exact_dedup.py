@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import estimated_bytes, lower_ascii, shuffle_partitions, whole_text, written
+from .common import lower_ascii, shuffle_partitions, text_bytes, whole_text, written
 
 TABLE_BYTES = 192 << 20
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -123,7 +123,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, t
     df = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), row.alias("row"))
     spark_type = f"deal long, settled boolean, digest binary, text string, id long, rows long, row {df.schema['row'].dataType.simpleString()}"
     row_type = to_arrow_schema(df.select("row").schema).field("row").type
-    parts = shuffle_partitions(spark, rows=3 * estimated_bytes(docs), rows_per_task=table_bytes // 4)
+    parts = shuffle_partitions(spark, rows=text_bytes(docs, text_col), rows_per_task=max(1, table_bytes // 4))
     todo, level, settled = df.mapInArrow(_fold(0, table_bytes // 4, False, row_type), spark_type), 0, None
     while True:
         dealt = todo.drop("settled").repartition(parts, "deal")
