@@ -159,12 +159,17 @@ def test_flush_sends_hot_signatures_apart(monkeypatch):
             values, counts = np.unique(np.frombuffer(sigs, "<u8"), return_counts=True)
             load[part] = max(load.get(part, 0), int(counts.max()))
     assert len({p for p, m in load.items() if m > 4}) > 1
-    found = {}
+    found, want = {}, {}
     for g in jaccard_join._groups(iter(blocks)):
         for s, k, p in zip(*(c.to_pylist() for c in g.columns)):
             found.setdefault(s, set()).add(k)
-    keys = {jaccard_join.set_key(s)[0] for _, s in jaccard_join.shingle_sets(pa.RecordBatch.from_pydict({"text": texts}), "text", 4)}
-    assert max(map(len, found.values())) == len(keys) == 40
+    monkeypatch.setattr(jaccard_join, "HOT", 10**9)  # the same without any split
+    for b in jaccard_join._signatures(4, 85, schemes, 64)(iter([pa.RecordBatch.from_pydict({"text": texts})])):
+        for sigs, keys in zip(b.column("signatures").to_pylist(), b.column("keys").to_pylist()):
+            for x, k in zip(np.frombuffer(sigs, "<i8").tolist(), np.frombuffer(keys, "<i8").tolist()):
+                want.setdefault(x, set()).add(k)
+    assert max(map(len, want.values())) > 20
+    assert found == {x: k for x, k in want.items() if len(k) > 1}
 
 
 def test_allocation_covers_every_pair():
