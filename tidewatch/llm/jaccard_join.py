@@ -31,7 +31,10 @@ differ in at most H = floor((100 - percent)(|a| + |b|) / (100 + percent)) hashes
    hold two components then compare members of different components, sketch
    against sketch in blocks of bounded size inside the task; what passes is
    verified on the sets. So links inside a component are not spelled out, and
-   no link between components is lost.
+   no link between components is lost. Members of large groups share many
+   signatures; each carries the smallest ``LISTED`` ones of its large groups, and a
+   pair leaves only the group of the smallest signature that both list (or
+   every group beyond the lists), not all that it shares.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. A text of fewer words than
 a shingle is one shingle of all its words; null or wordless texts have none and
@@ -56,9 +59,11 @@ from .components import components
 SHINGLE = 4
 PERCENT = 85
 SKIPPED = 0.3            # costliest segments left out, as a share of H + 1
-FLUSH = 1 << 20          # signatures per block
-HOT = 256                # rows of one signature in a block that go to a partition of their own
+FLUSH = 1 << 18          # signatures per block
+HOT = 64                 # rows of one signature in a block that go to a partition of their own
 GROUP_BLOCK = 2048       # members compared at once
+LISTED_GROUP = 32        # members from which on a group's pairs are told apart by signature lists
+LISTED = 64              # signatures in a member's list
 SEPARATOR = ts.separators(lambda b: b != 32 and not 9 <= b <= 13)
 FOLD = ts.fold_ascii()
 U64 = ts.U64
@@ -112,10 +117,10 @@ def shingle_sets(batch: pa.RecordBatch, text: str, shingle: int):
             if last - first >= shingle:
                 yield row, np.unique(rolled[first:last - shingle + 1])
             elif last > first:
-                one = U64(last - first)
-                for x in h[first:last]:
-                    one = one * _STEP + x
-                yield row, ts.mix(np.array([one], dtype=U64) ^ U64(0xA0761D6478BD642F))
+                one = np.array([last - first], dtype=U64)
+                for i in range(first, last):
+                    one = one * _STEP + h[i:i + 1]
+                yield row, ts.mix(one ^ U64(0xA0761D6478BD642F))
             else:
                 yield row, rolled[:0]
             row += 1
@@ -283,6 +288,7 @@ def _cross(percent: int):
     def compare(rows: dict[str, np.ndarray]):
         lab = np.unique(rows["lab"], return_inverse=True)[1]
         n, side, sketch, key = rows["n"], rows["blk"], rows["sketch"], rows["long_key"]
+        sig, listed = rows["sig"][0], [None if x is None else frozenset(x.tolist()) for x in rows["listed"]]
         same = rows["bi"][0] == rows["bj"][0]
         left = np.arange(len(n)) if same else np.flatnonzero(side == rows["bi"][0])
         right = left if same else np.flatnonzero(side == rows["bj"][0])
@@ -298,6 +304,8 @@ def _cross(percent: int):
                 ok &= i[:, None] < right[None, :]
             for x, y in zip(*np.nonzero(ok)):
                 a, b = key[i[x]], key[right[y]]
+                if listed[i[x]] is not None and min(listed[i[x]] & listed[right[y]], default=sig) < sig:
+                    continue  # leaves the group of that signature
                 yield (a, b) if a < b else (b, a)
 
     def run(batches):
@@ -310,7 +318,7 @@ def _cross(percent: int):
             return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*pairs)], names=names)
 
         for batch in batches:
-            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "bi", "bj", "blk", "n", "lab", "long_key")}
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "bi", "bj", "blk", "n", "lab", "long_key", "listed")}
             rows["sketch"] = np.column_stack([batch.column(c).to_numpy() for c in SKETCH]).view(U64) if batch.num_rows else np.zeros((0, 8), U64)
             if held is not None:
                 rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
@@ -384,10 +392,13 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     named = written(sets.select("key", "long_key").distinct().join(label.withColumnRenamed("id", "long_key"), "long_key", "left").select("key", "long_key", F.coalesce("lab", "long_key").alias("lab")), "jaccard-named")
     members = written(groups.select("sig", "key").distinct().join(named, "key").select("sig", "long_key", "lab"), "jaccard-members")
-    mixed = written(members.groupBy("sig").agg(F.min("lab").alias("low"), F.max("lab").alias("high"), F.count(F.lit(1)).alias("g")).where("low <> high").select("sig", F.ceil(F.col("g") / GROUP_BLOCK).cast("int").alias("blocks")), "jaccard-mixed")
-    open_ = members.join(mixed, "sig").join(sets.select("long_key", "n", *SKETCH), "long_key")
+    mixed = written(members.groupBy("sig").agg(F.min("lab").alias("low"), F.max("lab").alias("high"), F.count(F.lit(1)).alias("g")).where("low <> high").select("sig", (F.col("g") > LISTED_GROUP).alias("large"), F.ceil(F.col("g") / GROUP_BLOCK).cast("int").alias("blocks")), "jaccard-mixed")
+    open_ = written(members.join(mixed, "sig"), "jaccard-open")
+    lists = open_.where("large").groupBy("long_key").agg(F.slice(F.sort_array(F.collect_set("sig")), 1, LISTED).alias("listed"))
+    plain = sets.select("long_key", "n", *SKETCH)
+    open_ = open_.where("NOT large").withColumn("listed", F.lit(None).cast("array<bigint>")).unionByName(open_.where("large").join(lists, "long_key")).join(plain, "long_key")
     open_ = open_.withColumn("blk", F.pmod(F.xxhash64("long_key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    open_ = open_.select("sig", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj"), "blk", "n", "lab", "long_key", *SKETCH)
+    open_ = open_.select("sig", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj"), "blk", "n", "lab", "long_key", "listed", *SKETCH)
     pairs = open_.repartition(shuffle_partitions(spark), "sig", "bi", "bj").sortWithinPartitions("sig", "bi", "bj").mapInArrow(_cross(percent), "a binary, b binary")
     crossed = written(_verified(written(pairs.distinct(), "jaccard-cross"), sets, "long_key", percent), "jaccard-cross-links")
 

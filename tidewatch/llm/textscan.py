@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
