@@ -6,9 +6,8 @@ Native: DataFrame functions only.
    five-word shingles (fewer words: all of them as one shingle) is sought in
    overlapping windows of T shingles, every T // 8 shingles (at least every one).
 2. Before that, texts drop out that cannot match: a match needs one shingle of a
-   template, hence one of the template's anchor words (a set of words that
-   meets each of its shingles). And windows drop out without any shingle of a
-   template of their size. Both are necessary conditions, so nothing is lost.
+   template, hence one of its ``anchors``. And windows drop out without any shingle
+   of a template of their size. Both are necessary conditions, so nothing is lost.
 3. Each window gets ``bands`` MinHash bands of ``ROWS`` values. A window that holds the
    share c of a template's shingles has Jaccard similarity of at least
    c / (2 - c); the number of bands makes that collide with probability of at
@@ -27,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +38,7 @@ LEAST = 0.8
 CERTAINTY = 0.999
 ROWS = 2
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # The sentences by which texts state their licenses.
 TEMPLATES = {
@@ -61,16 +62,21 @@ def template_words(text: str) -> list[str]:
     return re.findall(WORD, re.sub("[A-Z]", lambda m: m[0].lower(), text))
 
 
-def anchors(words: list[str]) -> set[str]:
-    """Words of a template such that each of its shingles holds one; long words first."""
-    k = min(SHINGLE, len(words))
-    left = [set(words[i:i + k]) for i in range(len(words) - k + 1)]
-    out: set[str] = set()
-    while left:
-        best = max(sorted({w for s in left for w in s}), key=lambda w: (sum(w in s for s in left) * len(w), w))
-        out.add(best)
-        left = [s for s in left if best not in s]
-    return out
+def anchors(words: list[str]) -> list[list[str]]:
+    """Runs of three words of a template such that each of its shingles holds one:
+    those at every third word, as five words in a row hold one of them whole."""
+    if len(words) < SHINGLE:
+        return [words]
+    return [words[i:i + 3] for i in range(0, len(words) - 2, 3)]
+
+
+def may_match(text: Column, runs: list[list[str]]) -> Column:
+    """Whether a lower-cased text holds one of the runs: its longest word, cheap to
+    look for, and then the words in a row with nothing but separators between."""
+    def one(run: list[str]) -> Column:
+        return F.contains(text, F.lit(max(run, key=len))) & text.rlike(SEPARATORS.join(map(re.escape, run)))
+
+    return reduce(lambda x, y: x | y, map(one, runs))
 
 
 def _shingles(words: str, k: int) -> Column:
@@ -112,10 +118,11 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
     if not known:
         return spark.createDataFrame([], kind_names)
 
-    text = lower_ascii(whole_text(text_col))
-    words = sorted(set().union(*(anchors(w) for w in known.values())))
-    src = docs.select(F.col(id_col).alias("id"), text.alias("text")).where(F.expr(" OR ".join(f"contains(text, '{w}')" for w in words)))
-    src = src.select("id", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"))
+    runs = [list(r) for r in sorted({tuple(r) for w in known.values() for r in anchors(w)})]
+    lowered = lower_ascii(whole_text(text_col))
+    # Bound to a variable, the text is lower-cased once for all the conditions.
+    src = docs.where(F.exists(F.array(lowered), lambda t: may_match(t, runs)))
+    src = src.select(F.col(id_col).alias("id"), F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0)).alias("words"))
     by_k = {k: _shingles("words", k) for k, _ in kinds}
     src = src.select("id", *[c.alias(f"h{k}") for k, c in by_k.items()])
 
