@@ -80,17 +80,12 @@ def random_videos(seed, n_channels=6, max_videos=30):
     return rows
 
 
-@pytest.mark.parametrize("seed,blocked", [(1, False), (2, False), (3, True), (4, True)])
-def test_features_match_pandas_rules(spark, seed, blocked):
+@pytest.mark.parametrize("seed,blocks", [(1, 1), (2, 3), (3, 8), (4, 40)])
+def test_features_match_pandas_rules(spark, seed, blocks):
     rows = random_videos(seed)
     ch = spark.createDataFrame([(f"ch{c}",) for c in range(7)], "channel_id string")   # ch6: no videos
     vi = spark.createDataFrame(rows, VSCHEMA)
-    if blocked:
-        spark.conf.set("spark.tidewatch.maxInMemoryGroupRows", "0")
-    try:
-        got = {r["channel_id"]: r for r in FE.compute_features(ch, vi, REF, blocks=3).collect()}
-    finally:
-        spark.conf.unset("spark.tidewatch.maxInMemoryGroupRows")
+    got = {r["channel_id"]: r for r in FE.compute_features(ch, vi, REF, blocks=blocks).collect()}
     pdf = pd.DataFrame(rows, columns=["video_id", "channel_id", "published_at", "view_count", "like_count",
                                       "comment_count", "comments_disabled", "duration_seconds"])
     pdf["published_at"] = pd.to_datetime(pdf["published_at"])

@@ -28,15 +28,22 @@ def test_tier_monotone_ties_and_small(spark):
     assert ranks == sorted(ranks)
 
 
-def test_distributed_thresholds_match_in_task(spark):
-    df = spark.createDataFrame([(i, ((i * 7919) % 101) / 101) for i in range(101)], "id int, risk_score double")
-    a = SC.tier_thresholds(df)
-    spark.conf.set("spark.tidewatch.maxInMemoryGroupRows", "0")
-    try:
-        b = SC.tier_thresholds(df)
-    finally:
-        spark.conf.unset("spark.tidewatch.maxInMemoryGroupRows")
-    assert a == b
+def test_thresholds_match_sorted_positions(spark):
+    scores = [((i * 7919) % 101) / 101 for i in range(101)]
+    df = spark.createDataFrame(list(enumerate(scores)), "id int, risk_score double")
+    ranked = sorted(scores)
+    assert SC.tier_thresholds(df) == (ranked[29], ranked[71])
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6])
+def test_labels_by_rank_of_mean_risk(spark, n):
+    """Every number of clusters, ties by id, no cluster without a label."""
+    rows = [(c, 1.0 - c / 10) for c in range(n) for _ in range(2)]
+    df = spark.createDataFrame(rows, "cluster_id int, risk_score double")
+    got = {r["cluster_id"]: r["cluster_label"] for r in SC.label_clusters(df).collect()}
+    picks = {1: None, 2: [0, 4], 3: [0, 2, 4], 4: [0, 1, 3, 4]}.get(n, [min(i, 4) for i in range(n)])
+    want = [R.SINGLE_CLUSTER_LABEL] if n == 1 else [R.LABEL_TEMPLATES[i] for i in picks]
+    assert [got[c] for c in range(n)] == want
 
 
 def test_risk_score_range_and_weights(spark):

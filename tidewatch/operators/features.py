@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -138,13 +137,10 @@ def compute_features(channels: DataFrame, videos: DataFrame, ref, short: int = 3
     ``insufficient_history`` true. Empty ``channels`` or ``videos`` give an
     empty frame (N5b).
     """
-    # The narrow per-video frame feeds the group-size check and the window
-    # pass; it is persisted (memory, then disk) so the scan and dedup run once.
-    # Recomputing a lost block is deterministic.
-    metrics = video_metrics(videos, ref, short, long, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    metrics = video_metrics(videos, ref, short, long, cols)
     agg = channel_aggregates(ordered_videos(metrics, blocks))
     ids = channels.select(F.col(channel_col).alias("channel_id")).where(F.col("channel_id").isNotNull()).distinct()
     # No videos at all -> no rows (an EXISTS subquery reading one row).
-    ids = ids.where(metrics.exists())
+    ids = ids.where(videos.exists())
     joined = ids.join(agg, "channel_id", "left").fillna(0, ["n_all", "n_short", "n_long"])
     return features_from_aggregates(joined, ref, short, long, min_videos).select(*FEATURE_OUTPUT)

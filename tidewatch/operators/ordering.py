@@ -30,27 +30,6 @@ def _n_blocks(df: DataFrame, blocks: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-MAX_GROUP_CONF = "spark.tidewatch.maxInMemoryGroupRows"
-MAX_GROUP_DEFAULT = 2_000_000
-
-
-def max_group_rows(spark) -> int:
-    """Largest group a single task may hold (window buffer / sorted array).
-    Groups above it take the range-partitioned path."""
-    try:
-        return int(spark.conf.get(MAX_GROUP_CONF, str(MAX_GROUP_DEFAULT)))
-    except ValueError:
-        return MAX_GROUP_DEFAULT
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Size of the largest key group (one partial aggregation; C rows shuffled)."""
-    if not keys:
-        return int(df.count())
-    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c").alias("m")).collect()[0]["m"]
-    return int(r or 0)
-
-
 def _key_cond(left: str, right: str, keys: Sequence[str]):
     """Null-safe equality on ``keys`` between two aliased frames."""
     cond = None
@@ -63,27 +42,15 @@ def _key_cond(left: str, right: str, keys: Sequence[str]):
 def rank_in_groups(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                    carry: Sequence[str] = (), blocks: int | None = None,
                    rank_col: str = "_rank", size_col: str = "_gsize",
-                   prev_prefix: str = "_prev_", max_group: int | None = None) -> DataFrame:
+                   prev_prefix: str = "_prev_") -> DataFrame:
     """Add ``rank_col`` (1-based rank inside each ``keys`` group under ``order``,
     which must be a total order), ``size_col`` (group size) and, for each column
     ``c`` in ``carry``, ``prev_prefix + c`` = value of ``c`` on the preceding row
     of the same group (NULL for the first row).
 
-    When the largest group is at most ``max_group`` rows (checked by one
-    aggregation; default from ``spark.tidewatch.maxInMemoryGroupRows``) plain
-    windows are used; otherwise rows are range-partitioned into blocks so a hot
-    key is split over many tasks. ``max_group=0`` forces the blocked path."""
+    Rows are range-partitioned into blocks, whatever the group sizes, so a hot
+    key is split over many tasks and no key needs a probe."""
     keys = list(keys)
-    limit = max_group_rows(df.sparkSession) if max_group is None else max_group
-    if limit > 0 and largest_group(df, keys) <= limit:
-        # Every group is proven small enough for one task: plain windows,
-        # one exchange on the keys (reused by a following groupBy on them).
-        w = Window.partitionBy(*keys).orderBy(*order)
-        out = df.withColumn(rank_col, F.row_number().over(w)) \
-            .withColumn(size_col, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-        for c in carry:
-            out = out.withColumn(prev_prefix + c, F.lag(c).over(w))
-        return out
     n = _n_blocks(df, blocks)
     # Range bounds come from a sample of rows whose order after a shuffle is not
     # fixed, so the block ids are written once (reliable checkpoint in the shared
@@ -145,45 +112,24 @@ def global_index(df: DataFrame, order: Sequence[Column], blocks: int | None = No
     return ranged.withColumn(index_col, F.col("_mid") + F.col("_delta")).drop("_pid", "_mid", "_delta")
 
 
-def kth_values(df: DataFrame, value_col: str, ks: Sequence[int], blocks: int | None = None,
-               max_group: int | None = None, n: int | None = None) -> dict[int, float]:
-    """Exact k-th smallest (0-based) non-null values of ``value_col``. Up to
-    ``max_group`` values (checked count) are sorted in one task; beyond that a
-    distributed global index is used."""
+def kth_values(df: DataFrame, value_col: str, ks: Sequence[int], blocks: int | None = None) -> dict[int, float]:
+    """Exact k-th smallest (0-based) non-null values of ``value_col``, picked from
+    a distributed global index."""
     vals = df.select(F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
-    wanted = sorted(set(int(k) for k in ks))
-    limit = max_group_rows(df.sparkSession) if max_group is None else max_group
-    n = vals.count() if n is None else n
-    if n <= limit:
-        arr = F.array_sort(F.collect_list("_v"))
-        row = vals.agg(*[F.element_at(arr, k + 1).alias(f"k{k}") for k in wanted if k < n]).collect()[0]
-        return {k: row[f"k{k}"] for k in wanted if k < n}
     idx = global_index(vals, [F.col("_v").asc()], blocks)
-    rows = idx.where(F.col("_gidx").isin(wanted)).select("_gidx", "_v").collect()
+    rows = idx.where(F.col("_gidx").isin(sorted(set(int(k) for k in ks)))).select("_gidx", "_v").collect()
     return {r["_gidx"]: r["_v"] for r in rows}
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = (), blocks: int | None = None,
-                    max_group: int | None = None) -> DataFrame:
+                    group_cols: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
     """Linear-interpolation quantiles (numpy / pandas / ``quantile_cont``
     definition) of non-null ``value_col`` per group: columns group..., p, q.
     Exact, and no group is held in one aggregation buffer."""
     group_cols = list(group_cols)
     vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    limit = max_group_rows(df.sparkSession) if max_group is None else max_group
-    if limit > 0 and largest_group(vals, group_cols) <= limit:
-        # Groups proven small: sort each group's values in one task.
-        g = vals.groupBy(*group_cols).agg(F.array_sort(F.collect_list("_v")).alias("_a"))
-        g = g.withColumn("_n", F.size("_a")).withColumn(
-            "p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        h = (F.col("_n") - 1) * F.col("p")
-        lo = F.floor(h).cast("int")
-        hi = F.least(lo + 1, F.col("_n") - 1)
-        vlo, vhi = F.element_at("_a", lo + 1), F.element_at("_a", hi + 1)
-        return g.select(*group_cols, "p", (vlo + (h - lo) * (vhi - vlo)).alias("q"))
     order = [F.col(g).asc_nulls_first() for g in group_cols] + [F.col("_v").asc()]
-    ranked = rank_in_groups(vals, group_cols, order, blocks=blocks, max_group=0) if group_cols else None
+    ranked = rank_in_groups(vals, group_cols, order, blocks=blocks) if group_cols else None
     if ranked is None:
         idx = global_index(vals, order, blocks)
         n = idx.count()

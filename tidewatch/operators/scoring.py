@@ -6,7 +6,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,15 +30,14 @@ def tier_thresholds(df: DataFrame, score: str = "risk_score", low_q: float = 0.3
     Uses a distributed global index (range partition + per-partition counts),
     so only a handful of scalars reach the driver. Returns (low, high) or None
     when there are no scores."""
-    vals = df.select(score).where(F.col(score).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    vals = df.select(score).where(F.col(score).isNotNull())
     n = vals.count()
     if n == 0:
         return None
     lo_i = max(int(math.floor(n * low_q)) - 1, 0)
     hi_i = min(int(math.ceil(n * high_q)), n - 1)
     m1, m2 = (n - 1) // 2, n // 2
-    kv = kth_values(vals, score, [lo_i, hi_i, m1, m2], n=n)
-    vals.unpersist()
+    kv = kth_values(vals, score, [lo_i, hi_i, m1, m2])
     low, high = kv[lo_i], kv[hi_i]
     if low >= high:
         med = (kv[m1] + kv[m2]) / 2.0
@@ -59,15 +57,15 @@ def assign_tiers(df: DataFrame, score: str = "risk_score", out: str = "risk_flag
 def label_clusters(df: DataFrame, cluster: str = "cluster_id", risk: str = "risk_score",
                    out: str = "cluster_label") -> DataFrame:
     """Rank clusters by mean risk (desc, then id) and map to labels.
-    The per-cluster table has one row per cluster (bounded by the model's k)."""
-    per = df.groupBy(cluster).agg(F.avg(risk).alias("_mr")).collect()     # one row per cluster
-    ranked = sorted(per, key=lambda r: (r["_mr"] is None, -(r["_mr"] or 0.0), r[cluster]))
-    spark = df.sparkSession
-    ctype = df.schema[cluster].dataType.simpleString()
-    ranks = spark.createDataFrame([(r[cluster], i, len(ranked)) for i, r in enumerate(ranked)],
-                                  f"{cluster} {ctype}, _i int, _n int")
-    labels = ranks.select(cluster, R.label_for_rank("_i", "_n").alias(out))
-    return df.drop(out).join(F.broadcast(labels), cluster, "left")
+    Every rank from the fifth on has the last template, so four clusters and
+    the count decide all labels, however many clusters a model finds."""
+    per = df.where(F.col(cluster).isNotNull()).groupBy(cluster).agg(F.avg(risk).alias("_mr"))
+    n = per.count()
+    top = per.orderBy(F.col("_mr").desc_nulls_last(), F.col(cluster).asc()).limit(4).collect()
+    i = F.lit(4)
+    for rank, r in enumerate(top):
+        i = F.when(F.col(cluster) == F.lit(r[cluster]), F.lit(rank)).otherwise(i)
+    return df.drop(out).withColumn(out, F.when(F.col(cluster).isNotNull(), R.label_for_rank(i, F.lit(n))))
 
 
 def unscored_rows(unscored: DataFrame, model_version: str, scored_at: Column) -> DataFrame:
