@@ -1,6 +1,7 @@
 """Landing JSON, seeds, batching, budget (reference load / extraction tests)."""
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewatch import schemas as SCH
@@ -77,3 +78,32 @@ def test_seed_first_n_in_file_order(spark):
     from tidewatch.operators import clean as CL
     seeds = CL.build_seed(LD.read_seed_csv(spark, path), ordinal="_ordinal").orderBy("_ordinal").collect()
     assert [r["channel_id"] for r in seeds] == ids[:6] and seeds[0]["name"] == "n0"
+
+
+def test_missing_landing_folder_is_empty(spark):
+    assert LD.read_videos_json(spark, scratch_path(spark, "none")).collect() == []
+    assert LD.read_channels_json(spark, scratch_path(spark, "none"), multi_line=True).collect() == []
+
+
+def test_manifest_header(spark):
+    root = scratch_path(spark, "manifest")
+    _write(spark, root, "f", "a,b,c")
+    with pytest.raises(ValueError):
+        LD.read_manifest(spark, root)
+
+
+def test_stream_keeps_items_without_id_and_second_checkpoints(spark):
+    """An item without id is kept as in batch, an empty page has no row, and a
+    second checkpoint neither overwrites nor skips rows of the first."""
+    from tidewatch.operators import merge as MG
+    from tidewatch.streaming import ingest as ST
+    root = scratch_path(spark, "stream-io")
+    _write(spark, f"{root}/a", "f1", '[{"id": "v1", "statistics": {"viewCount": "1"}}, {"statistics": {"viewCount": "2"}}]')
+    _write(spark, f"{root}/a", "f2", "[]")
+    _write(spark, f"{root}/b", "f1", '[{"id": "v1", "statistics": {"viewCount": "3"}}, {"id": "v1", "statistics": {"viewCount": "4"}}]')
+    for s in ("a", "b"):
+        for _ in range(2):                                                   # the second run finds nothing new
+            ST.ingest_landing_stream(spark, f"{root}/{s}", SCH.VIDEO_ITEM, LD.flatten_videos, f"{root}/out", f"{root}/cp-{s}").awaitTermination()
+            ST.stream_upsert(spark, f"{root}/{s}", SCH.VIDEO_ITEM, LD.flatten_videos, f"{root}/table", f"{root}/up-{s}", ["video_id"]).awaitTermination()
+    assert sorted((r["video_id"], r["view_count"]) for r in spark.read.parquet(f"{root}/out").collect()) == [("", 2), ("v1", 1), ("v1", 3), ("v1", 4)]
+    assert sorted((r["video_id"], r["view_count"]) for r in MG.read_current(spark, f"{root}/table").collect()) == [("", 2), ("v1", 4)]

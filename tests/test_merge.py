@@ -40,3 +40,28 @@ def test_versioned_merge_is_replay_safe(spark):
     assert MG.committed_versions(spark, base) == [1, 2]
     rec = {r["table_name"]: r for r in MG.reconcile({"x": again}, {"x": 2, "y": 0}).collect()}
     assert rec["x"]["match"] is True and rec["y"]["match"] is False and rec["y"]["actual"] is None
+
+
+def test_merge_rewrites_only_touched_buckets(spark):
+    """One key's merge leaves the other buckets' folders; old folders go, readers of the last two versions stay."""
+    base = scratch_path(spark, "merge-buckets")
+    MG.merge_into(spark, base, spark.createDataFrame([(f"c{i}", f"t{i}", i) for i in range(200)], T), ["channel_id"], buckets=8)
+    first = MG._version(spark, base, 1)["folders"]
+    assert len(first) == 8
+    for n in range(2, 6):
+        MG.merge_into(spark, base, spark.createDataFrame([("c5", "new", n)], T), ["channel_id"])
+    last = MG._version(spark, base, 5)["folders"]
+    assert sum(v == 5 for v in last.values()) == 1 and sum(v == 1 for v in last.values()) == 7
+    rows = {r["channel_id"]: tuple(r) for r in MG.read_current(spark, base).collect()}
+    assert len(rows) == 200 and rows["c5"] == ("c5", "new", 5) and rows["c7"] == ("c7", "t7", 7)
+    assert MG.committed_versions(spark, base) == [4, 5]
+
+
+def test_merge_replays_by_origin(spark):
+    base = scratch_path(spark, "merge-origin")
+    one, two = (spark.createDataFrame([("a", t, n)], T) for t, n in (("x", 1), ("y", 2)))
+    MG.merge_into(spark, base, one, ["channel_id"], origin="s1:0")
+    MG.merge_into(spark, base, two, ["channel_id"], origin="s2:0")          # another stream's batch 0
+    again = MG.merge_into(spark, base, one, ["channel_id"], origin="s1:0")  # a replay
+    assert [tuple(r) for r in again.collect()] == [("a", "y", 2)]
+    assert MG.committed_versions(spark, base) == [1, 2]

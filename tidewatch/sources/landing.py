@@ -10,33 +10,48 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as SC
 from ..functions import scalar as S
 from ..operators.ordering import dedup_first
+from ..session import exists
 
+ITEM_ORDER = "_item_order"   # place of an item: file, block, page, position in the page
 
-def read_landing(spark: SparkSession, path: str, schema, multi_line: bool = False) -> DataFrame:
+
+def read_landing(spark: SparkSession, path: str, schema, multi_line: bool = False, ordered: bool = False) -> DataFrame:
     """Raw items of every landing file under ``path``, with ``_source_file``
     and ``_corrupt_record`` (the text of a page/file that is not a JSON array
     of items; its item columns are NULL).
 
     Pages are read as text and parsed with ``from_json`` against an explicit
-    array schema: one page per line, or one page per file (``multi_line``).
+    array schema: one page per line, or one page per file (``multi_line``). A
+    missing folder holds no items. ``ordered`` keeps each item's place.
     """
-    from pyspark.sql import types as T
+    if not exists(spark, path):
+        none = spark.createDataFrame([], "value string, _source_file string, _block long")
+        return parse_pages(none, schema) if ordered else parse_pages(none, schema).drop(ITEM_ORDER)
     txt = (spark.read.option("wholetext", multi_line).option("recursiveFileLookup", True).text(path)
-           .select(F.col("value"), F.col("_metadata.file_path").alias("_source_file"))
-           .where(F.length(F.trim("value")) > 0))
-    parsed = txt.select("_source_file", "value",
-                        F.from_json("value", T.ArrayType(schema), {"mode": "PERMISSIVE"}).alias("_items"))
-    ok = parsed.where(F.col("_items").isNotNull()).select(
-        "_source_file", F.explode("_items").alias("_item"), F.lit(None).cast("string").alias(SC.CORRUPT_COL))
-    ok = ok.select(*[F.col(f"_item.{f.name}").alias(f.name) for f in schema.fields], SC.CORRUPT_COL, "_source_file")
-    bad = parsed.where(F.col("_items").isNull()).select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields],
-        F.col("value").alias(SC.CORRUPT_COL), "_source_file")
-    return ok.unionByName(bad)
+           .select("value", F.col("_metadata.file_path").alias("_source_file"),
+                   F.col("_metadata.file_block_start").alias("_block")))
+    items = parse_pages(txt, schema)
+    return items if ordered else items.drop(ITEM_ORDER)
+
+
+def parse_pages(pages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Items of pages (value, _source_file, _block), parsed once: the item's fields,
+    the text of a page that is no array of items, the file, and the item's
+    place (file, block, page, position). An empty page has no row."""
+    parsed = pages.where(F.length(F.trim("value")) > 0).select(
+        "value", "_source_file", F.struct(F.col("_source_file").alias("f"), F.col("_block").alias("b"),
+                                          F.monotonically_increasing_id().alias("i")).alias("_page"),
+        F.from_json("value", T.ArrayType(schema), {"mode": "PERMISSIVE"}).alias("_items"))
+    parsed = parsed.where(F.col("_items").isNull() | (F.size("_items") > 0))
+    one = parsed.select("_source_file", "_page", F.when(F.col("_items").isNull(), F.col("value")).alias(SC.CORRUPT_COL),
+                        F.posexplode_outer("_items").alias("_pos", "_item"))
+    return one.select(*[F.col(f"_item.{f.name}").alias(f.name) for f in schema.fields], SC.CORRUPT_COL, "_source_file",
+                      F.struct("_page.*", F.col("_pos").alias("p")).alias(ITEM_ORDER))
 
 
 def split_corrupt(raw: DataFrame):
@@ -48,12 +63,6 @@ def split_corrupt(raw: DataFrame):
     return good, bad.select("_source_file", SC.CORRUPT_COL)
 
 
-def corrupt_files(raw: DataFrame) -> DataFrame:
-    """S3 summary: one row per unreadable file with its number of bad records."""
-    _, bad = split_corrupt(raw)
-    return bad.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n_corrupt_records"))
-
-
 def read_channels_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """S1 (cleaning projection): id, title, three counters as text->double, hidden flag."""
     raw, _ = split_corrupt(read_landing(spark, path, SC.CHANNEL_ITEM, multi_line))
@@ -71,9 +80,9 @@ def flatten_channels(raw: DataFrame) -> DataFrame:
     )
 
 
-def channel_dim_and_snapshots(raw: DataFrame, as_of, fetched_at: Column | None = None):
+def channel_dim_and_snapshots(raw: DataFrame, as_of, fetched_at: Column | None = None, *also: str):
     """One item -> a dimension row and a dated snapshot row (two selects of
-    one parsed frame)."""
+    one parsed frame); ``also`` names columns of ``raw`` to carry along."""
     fetched = fetched_at if fetched_at is not None else S.ts_lit(as_of)
     dim = raw.select(
         S.text_or_empty("id").alias("channel_id"),
@@ -83,6 +92,7 @@ def channel_dim_and_snapshots(raw: DataFrame, as_of, fetched_at: Column | None =
         S.parse_ts("snippet.publishedAt").alias("published_at"),
         F.col("contentDetails.relatedPlaylists.uploads").alias("uploads_playlist_id"),
         fetched.alias("fetched_at"),
+        *also,
     )
     snap = raw.select(
         S.text_or_empty("id").alias("channel_id"),
@@ -91,6 +101,7 @@ def channel_dim_and_snapshots(raw: DataFrame, as_of, fetched_at: Column | None =
         S.safe_bool("statistics.hiddenSubscriberCount").alias("subscriber_hidden"),
         S.safe_int("statistics.viewCount").alias("view_count_total"),
         S.safe_int("statistics.videoCount").alias("video_count"),
+        *also,
     )
     return dim, snap
 
@@ -101,7 +112,8 @@ def read_videos_json(spark: SparkSession, path: str, multi_line: bool = False) -
     return flatten_videos(raw)
 
 
-def flatten_videos(raw: DataFrame) -> DataFrame:
+def flatten_videos(raw: DataFrame, *also: str) -> DataFrame:
+    """Flat video rows; ``also`` names columns of ``raw`` to carry along."""
     st = F.col("statistics")
     return raw.select(
         S.text_or_empty("id").alias("video_id"),
@@ -112,13 +124,13 @@ def flatten_videos(raw: DataFrame) -> DataFrame:
         S.safe_int(st.getItem("commentCount")).alias("comment_count"),
         S.key_absent(st, "commentCount").alias("comments_disabled"),
         S.iso8601_duration_seconds("contentDetails.duration").alias("duration_seconds"),
+        *also,
     )
 
 
 def read_table(spark: SparkSession, path: str, schema=None, missing: str = "empty") -> DataFrame:
     """Parquet table. A missing path gives an empty frame of ``schema``
     (``missing='empty'``) or raises (``missing='error'``)."""
-    from ..session import exists
     if not exists(spark, path):
         if missing == "error" or schema is None:
             raise FileNotFoundError(path)
@@ -144,20 +156,22 @@ def read_seed_csv(spark: SparkSession, path: str, n: int | None = None) -> DataF
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Manifest rows, last row per (channel_id, stage) in file order."""
+    """Manifest rows, last row per (channel_id, stage) in file order. A
+    file without the expected header raises."""
+    if not manifest_header_ok(spark, path):
+        raise ValueError(f"{path} has no manifest header")
     df = with_file_order(spark.read.option("header", True).schema(SC.MANIFEST).csv(path))
     return dedup_first(df, ["channel_id", "stage"], ["_ordinal"], keep="last").drop("_ordinal")
 
 
 def manifest_header_ok(spark: SparkSession, path: str) -> bool:
     """S7 header check: the first line of the manifest equals the expected header."""
-    first = spark.read.text(path).limit(1).collect()
-    return bool(first) and first[0][0].strip() == ",".join(SC.MANIFEST_HEADER)
+    heads = spark.read.text(path).where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") == ",".join(SC.MANIFEST_HEADER)))
+    return not heads.isEmpty()
 
 
 def read_previous_report(spark: SparkSession, path: str) -> DataFrame:
     """At-Risk ids of a previous report CSV; a missing file -> empty."""
-    from ..session import exists
     if not exists(spark, path):
         return spark.createDataFrame([], "channel_id string, risk_flag string")
     df = spark.read.option("header", True).schema(SC.REPORT_CSV).csv(path)

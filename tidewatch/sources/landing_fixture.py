@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..session import scratch_path
-from .bindings import B1, table
+from .bindings import B1_DEDUP_ORDER, table
 
 VIDEO_SPLIT = _dt.datetime(1999, 7, 1)
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -60,11 +60,13 @@ def channel_items(spark: SparkSession, sf_dir: str, repeat: bool = False) -> Dat
     content = F.struct(F.struct(uploads.alias("uploads"), F.lit("").alias("likes")).alias("relatedPlaylists"))
     item = F.struct(cid.alias("id"), F.when(~missing, snippet).alias("snippet"),
                     F.when(~missing, stats).alias("statistics"), F.when(~missing, content).alias("contentDetails"))
-    return c.select(F.floor(F.col("c_custkey") / 50).alias("page"), item.alias("item"))
+    return c.select(F.floor(F.col("c_custkey") / 50).alias("page"), F.struct("c_custkey").alias("ord"), item.alias("item"))
 
 
-def video_items(spark: SparkSession, sf_dir: str, lo=None, hi=B1.ref) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") < S.ntz_lit(hi))
+def video_items(spark: SparkSession, sf_dir: str, lo=None, hi=None) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    if hi is not None:
+        li = li.where(F.col("l_shipdate") < S.ntz_lit(hi))
     if lo is not None:
         li = li.where(F.col("l_shipdate") >= S.ntz_lit(lo))
     stats = F.map_filter(F.create_map(
@@ -79,13 +81,16 @@ def video_items(spark: SparkSession, sf_dir: str, lo=None, hi=B1.ref) -> DataFra
                  F.date_format(S.ts_utc("l_shipdate"), ISO_FMT).alias("publishedAt")).alias("snippet"),
         stats.alias("statistics"),
         F.struct(S.seconds_to_iso(F.floor(F.col("l_quantity") * 37)).alias("duration")).alias("contentDetails"))
-    return li.select(F.floor(F.col("l_orderkey") / 8).alias("page"), item.alias("item"))
+    return li.select(F.floor(F.col("l_orderkey") / 8).alias("page"), F.struct(*B1_DEDUP_ORDER).alias("ord"), item.alias("item"))
 
 
 def write_pages(items: DataFrame, path: str) -> None:
-    """One JSON array (an API page, bounded size) per line."""
-    pages = items.groupBy("page").agg(F.to_json(F.collect_list("item")).alias("value"))
-    pages.select("value").write.mode("overwrite").text(path)
+    """One JSON array (an API page, bounded size) per line. Pages follow their
+    number over the files, items their order (``ord``) in the page."""
+    rows = items.select("page", F.struct("ord", F.to_json("item").alias("json")).alias("r"))
+    pages = rows.groupBy("page").agg(F.sort_array(F.collect_list("r")).alias("rows"))
+    value = F.concat(F.lit("["), F.array_join(F.col("rows.json"), ","), F.lit("]"))
+    pages.repartitionByRange("page").sortWithinPartitions("page").select(value.alias("value")).write.mode("overwrite").text(path)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

@@ -6,12 +6,18 @@ item schema (as in batch), so a broken page cannot stop the stream; it is
 routed to a quarantine folder.
 
 T2 ``stream_upsert``: ``foreachBatch`` merge of each micro-batch into a
-versioned parquet table; the version number is the batch id, so replaying a
-batch after a failure finds the committed version and does nothing.
+bucketed table. A stream is known by its checkpoint folder; the table's version
+remembers the newest batch of each stream, so replaying a batch after a failure
+does nothing, and a stream with a new checkpoint starts afresh.
+
+Items are ordered by file, place in the file and place in the page, so of
+repeated keys the last one wins as if rows were applied one by one. Items
+without an id are kept, as in batch; only an empty page has no items.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,61 +26,68 @@ from pyspark.sql import types as T
 
 from .. import schemas as SC
 from ..operators import merge as MG
-from ..sources.landing import split_corrupt
+from ..session import scratch_path
+from ..sources.landing import ITEM_ORDER, parse_pages, split_corrupt
+
+
+def stream_id(checkpoint: str) -> str:
+    """Name of the stream that keeps its progress in ``checkpoint``."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
 
-def landing_stream(spark: SparkSession, path: str, item_schema: T.StructType,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame of parsed items (+ ``_source_file``, ``_corrupt_record``)."""
+def landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming frame of landing pages: a line of text each, with its file and place."""
     r = spark.readStream.format("text").option("recursiveFileLookup", True)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    txt = r.load(path).select("value", F.col("_metadata.file_path").alias("_source_file")) \
-        .where(F.length(F.trim("value")) > 0)
-    parsed = txt.select("_source_file", "value",
-                        F.from_json("value", T.ArrayType(item_schema), {"mode": "PERMISSIVE"}).alias("_items"))
-    ok = parsed.select("_source_file", F.explode_outer("_items").alias("_item"),
-                       F.when(F.col("_items").isNull(), F.col("value")).alias(SC.CORRUPT_COL))
-    return ok.select(*[F.col(f"_item.{f.name}").alias(f.name) for f in item_schema.fields],
-                     SC.CORRUPT_COL, "_source_file")
+    return r.load(path).select("value", F.col("_metadata.file_path").alias("_source_file"),
+                               F.col("_metadata.file_block_start").alias("_block"))
+
+
+def _items(batch: DataFrame, item_schema: T.StructType) -> DataFrame:
+    """Items of a micro-batch, parsed once and written, so that the good rows, the
+    corrupt files and the quarantine read one result."""
+    path = scratch_path(batch.sparkSession, "stream-batch")
+    parse_pages(batch, item_schema).write.parquet(path)
+    return batch.sparkSession.read.parquet(path)
 
 
 def ingest_landing_stream(spark: SparkSession, path: str, item_schema: T.StructType,
                           flatten: Callable[[DataFrame], DataFrame], out_path: str, checkpoint: str,
                           quarantine_path: str | None = None, available_now: bool = True):
-    """Flattened rows of new files under ``out_path/batch_id=<n>``
+    """Flattened rows of new files under ``out_path/stream=<id>/batch_id=<n>``
     (parquet, replay-safe); corrupt pages go to ``quarantine_path``. Returns
     the started query."""
-    items = landing_stream(spark, path, item_schema)
+    pages, sid = landing_stream(spark, path), stream_id(checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # One directory per micro-batch, overwritten on replay: a batch re-run
-        # after a failure between write and commit does not duplicate rows.
+        # One directory per stream and micro-batch, overwritten on replay: a batch
+        # re-run after a failure between write and commit does not duplicate rows.
         # A file is never split across micro-batches, so the batch rule of S3
         # (skip a file with any unreadable page) applies per micro-batch.
-        good, _ = split_corrupt(batch)
-        flatten(good.where(F.col("id").isNotNull())).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        good, bad = split_corrupt(_items(batch, item_schema))
+        flatten(good).write.mode("overwrite").parquet(f"{out_path}/stream={sid}/batch_id={batch_id}")
         if quarantine_path:
-            batch.where(F.col(SC.CORRUPT_COL).isNotNull()).select("_source_file", SC.CORRUPT_COL) \
-                .write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{quarantine_path}/stream={sid}/batch_id={batch_id}")
 
-    w = items.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    w = pages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
 def stream_upsert(spark: SparkSession, path: str, item_schema: T.StructType,
                   flatten: Callable[[DataFrame], DataFrame], table_path: str, checkpoint: str,
-                  keys: Sequence[str], update_cols: Sequence[str] | None = None,
-                  seq_col: str | None = None, available_now: bool = True):
-    """Idempotent keyed merge per micro-batch into a versioned table."""
-    items = landing_stream(spark, path, item_schema)
+                  keys: Sequence[str], update_cols: Sequence[str] | None = None, available_now: bool = True):
+    """Idempotent keyed merge per micro-batch into a bucketed table; of
+    repeated keys in a batch the last item wins."""
+    pages, sid = landing_stream(spark, path), stream_id(checkpoint)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        good = flatten(split_corrupt(batch)[0].where(F.col("id").isNotNull()))
-        MG.merge_into(batch.sparkSession, table_path, good, keys, version=int(batch_id) + 1,
-                      update_cols=update_cols, seq_col=seq_col)
+        good, _ = split_corrupt(_items(batch, item_schema))
+        rows = flatten(good, ITEM_ORDER)
+        MG.merge_into(batch.sparkSession, table_path, rows, keys, update_cols=update_cols, seq_col=ITEM_ORDER,
+                      origin=f"{sid}:{batch_id}")
 
-    w = items.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
+    w = pages.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
