@@ -22,8 +22,9 @@ def features_frame(spark, x):
                                  + ", insufficient_history boolean")
 
 
-def brute_silhouette(x, lab):
-    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
+def brute_silhouette(x, lab, squared=False):
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)
+    d = d if squared else np.sqrt(d)
     s = []
     for i in range(len(x)):
         own = (lab == lab[i])
@@ -57,11 +58,14 @@ def test_silhouette_exact_vs_bruteforce(spark):
     x, lab = blobs(n=120)
     df = spark.createDataFrame([(i, int(l), [float(v) for v in row]) for i, (row, l) in enumerate(zip(x, lab))],
                                "id long, label int, vec array<double>")
-    val, method = MD.silhouette(df, "vec", "label", id_col="id", block_size=32)
+    val, method = MD.silhouette(df, "vec", "label", id_col="id", method="euclidean", block_size=32)
     assert method == "euclidean"
     assert val == pytest.approx(brute_silhouette(x, lab), abs=1e-9)
-    sq, m2 = MD.silhouette(df.withColumn("vec", array_to_vector("vec")), "vec", "label", method="squared")
-    assert m2 == "squared_euclidean" and -1 <= sq <= 1
+    want = brute_silhouette(x, lab, squared=True)
+    floats = df.withColumn("vec", F.col("vec").cast("array<double>"))
+    for frame in (df.withColumn("vec", array_to_vector("vec")), floats):
+        sq, m2 = MD.silhouette(frame, "vec", "label")
+        assert m2 == "squared_euclidean" and sq == pytest.approx(want, abs=1e-9)
 
 
 def brute_dbscan(x, eps, ms):
@@ -131,17 +135,45 @@ def test_two_handmade_clusters_and_empty(spark):
     assert {r["risk_flag"] for r in res.clusters.collect()} == {"Unscored"}
 
 
-def test_batched_bootstrap_matches_structure(spark):
+def test_bootstrap_confidence(spark):
     x, _ = blobs(n=200, centers=3, std=0.5, seed=11)
     df = features_frame(spark, x)
     out, _ = MD.preprocess(df)
     f = MD.fit_model(out, "channel_id", "kmeans", 3, 3, 42, n_init=2)
-    conf, st = MD.bootstrap_confidence(out, f, "channel_id", n_iter=8, method="batched")
+    conf, st = MD.bootstrap_confidence(out, f, "channel_id", n_iter=8)
     vals = [r["confidence"] for r in conf.collect()]
     assert len(vals) == 200 and all(0 < v <= 1 for v in vals)
-    assert st["stability_mean"] > 0.9                     # well separated blobs are stable
-    conf2, st2 = MD.bootstrap_confidence(out, f, "channel_id", n_iter=3, method="refit", n_init=1)
+    assert st["stability_mean"] > 0.9 and st["n_unconverged"] == 0     # well separated blobs are stable
+    _, loose = MD.bootstrap_confidence(out, f, "channel_id", n_iter=8, align=False)
+    assert loose["stability_mean"] < st["stability_mean"]              # own cluster numbers of each refit
+    g = MD.fit_model(out, "channel_id", "gmm", 3, 3, 42)
+    conf2, st2 = MD.bootstrap_confidence(out, g, "channel_id", n_iter=2)
     assert conf2.count() == 200 and 0 < st2["stability_mean"] <= 1
+    one = MD.Fitted("dbscan", 1, None, out.select("channel_id", F.lit(0).alias("cluster_id")))
+    assert {r["confidence"] for r in MD.bootstrap_confidence(out, one, "channel_id")[0].collect()} == {0.5}
+
+
+def test_bootstrap_against_plain_lloyd(spark):
+    """Weights, starts and steps of the distributed refits against numpy on one machine."""
+    x, _ = blobs(n=90, d=3, centers=3, std=1.0, seed=5)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, v array<double>") \
+        .select("id", array_to_vector("v").alias("features")).repartition(4)
+    pts, centers, moving = MD.bootstrap_kmeans(df, "id", 3, n_iter=4, n_init=3, seed=7)
+    assert moving == 0 and centers.shape == (4, 3, 3)
+    rows = sorted((r["_id"], r["h"], r["v"]) for r in pts.collect())
+    h, v = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    w = MD.poisson_draws(h, np.arange(4), 7)
+    assert 0.8 < w.mean() < 1.2 and w.max() > 2
+    for it in range(4):                                                # each result is a fixed point of its own weights
+        near = ((v[:, None, :] - centers[it][None]) ** 2).sum(2).argmin(1)
+        for c in range(3):
+            m = w[:, it] * (near == c)
+            assert np.allclose((m[:, None] * v).sum(0) / m.sum(), centers[it][c], atol=1e-5)
+
+
+def test_poisson_table_reaches_the_tail():
+    cdf = MD._POISSON1_CDF
+    assert len(cdf) > 15 and 1 - cdf[-1] <= 2.0 ** -53 and (np.diff(cdf) >= 0).all()
 
 
 def test_components_on_a_long_chain(spark):
@@ -157,5 +189,7 @@ def test_silhouette_with_singleton_cluster(spark):
     lab = np.array([0, 0, 1, 1, 2])
     df = spark.createDataFrame([(i, int(l), [float(v) for v in r]) for i, (r, l) in enumerate(zip(x, lab))],
                                "id long, label int, vec array<double>")
-    val, _ = MD.silhouette(df, "vec", "label", id_col="id")
+    val, _ = MD.silhouette(df, "vec", "label", id_col="id", method="euclidean")
     assert val == pytest.approx(brute_silhouette(x, lab), abs=1e-12)
+    val, _ = MD.silhouette(df, "vec", "label")
+    assert val == pytest.approx(brute_silhouette(x, lab, squared=True), abs=1e-9)

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,8 +45,8 @@ from .ordering import exact_quantiles, global_index
 
 EPS64 = float(np.finfo(np.float64).eps)
 FIT_THREADS = 4   # concurrent model fits submitted from the driver
-DBSCAN_GRID = [(0.3, 2), (0.3, 3), (0.3, 5), (0.5, 2), (0.5, 3), (0.5, 5),
-               (0.8, 2), (0.8, 3), (0.8, 5), (1.0, 2), (1.0, 3), (1.0, 5)]
+# Fixed values that must equal the reference's for the same results: eps x min_samples.
+DBSCAN_GRID = [(eps, n) for eps in (0.3, 0.5, 0.8, 1.0) for n in (2, 3, 5)]
 
 
 # ---- M1 ------------------------------------------------------------------------
@@ -162,9 +162,6 @@ def predict(model, df: DataFrame) -> DataFrame:
 
 # ---- M5 -----------------------------------------------------------------------------
 
-SILHOUETTE_EXACT_MAX = 20000
-
-
 def _block_partial(it):
     """Per block pair: per point of the left block, the sum of distances and
     count of right-block points per right cluster (self excluded)."""
@@ -193,20 +190,25 @@ def _block_partial(it):
 
 
 def silhouette(df: DataFrame, features: str = "features", label: str = "cluster_id", id_col: str | None = None,
-               exclude_noise: bool = False, method: str = "auto", block_size: int = 256,
-               exact_max: int = SILHOUETTE_EXACT_MAX) -> tuple[float | None, str]:
-    """M5: mean silhouette. Returns (value, method used): 'euclidean' (exact,
-    scikit definition) when the checked row count is <= ``exact_max``, else
-    'squared_euclidean' (MLlib, O(n k)). None when fewer than 2 labels."""
+               exclude_noise: bool = False, method: str = "squared_euclidean",
+               block_size: int = 256) -> tuple[float | None, str]:
+    """M5: mean silhouette and the distance it used. None with fewer than 2 labels.
+
+    ``squared_euclidean`` (for every size, O(n k)): the closed form over one sum
+    of points and of squared norms per cluster. ``euclidean``: scikit's
+    definition over all pairs, in blocks, only when asked for."""
     d = df.where(F.col(label) != -1) if exclude_noise else df
     stats = d.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(label).alias("k")).collect()[0]
     n, k = stats["n"], stats["k"]
     if k < 2 or n < 3 or k > n - 1:
         return None, "undefined"
-    if method == "squared" or (method == "auto" and n > exact_max):
-        ev = ClusteringEvaluator(featuresCol=features, predictionCol=label, metricName="silhouette",
+    if method == "squared_euclidean":
+        v = d.select(array_to_vector(_vec_array(d, features)).alias("features"), F.col(label).cast("double").alias("label"))
+        ev = ClusteringEvaluator(featuresCol="features", predictionCol="label", metricName="silhouette",
                                  distanceMeasure="squaredEuclidean")
-        return float(ev.evaluate(d.withColumn(label, F.col(label).cast("double")))), "squared_euclidean"
+        return float(ev.evaluate(v)), method
+    if method != "euclidean":
+        raise ValueError(method)
     vec = vector_to_array(F.col(features)) if isinstance(d.schema[features].dataType, T.UserDefinedType) \
         else F.col(features).cast("array<double>")
     pid = F.col(id_col) if id_col else F.monotonically_increasing_id()
@@ -289,7 +291,7 @@ def _offsets(g: int):
     return [(o,) + r for o in (-1, 0, 1) for r in rest]
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Min-label propagation with pointer jumping. nodes(id, lab) with lab a
     node id (initially the node itself), edges(src, dst) symmetric. Each round
     takes the smallest label among neighbours, then jumps lab <- lab(lab), so
@@ -297,7 +299,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
     is checkpointed to the shared folder (short lineage; a lost executor
     recomputes one round)."""
     labels = nodes.select("id", "lab").checkpoint(eager=True)
-    for _ in range(max_rounds):
+    while True:
         nb = edges.join(labels.withColumnRenamed("id", "dst"), "dst").groupBy("src").agg(F.min("lab").alias("nl"))
         step = labels.join(nb.withColumnRenamed("src", "id"), "id", "left") \
             .select("id", F.least("lab", F.coalesce("nl", "lab")).alias("lab"))
@@ -307,8 +309,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
         changed = new.join(labels.withColumnRenamed("lab", "old"), "id").where(F.col("lab") != F.col("old")).limit(1).count()
         labels = new
         if changed == 0:
-            break
-    return labels
+            return labels
 
 
 def collapse_points(df: DataFrame, id_col: str, features: str, order_col: str | None = None):
@@ -456,12 +457,15 @@ def fit_model(x: DataFrame, id_col: str, model_type: str = "auto", min_clusters:
 
 # ---- M8 -----------------------------------------------------------------------------------
 
-def healthy_centroid(fitted: Fitted, scored: DataFrame) -> list[float] | None:
+def healthy_centroid(fitted: Fitted | Sequence[Sequence[float]], scored: DataFrame) -> list[float] | None:
     """Centre of the cluster most common among Healthy rows (ties: smallest id);
-    without Healthy rows, the cluster with the highest mean momentum."""
-    if fitted.model_type not in ("kmeans", "gmm"):
-        return None
-    centers = [list(map(float, c)) for c in _centers(fitted)]
+    without Healthy rows, the cluster with the highest mean momentum. Takes a
+    fitted model or the centres themselves, by cluster id."""
+    if isinstance(fitted, Fitted):
+        if fitted.model_type not in ("kmeans", "gmm"):
+            return None
+        fitted = _centers(fitted)
+    centers = [list(map(float, c)) for c in fitted]
     h = scored.where(F.col("risk_flag") == "Healthy").groupBy("cluster_id").count() \
         .orderBy(F.col("count").desc(), F.col("cluster_id").asc()).limit(1).collect()
     if h:
@@ -486,18 +490,40 @@ def distance_to(z_cols: Sequence[str], center: Sequence[float]) -> Column:
 
 # ---- M9 -------------------------------------------------------------------------------------
 
-# Poisson(1) cumulative probabilities P(X <= k), k = 0..9 (fixed constants of the distribution).
-_POISSON1_CDF = [math.exp(-1) * sum(1 / math.factorial(j) for j in range(k + 1)) for k in range(10)]
+def _poisson1_cdf() -> list[float]:
+    """P(X <= k) of a Poisson(1) variable, until the tail is below 2^-53."""
+    out, term, total, k = [], math.exp(-1), 0.0, 0
+    while 1.0 - total > 2.0 ** -53 and k < 64:
+        total += term
+        out.append(total)
+        k += 1
+        term /= k
+    return out
+
+
+_POISSON1_CDF = np.array(_poisson1_cdf())
+
+
+def poisson_draws(ids: np.ndarray, iterations: np.ndarray, seed: int) -> np.ndarray:
+    """Poisson(1) weights (rows x iterations) from a hash of (row's id hash,
+    iteration, seed): resampling with replacement, the same on recomputation."""
+    with np.errstate(over="ignore"):
+        h = ids.astype(np.uint64)[:, None] ^ (iterations.astype(np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
+                                              + np.uint64(seed) * np.uint64(0xD6E8FEB86659FD93))
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+    u = (h >> np.uint64(11)).astype(float) / float(1 << 53)
+    return np.searchsorted(_POISSON1_CDF, u, side="right").astype(float)
 
 
 def poisson_weight(id_col: str, iteration: int, seed: int) -> Column:
-    """Poisson(1) draw from a hash of (id, iteration, seed): resampling with
-    replacement as weights, deterministic on recomputation."""
+    """The same kind of draw as a column, for refits that MLlib runs."""
     h = F.xxhash64(F.col(id_col).cast("string"), F.lit(int(iteration)), F.lit(int(seed)))
     u = (F.pmod(h, F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53)))
     w = F.lit(len(_POISSON1_CDF))
     for k in reversed(range(len(_POISSON1_CDF))):
-        w = F.when(u < F.lit(_POISSON1_CDF[k]), F.lit(k)).otherwise(w)
+        w = F.when(u < F.lit(float(_POISSON1_CDF[k])), F.lit(k)).otherwise(w)
     return w.cast("double")
 
 
@@ -509,104 +535,154 @@ def _align(centers_ref: np.ndarray, centers_new: np.ndarray) -> dict[int, int]:
     return out
 
 
-def poisson_weight_col(id_col: str, iteration: Column, seed: int) -> Column:
-    """Poisson(1) draw from a hash of (id, iteration column, seed)."""
-    h = F.xxhash64(F.col(id_col).cast("string"), iteration.cast("int"), F.lit(int(seed)))
-    u = (F.pmod(h, F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53)))
-    w = F.lit(len(_POISSON1_CDF))
-    for k in reversed(range(len(_POISSON1_CDF))):
-        w = F.when(u < F.lit(_POISSON1_CDF[k]), F.lit(k)).otherwise(w)
-    return w.cast("double")
-
-
-def _nearest(v: Column, centers: Column) -> Column:
-    """0-based index of the nearest centre (array of arrays), first on ties."""
-    d = F.transform(centers, lambda c: F.aggregate(F.zip_with(v, c, lambda a, b: (a - b) * (a - b)),
-                                                   F.lit(0.0), lambda acc, t: acc + t))
-    return (F.array_position(d, F.array_min(d)) - 1).cast("int")
-
-
-def bootstrap_kmeans_batched(x: DataFrame, id_col: str, base_centers: np.ndarray, n_iter: int, seed: int = 42,
-                             max_steps: int = 30, tol: float = 1e-6) -> DataFrame:
-    """All bootstrap refits of k-means in one distributed Lloyd loop.
-
-    Rows are replicated once per iteration with their Poisson(1) weight
-    (``explode(sequence)``, no cross join), written to the checkpoint folder,
-    and every refit starts from the base centres, so cluster ids stay aligned
-    (N21 ``align``). Each Lloyd step is one job over all refits: nearest centre
-    via higher-order functions against a per-iteration centre array (one row
-    per iteration, broadcast), then weighted sums per (iteration, cluster).
-    Only the n_iter x k centres reach the driver. Returns (iter, id, cluster_id)."""
-    spark = x.sparkSession
-    k, d = base_centers.shape
-    pts = x.select(F.col(id_col).alias("_id"), vector_to_array(F.col("features")).alias("v"))
-    rep = pts.select("_id", "v", F.explode(F.sequence(F.lit(0), F.lit(n_iter - 1))).alias("iter"))
-    rep = rep.withColumn("w", poisson_weight_col("_id", F.col("iter"), seed)).checkpoint(eager=True)
-    centers = np.repeat(base_centers[None, :, :], n_iter, axis=0)
-
-    def centre_frame(c: np.ndarray) -> DataFrame:
-        rows = [(i, [[float(v) for v in c[i, j]] for j in range(k)]) for i in range(n_iter)]
-        return spark.createDataFrame(rows, "iter int, centers array<array<double>>")
-
-    for _ in range(max_steps):
-        cf = F.broadcast(centre_frame(centers))          # n_iter rows: bounded
-        a = rep.where(F.col("w") > 0).join(cf, "iter").withColumn("cl", _nearest(F.col("v"), F.col("centers")))
-        sums = a.groupBy("iter", "cl").agg(F.sum("w").alias("sw"),
-                                           *[F.sum(F.col("w") * F.col("v")[j]).alias(f"s{j}") for j in range(d)])
-        new = centers.copy()
-        for r in sums.collect():                          # <= n_iter * k rows
-            if r["sw"] and r["sw"] > 0:
-                new[r["iter"], r["cl"]] = [r[f"s{j}"] / r["sw"] for j in range(d)]
-        shift = float(np.max(np.abs(new - centers))) if new.size else 0.0
-        centers = new
-        if shift <= tol:
-            break
-    cf = F.broadcast(centre_frame(centers))
-    return rep.join(cf, "iter").select("iter", F.col("_id").alias(id_col),
-                                       _nearest(F.col("v"), F.col("centers")).alias("cluster_id"))
+def _nearest(v: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nearest centre, squared distance) of each row for each refit: rows x
+    refits; ``centers`` is refits x k x d. The first centre wins ties."""
+    d2 = (v * v).sum(1)[:, None, None] - 2 * np.einsum("nd,rkd->nrk", v, centers) + (centers * centers).sum(2)[None]
+    near = d2.argmin(axis=2)
+    return near, np.maximum(np.take_along_axis(d2, near[:, :, None], axis=2)[:, :, 0], 0.0)
+
+
+def _rows_of(pdf: pd.DataFrame, at: int, size: int):
+    part = pdf.iloc[at:at + size]
+    return part["h"].to_numpy(), np.array(part["v"].tolist(), dtype=float)
+
+
+BOOT_ROWS = 64   # rows compared with all refits at once
+
+
+def _lloyd_step(centers: np.ndarray, refits: np.ndarray, iterations: np.ndarray, seed: int):
+    """Task: weighted sums of its own rows per (refit, cluster), one row each."""
+    def run(it):
+        r, k, d = centers.shape
+        total = np.zeros((r, k, d + 2))
+        for pdf in it:
+            for at in range(0, len(pdf), BOOT_ROWS):
+                h, v = _rows_of(pdf, at, BOOT_ROWS)
+                w = poisson_draws(h, iterations, seed)
+                near, d2 = _nearest(v, centers)
+                for c in range(k):
+                    wc = w * (near == c)
+                    total[:, c, :d] += wc.T @ v
+                    total[:, c, d] += wc.sum(0)
+                    total[:, c, d + 1] += (wc * d2).sum(0)
+        rr, cc = np.nonzero(total[:, :, d] > 0)
+        yield pd.DataFrame({"refit": refits[rr], "cl": cc, "sums": list(total[rr, cc])})
+    return run
+
+
+def bootstrap_kmeans(x: DataFrame, id_col: str, k: int, n_iter: int, n_init: int = 5, seed: int = 42,
+                     tol: float = 1e-6, max_steps: int = 300):
+    """All refits of a k-means bootstrap as one chain of jobs over the n rows.
+
+    Refit (iteration, start) begins at k rows of its own, drawn by a hash. A step
+    sends the centres of all refits that still move to the tasks (n_iter x
+    n_init x k points, whatever n), each task draws its rows' weights and adds
+    up weighted sums, and only those sums are reduced: no row is replicated.
+    Returns (rows frame, centres of each iteration's best start, iterations
+    whose best start still moved after ``max_steps``)."""
+    pts = x.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col).cast("string")).alias("h"),
+                   vector_to_array(F.col("features")).alias("v")).checkpoint(eager=True)
+    n_refit = n_iter * n_init
+
+    def starts(it):  # the k rows with the smallest hash of (row, refit) in this task
+        best = None
+        for pdf in it:
+            for at in range(0, len(pdf), BOOT_ROWS):
+                h, v = _rows_of(pdf, at, BOOT_ROWS)
+                with np.errstate(over="ignore"):
+                    key = h.astype(np.uint64)[:, None] ^ ((np.arange(n_refit, dtype=np.uint64) + np.uint64(seed)) * np.uint64(0xA24BAED4963EE407))[None, :]
+                    key = (key ^ (key >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+                    key ^= key >> np.uint64(32)
+                vv = np.broadcast_to(v[:, None, :], (len(v), n_refit, v.shape[1]))
+                if best is not None:
+                    key, vv = np.concatenate([best[0], key]), np.concatenate([best[1], vv])
+                top = np.argsort(key, axis=0, kind="stable")[:k]
+                best = (np.take_along_axis(key, top, 0), np.take_along_axis(vv, top[:, :, None], 0))
+        if best is not None:
+            m = len(best[0])
+            yield pd.DataFrame({"refit": np.tile(np.arange(n_refit), m), "key": (best[0].ravel() >> np.uint64(1)).astype(np.int64),
+                                "v": list(best[1].reshape(m * n_refit, -1))})
+
+    first = pts.select("h", "v").mapInPandas(starts, "refit int, key long, v array<double>")
+    first = first.groupBy("refit").agg(F.slice(F.sort_array(F.collect_list(F.struct("key", "v"))), 1, k).alias("s")).orderBy("refit").collect()
+    if not first:
+        return pts, np.zeros((0, k, 0)), 0
+    d = len(first[0]["s"][0]["v"])
+    centers = np.array([[(r["s"][min(j, len(r["s"]) - 1)])["v"] for j in range(k)] for r in first], dtype=float)
+    cost, moving, steps = np.full(n_refit, np.inf), np.ones(n_refit, bool), 0
+    while moving.any() and steps < max_steps:
+        live = np.flatnonzero(moving)
+        step = _lloyd_step(centers[live], live, live // n_init, seed)
+        rows = pts.select("h", "v").mapInPandas(step, "refit int, cl int, sums array<double>")
+        sums = rows.groupBy("refit", "cl").agg(F.array(*[F.sum(F.get("sums", F.lit(j))) for j in range(d + 2)]).alias("t")).collect()
+        new, spent = centers.copy(), np.zeros(n_refit)
+        for r in sums:                                   # n_iter x n_init x k rows at most
+            new[r["refit"], r["cl"]] = np.array(r["t"][:d]) / r["t"][d]
+            spent[r["refit"]] += r["t"][d + 1]
+        cost[live] = spent[live]
+        moving[live] = np.abs(new[live] - centers[live]).max(axis=(1, 2)) > tol
+        centers, steps = new, steps + 1
+    best = cost.reshape(n_iter, n_init).argmin(axis=1) + np.arange(n_iter) * n_init
+    return pts, centers[best], int(moving[best].sum())
+
+
+def _votes(centers: np.ndarray, names: np.ndarray):
+    """Task: share of the most frequent cluster of each row over all refits;
+    ``names`` (refits x k) gives the id that a refit's cluster counts as."""
+    def run(it):
+        for pdf in it:
+            conf = np.zeros(len(pdf))
+            for at in range(0, len(pdf), BOOT_ROWS):
+                _, v = _rows_of(pdf, at, BOOT_ROWS)
+                near, _ = _nearest(v, centers)
+                voted = np.take_along_axis(np.broadcast_to(names, (len(v), *names.shape)), near[:, :, None], 2)[:, :, 0]
+                conf[at:at + len(v)] = np.stack([(voted == c).sum(1) for c in range(names.max() + 1)]).max(0) / len(names)
+            yield pd.DataFrame({"_id": pdf["_id"], "confidence": conf})
+    return run
 
 
 def bootstrap_confidence(x: DataFrame, fitted: Fitted, id_col: str, n_iter: int = 500, seed: int = 42,
-                         align: bool = True, n_init: int = 5, method: str = "batched") -> tuple[DataFrame, dict]:
-    """Per-row max share of a cluster over ``n_iter`` weighted refits.
-
-    ``method='batched'`` (k-means): every refit in one distributed Lloyd loop
-    started from the base centres. ``method='refit'``: one MLlib fit per
-    iteration (independent k-means|| starts, GMM), aligned to the base centres
-    by nearest centre when ``align``; predictions are appended per iteration to
-    the checkpoint folder and counted once.
-    Returns (id, confidence) and {stability_mean, stability_std, n_iter}."""
+                         align: bool = True, n_init: int = 5) -> tuple[DataFrame, dict]:
+    """Per-row max share of a cluster over ``n_iter`` weighted refits,
+    each the best of ``n_init`` starts of its own; 0.5 with one cluster or fewer.
+
+    k-means: :func:`bootstrap_kmeans`. Mixtures: one MLlib fit per iteration.
+    ``align`` maps a refit's clusters to the nearest base centres; without it
+    the refit's own cluster numbers are counted.
+    Returns (id, confidence) and {stability_mean, stability_std, n_iter, n_unconverged}."""
     spark = x.sparkSession
-    if fitted.model_type == "dbscan":
-        conf = fitted.labels.select(id_col, F.when(F.col("cluster_id") != -1, 1.0).otherwise(0.0).alias("confidence"))
-    elif fitted.k <= 1:
+    unconverged = 0
+    if fitted.k <= 1:
         conf = x.select(id_col, F.lit(0.5).alias("confidence"))
-    else:
+    elif fitted.model_type == "dbscan":
+        conf = fitted.labels.select(id_col, F.when(F.col("cluster_id") != -1, 1.0).otherwise(0.0).alias("confidence"))
+    elif fitted.model_type == "kmeans":
         ref = _centers(fitted)
-        if method == "batched" and fitted.model_type == "kmeans":
-            preds = bootstrap_kmeans_batched(x, id_col, ref, n_iter, seed)
-        else:
-            out = scratch_path(spark, "bootstrap")
-            base = x.select(id_col, "features").checkpoint(eager=True)
-            for it in range(n_iter):
-                wdf = base.withColumn("_w", poisson_weight(id_col, it, seed)).where(F.col("_w") > 0)
-                if fitted.model_type == "kmeans":
-                    m = fit_kmeans(wdf, fitted.k, seed + it, n_init, weight_col="_w")
-                else:
-                    m = fit_gmm(wdf, fitted.k, seed + it, weight_col="_w")
-                pred = predict(m, base)
-                if align and ref is not None:
-                    mp = _align(ref, _centers(Fitted(fitted.model_type, fitted.k, m)))
-                    expr = F.lit(-1)
-                    for a, b in mp.items():
-                        expr = F.when(F.col("cluster_id") == a, F.lit(b)).otherwise(expr)
-                    pred = pred.withColumn("cluster_id", expr)
-                pred.select(id_col, "cluster_id", F.lit(it).alias("iter")).write.mode("append").parquet(out)
-            preds = spark.read.parquet(out)
-        cnt = preds.groupBy(id_col, "cluster_id").agg(F.count(F.lit(1)).alias("c"))
+        pts, centers, unconverged = bootstrap_kmeans(x, id_col, fitted.k, n_iter, n_init, seed)
+        own = np.arange(fitted.k)
+        names = np.array([[_align(ref, c)[j] for j in own] if align else own for c in centers], dtype=int).reshape(-1, fitted.k)
+        id_type = pts.schema["_id"].dataType.simpleString()
+        conf = pts.select("_id", "h", "v").mapInPandas(_votes(centers, names), f"_id {id_type}, confidence double") \
+            .withColumnRenamed("_id", id_col)
+    else:
+        ref, out = _centers(fitted), scratch_path(spark, "bootstrap")
+        base = x.select(id_col, "features").checkpoint(eager=True)
+        for it in range(n_iter):
+            wdf = base.withColumn("_w", poisson_weight(id_col, it, seed)).where(F.col("_w") > 0)
+            m = fit_gmm(wdf, fitted.k, seed + it, weight_col="_w")
+            pred = predict(m, base)
+            if align:
+                expr = F.lit(-1)
+                for a, b in _align(ref, _centers(Fitted(fitted.model_type, fitted.k, m))).items():
+                    expr = F.when(F.col("cluster_id") == a, F.lit(b)).otherwise(expr)
+                pred = pred.withColumn("cluster_id", expr)
+            pred.select(id_col, "cluster_id", F.lit(it).alias("iter")).write.mode("append").parquet(out)
+        cnt = spark.read.parquet(out).groupBy(id_col, "cluster_id").agg(F.count(F.lit(1)).alias("c"))
         conf = cnt.groupBy(id_col).agg((F.max("c") / F.lit(float(n_iter))).alias("confidence"))
     st = conf.agg(F.avg("confidence").alias("m"), F.stddev_pop("confidence").alias("s")).collect()[0]
-    return conf, {"stability_mean": float(st["m"] or 0.0), "stability_std": float(st["s"] or 0.0), "n_iter": n_iter}
+    return conf, {"stability_mean": float(st["m"] or 0.0), "stability_std": float(st["s"] or 0.0), "n_iter": n_iter,
+                  "n_unconverged": unconverged}
 
 
 def _centers(fitted: Fitted):

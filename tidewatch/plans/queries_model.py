@@ -16,32 +16,20 @@ from . import oracle as O
 from .catalog import register
 from .queries_core import features_for
 
-_CACHE: dict = {}
 LOG_COLS = [c for c in R.FEATURE_COLUMNS if "days_since" in c]
 STD_COLS = [c for c in R.FEATURE_COLUMNS if "days_since" not in c]
 Z_COLS = [f"z_{c}" for c in LOG_COLS + STD_COLS]
 
 
-def _key(spark, sf_dir, what):
-    return (what, sf_dir, spark.sparkContext.applicationId)
-
-
 def prepared(spark, sf_dir):
     """Scored B1 channels with the preprocessed feature vector."""
-    k = _key(spark, sf_dir, "prep")
-    if k not in _CACHE:
-        scored, _ = SC.split_scored(features_for(spark, sf_dir, "b1"))
-        x, prep = MD.preprocess(scored.checkpoint(eager=True))
-        _CACHE[k] = (x.checkpoint(eager=True), prep)
-    return _CACHE[k]
+    scored, _ = SC.split_scored(features_for(spark, sf_dir, "b1"))
+    x, prep = MD.preprocess(scored)
+    return x.checkpoint(eager=True), prep
 
 
 def scoring_result(spark, sf_dir):
-    k = _key(spark, sf_dir, "score")
-    if k not in _CACHE:
-        feats = features_for(spark, sf_dir, "b1")
-        _CACHE[k] = MD.score_creators(feats, S.ts_lit(BD.B1.ref), "auto", n_boot=500)
-    return _CACHE[k]
+    return MD.score_creators(features_for(spark, sf_dir, "b1"), S.ts_lit(BD.B1.ref), "auto", n_boot=500)
 
 
 def prep_sql(f: str) -> str:
@@ -85,12 +73,12 @@ def q_eps_neighbours(spark, sf_dir):
 
 @register("silhouette", """
 WITH p AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-m AS (SELECT a.vec_id AS i, a.label AS li, b.label AS lj, avg(list_distance(a.v, b.v)) AS md
+m AS (SELECT a.vec_id AS i, a.label AS li, b.label AS lj, avg(list_distance(a.v, b.v) ** 2) AS md
       FROM p a JOIN p b ON a.vec_id <> b.vec_id GROUP BY a.vec_id, a.label, b.label),
 s AS (SELECT i, max(CASE WHEN lj = li THEN md END) AS a, min(CASE WHEN lj <> li THEN md END) AS b FROM m GROUP BY i)
-SELECT avg(CASE WHEN a IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END) AS silhouette, 'euclidean' AS method FROM s""")
+SELECT avg(CASE WHEN a IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END) AS silhouette, 'squared_euclidean' AS method FROM s""")
 def q_silhouette(spark, sf_dir):
-    """M5: exact Euclidean silhouette of the labelled embeddings."""
+    """M5: silhouette of the labelled embeddings, closed form per cluster (the SQL goes over all pairs)."""
     emb = BD.table(spark, sf_dir, "embeddings")
     val, method = MD.silhouette(emb, "embedding", "label", id_col="vec_id")
     return spark.createDataFrame([(val, method)], "silhouette double, method string")
@@ -119,11 +107,8 @@ def q_distance_to_healthy(spark, sf_dir):
     """M8: distance of each scored channel to the healthy cluster's centre
     (fixed clusters channel_id % 3, centre = mean preprocessed vector)."""
     t = _fixed_scored(spark, sf_dir)
-    h = t.where(F.col("risk_flag") == "Healthy").groupBy("cluster_id").count() \
-        .orderBy(F.col("count").desc(), F.col("cluster_id")).limit(1).collect()
-    cid = int(h[0]["cluster_id"])
-    c = t.where(F.col("cluster_id") == cid).agg(*[F.avg(z).alias(z) for z in Z_COLS]).collect()[0]
-    center = [c[z] for z in Z_COLS]
+    c = {r["cluster_id"]: [r[z] for z in Z_COLS] for r in t.groupBy("cluster_id").agg(*[F.avg(z).alias(z) for z in Z_COLS]).collect()}
+    center = MD.healthy_centroid([c.get(i, [0.0] * len(Z_COLS)) for i in range(3)], t)
     return t.select("channel_id", "cluster_id", "risk_flag", MD.distance_to(Z_COLS, center).alias("distance_to_centroid"))
 
 
@@ -152,7 +137,19 @@ def q_gmm_sweep(spark, sf_dir):
     return spark.createDataFrame(rows, "k int, silhouette double, method string, n_used int")
 
 
-@register("dbscan")
+@register("dbscan", f"""
+WITH RECURSIVE p AS ({_PREP_SQL}),
+i AS (SELECT *, row_number() OVER (ORDER BY channel_id) AS r FROM p),
+n AS (SELECT a.r AS x, b.r AS y FROM i a JOIN i b ON {_dist_sql('a', 'b')} <= 0.5),
+core AS (SELECT x FROM n GROUP BY x HAVING count(*) >= 5),
+e AS (SELECT n.x, n.y FROM n JOIN core c ON c.x = n.x JOIN core d ON d.x = n.y),
+reach(x, y) AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM reach r JOIN e ON e.x = r.y),
+comp AS (SELECT x, min(y) AS root FROM reach GROUP BY x),
+num AS (SELECT root, row_number() OVER (ORDER BY root) - 1 AS k FROM (SELECT DISTINCT root FROM comp) t),
+lab AS (SELECT comp.x, num.k FROM comp JOIN num ON num.root = comp.root),
+border AS (SELECT n.x, min(lab.k) AS k FROM n JOIN lab ON lab.x = n.y GROUP BY n.x)
+SELECT i.channel_id, CAST(coalesce(lab.k, border.k, -1) AS INTEGER) AS cluster_id
+FROM i LEFT JOIN lab ON lab.x = i.r LEFT JOIN border ON border.x = i.r""")
 def q_dbscan(spark, sf_dir):
     """M4: DBSCAN(eps 0.5, min_samples 5) labels of the preprocessed channels."""
     x, _ = prepared(spark, sf_dir)
@@ -165,8 +162,9 @@ def q_model_selection(spark, sf_dir):
     r = scoring_result(spark, sf_dir)
     rows = [(t["model_type"], t["param"], float(t["silhouette"]), t.get("noise_frac")) for t in r.metrics["trials"]]
     df = spark.createDataFrame(rows, "model_type string, param string, silhouette double, noise_frac double")
-    win = r.metrics["model_type"]
-    return df.withColumn("selected", F.col("model_type") == F.lit(win))
+    f = r.fitted
+    won = f"k={f.params['k']}" if f.model_type != "dbscan" else f"eps={f.params['eps']},min_samples={f.params['min_samples']}"
+    return df.withColumn("selected", (F.col("model_type") == F.lit(f.model_type)) & (F.col("param") == F.lit(won)))
 
 
 @register("forced_models")
@@ -175,7 +173,7 @@ def q_forced_models(spark, sf_dir):
     x, _ = prepared(spark, sf_dir)
     rows = []
     for mt in ("kmeans", "gmm", "dbscan"):
-        f = MD.fit_model(x, "channel_id", mt, 3, 5, 42, n_init=3)
+        f = MD.fit_model(x, "channel_id", mt, 3, 5, 42, n_init=10)
         rows.append((mt, f.model_type, int(f.k), str(f.params)))
     return spark.createDataFrame(rows, "requested string, selected string, k int, params string")
 
@@ -185,7 +183,7 @@ def q_bootstrap_confidence(spark, sf_dir):
     """M9: per-channel stability over 500 Poisson-weighted k-means refits (k = 3),
     all refits in one distributed Lloyd loop."""
     x, _ = prepared(spark, sf_dir)
-    f = MD.fit_model(x, "channel_id", "kmeans", 3, 5, 42, n_init=3)
+    f = MD.fit_model(x, "channel_id", "kmeans", 3, 5, 42, n_init=10)
     conf, _ = MD.bootstrap_confidence(x, f, "channel_id", n_iter=500, seed=42)
     return conf
 
@@ -205,8 +203,8 @@ def q_model_summary(spark, sf_dir):
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
     """Save the fitted model + preprocessor, load, re-assign: labels agree."""
-    x, _ = prepared(spark, sf_dir)
-    res = MD.ScoringResult(x, MD.fit_model(x, "channel_id", "kmeans", 3, 5, 42, n_init=3), prepared(spark, sf_dir)[1], {})
+    x, prep = prepared(spark, sf_dir)
+    res = MD.ScoringResult(x, MD.fit_model(x, "channel_id", "kmeans", 3, 5, 42, n_init=10), prep, {})
     path = scratch_path(spark, "model")
     MD.save_model(res, path)
     fitted, prep, _ = MD.load_model(spark, path)
