@@ -14,12 +14,12 @@ def test_directory_display_text(spark):
             ("b", None, None, None, None, None, None, None, None, None, None, None)]
     d = {r["channel_id"]: r for r in RP.directory_report(spark.createDataFrame(rows, DIR)).collect()}
     a, b = d["a"], d["b"]
-    assert a["title"] == "T" * 60 and a["subs"] == "1,234,567" and a["freq"] == "0.33"
-    assert a["eng"] == "1.23%" and a["days"] == "40" and a["risk_s"] == "0.877" and a["conf"] == "75%"
-    assert a["action"] == "Urgent outreach" and a["risk_raw"] == 0.8765
-    assert (b["title"], b["subs"], b["freq"], b["days"], b["cluster"], b["flag"]) == \
+    assert a["title"] == "T" * 60 and a["subscribers"] == "1,234,567" and a["frequency"] == "0.33"
+    assert a["engagement"] == "1.23%" and a["days_idle"] == "40" and a["risk"] == "0.877" and a["confidence"] == "75%"
+    assert a["action"] == "Urgent outreach" and a["risk_value"] == 0.8765
+    assert (b["title"], b["subscribers"], b["frequency"], b["days_idle"], b["cluster"], b["tier"]) == \
         ("Unknown", "N/A", "N/A", "N/A", "Unknown", "Unknown")
-    assert b["risk_raw"] == 0.5 and b["action"] == "Auto-email check-in"
+    assert b["risk_value"] == 0.5 and b["action"] == "Auto-email check-in"
 
 
 def test_report_order_top_k_and_csv(spark):

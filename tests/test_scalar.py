@@ -59,3 +59,20 @@ def test_engagement_and_vpd(spark):
     assert r[1]["e"] is None and r[1]["p"] == 0.0            # zero views: no engagement
     assert r[2]["e"] == 1.0 and r[2]["p"] is None            # clipped to 1; NULL time
     assert df.select(S.cast_numeric(F.lit("NaN"))).first()[0] is None
+
+
+def test_cast_numeric_takes_decimal_notation_only(spark):
+    texts = ["100", " 7 ", "-1.5", "+.5", "1e3", "2E-2", "3.", "inf", "-Infinity", "12d", "7f", "0x1p3", "1L", "nan", "", ".", "1e", "bad", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r["v"] for r in df.select("i", S.cast_numeric("t").alias("v")).orderBy("i").collect()]
+    assert got == [100.0, 7.0, -1.5, 0.5, 1000.0, 0.02, 3.0, float("inf"), float("-inf")] + [None] * 10
+
+
+def test_parse_ts_fractions_and_offsets(spark):
+    base = "2024-06-15T10:20:30"
+    texts = [base, base + "Z", base + ".1234567Z", base + ".123456789", base + "+0000", base + "+00:00", base + ".5+0200",
+             "2024-06-15 10:20:30.123456+0000", "2024-06-15", "2024-06-15T25:00:00", "x", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r["v"] for r in df.select("i", S.parse_ts("t").cast("string").alias("v")).orderBy("i").collect()]
+    t = "2024-06-15 10:20:30"
+    assert got == [t, t, t + ".123456", t + ".123456", t, t, "2024-06-15 08:20:30.5", t + ".123456", "2024-06-15 00:00:00", None, None, None]

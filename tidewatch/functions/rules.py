@@ -143,10 +143,10 @@ def thousands(c) -> Column:
 
 
 def fixed(c, digits: int = 2, scale: float = 1.0, suffix: str = "") -> Column:
-    """P18: '%.{digits}f' text of c*scale (+suffix), NULL -> 'N/A'."""
-    v = col(c).cast("double") * F.lit(scale)
-    # format_string renders NULL as text, so NULL is tested first.
-    return F.when(v.isNull(), F.lit("N/A")).otherwise(F.concat(F.format_string(f"%.{digits}f", v), F.lit(suffix)))
+    """c*scale with ``digits`` decimals (+suffix), NULL -> 'N/A'. Rounded half-up
+    on the decimal value to twelve places, so any SQL engine prints the same text."""
+    v = F.round((col(c).cast("double") * F.lit(scale)).cast("decimal(38,12)"), digits)
+    return F.coalesce(F.concat(v.cast("string"), F.lit(suffix)), F.lit("N/A"))
 
 
 def int_text(c) -> Column:

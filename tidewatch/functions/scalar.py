@@ -42,10 +42,15 @@ def ts_utc(c) -> Column:
 
 # ---- P1 / P2 / P3: casts -------------------------------------------------
 
+_DECIMAL_RE = r"^[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
+
+
 def cast_numeric(c) -> Column:
-    """Text/number -> double, anything unparsable -> NULL (P1). NaN -> NULL."""
+    """Text/number -> double, anything unparsable -> NULL (P1). NaN -> NULL.
+    Only decimal notation counts: the cast itself would also take Java's float
+    suffixes and hexadecimal floats."""
     d = col(c).try_cast("double")
-    return F.when(~F.isnan(d), d)
+    return F.when(~F.isnan(d) & F.trim(col(c).cast("string")).rlike(_DECIMAL_RE), d)
 
 
 def coerced_flag(c) -> Column:
@@ -101,11 +106,14 @@ def seconds_to_iso(c) -> Column:
 # ---- P5 / P6 / P7 --------------------------------------------------------
 
 def parse_ts(c) -> Column:
-    """ISO timestamp text ('Z' = UTC) -> timestamp, bad -> NULL (P5)."""
+    """ISO timestamp text ('Z' = UTC) -> timestamp, bad -> NULL (P5). Fractions of
+    up to nine digits are cut to microseconds; offsets may be ``+00:00`` or ``+0000``."""
     s = F.regexp_replace(F.trim(col(c)), "Z$", "")
+    s = F.regexp_replace(s, r"(\.\d{6})\d{1,3}(?=$|[+-])", "$1")
+    s = F.regexp_replace(s, r"(\d{2}:\d{2}:\d{2}(?:\.\d+)?[+-]\d{2})(\d{2})$", "$1:$2")
     return F.coalesce(
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]")),
+        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS][XXX]")),
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd")),
     )
 
@@ -171,8 +179,3 @@ def log1p_clipped(c) -> Column:
 def valid_channel_id(c) -> Column:
     """P19: 'UC' + 22 of [A-Za-z0-9_-]."""
     return F.coalesce(col(c).rlike(r"^UC[A-Za-z0-9_-]{22}$"), F.lit(False))
-
-
-def nan_to_null(c) -> Column:
-    d = col(c).cast("double")
-    return F.when(~F.isnan(d), d)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from .ordering import dedup_first
 
+# ---- fixed values that must equal the reference's for the same results ----
 REPORT_FLOATS = ["upload_freq_30d", "upload_freq_90d", "momentum_ratio", "avg_engagement_rate",
                  "upload_regularity", "duration_trend", "risk_score"]
 REPORT_COLUMNS = ["channel_id", "title", "risk_flag", "risk_score", "cluster_label", "upload_freq_30d",
@@ -71,24 +72,24 @@ def directory_report(directory_df: DataFrame) -> DataFrame:
     return d.select(
         "channel_id",
         R.short_title("title").alias("title"),
-        R.thousands("subscriber_count").alias("subs"),
-        R.fixed("upload_freq_30d", 2).alias("freq"),
-        R.fixed("momentum_ratio", 2).alias("mom"),
-        R.fixed("avg_engagement_rate", 2, 100.0, "%").alias("eng"),
-        R.int_text("days_since_last_upload").alias("days"),
-        R.fixed("risk_score", 3).alias("risk_s"),
-        R.fixed("confidence", 0, 100.0, "%").alias("conf"),
+        R.thousands("subscriber_count").alias("subscribers"),
+        R.fixed("upload_freq_30d", 2).alias("frequency"),
+        R.fixed("momentum_ratio", 2).alias("momentum"),
+        R.fixed("avg_engagement_rate", 2, 100.0, "%").alias("engagement"),
+        R.int_text("days_since_last_upload").alias("days_idle"),
+        R.fixed("risk_score", 3).alias("risk"),
+        R.fixed("confidence", 0, 100.0, "%").alias("confidence"),
         F.coalesce(F.col("cluster_label"), F.lit("Unknown")).alias("cluster"),
-        F.coalesce(F.col("risk_flag"), F.lit("Unknown")).alias("flag"),
+        F.coalesce(F.col("risk_flag"), F.lit("Unknown")).alias("tier"),
         R.directory_action().alias("action"),
-        F.coalesce(F.col("risk_score").cast("double"), F.lit(0.5)).alias("risk_raw"),
+        F.coalesce(F.col("risk_score").cast("double"), F.lit(0.5)).alias("risk_value"),
     )
 
 
 def directory_display(directory_df: DataFrame) -> DataFrame:
     """P18 columns whose text has no decimal ties (ids, counts, labels, actions)."""
-    return directory_report(directory_df).select("channel_id", "title", "subs", "days", "cluster", "flag",
-                                                 "action", "risk_raw")
+    return directory_report(directory_df).select("channel_id", "title", "subscribers", "days_idle", "cluster",
+                                                 "tier", "action", "risk_value")
 
 
 def sort_directory(df: DataFrame, column: str = "risk_score", descending: bool = True) -> DataFrame:

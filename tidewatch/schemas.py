@@ -47,7 +47,3 @@ REPORT_CSV = T.StructType([_f("channel_id", S), _f("title", S), _f("risk_flag",
                            _f("momentum_ratio", S), _f("avg_engagement_rate", S), _f("days_since_last_upload", S),
                            _f("upload_regularity", S), _f("duration_trend", S), _f("distance_to_centroid", S),
                            _f("recommended_action", S)])
-
-
-def with_corrupt(schema: T.StructType) -> T.StructType:
-    return T.StructType(list(schema.fields) + [_f(CORRUPT_COL, S)])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -30,7 +30,7 @@ def build_session(master: str = "local[8]", app: str = "tidewatch",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     conf = {**REQUIRED_CONF, **(extra or {})}
-    if "spark.checkpoint.dir" not in conf and not os.environ.get("TIDEWATCH_NO_LOCAL_CKPT"):
+    if "spark.checkpoint.dir" not in conf:
         conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -50,12 +50,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` as the cluster names it; only when it is
-    unset (tests, local runs) is a fresh scratch folder chosen here.
+    Read from ``spark.checkpoint.dir`` as the cluster names it. Only in local mode,
+    where driver and tasks are one process, is a fresh folder chosen when it is
+    unset; on a cluster that is an error, as executors would not see the folder.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
@@ -68,19 +71,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(jpath))
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
