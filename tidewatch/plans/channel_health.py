@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..operators import eda as ED
@@ -65,37 +66,36 @@ def run(spark: SparkSession, channels: DataFrame, videos: DataFrame, ref, out_di
     clusters = spark.read.parquet(paths["clusters"])
     paths["model"] = MD.save_model(scored, f"{out}/model")
 
-    report = RP.at_risk_report(clusters, features, channels)
+    # A report of clusters and features that share no id is empty (stale inputs).
+    fresh = MO.freshness(clusters, features, channel_key)
+    report = RP.at_risk_report(clusters, features, channels).where(F.lit(bool(fresh.first()["ok"])))
     paths["report"] = SK.write_report_csv(report, f"{out}/report", single_file=False)
     dim, fact = RP.export_star(clusters, features, S.ts_lit(ref))
     paths["dim_channel"] = SK.write_report_csv(dim, f"{out}/dim_channel")
     paths["fact_creator_metrics"] = SK.write_report_csv(fact, f"{out}/fact_creator_metrics")
 
-    # Monitoring against the previous run's state (first run: store only).
-    fb_path, cb_path = f"{st}/feature_baseline", f"{st}/cluster_baseline"
-    fbase = spark.read.parquet(fb_path) if exists(spark, fb_path) else None
-    cbase = spark.read.parquet(cb_path) if exists(spark, cb_path) else None
+    # Monitoring against the newest earlier version's state (first run: store
+    # only). State is kept per version, so a replay compares with the same run
+    # as the first time and not with itself.
+    earlier = [v for v in range(version - 1, 0, -1) if exists(spark, f"{st}/state/version={v}/previous_report")][:1]
+    before, now = f"{st}/state/version={earlier[0] if earlier else 0}", f"{st}/state/version={version}"
+    fbase = spark.read.parquet(f"{before}/feature_baseline") if earlier else None
+    cbase = spark.read.parquet(f"{before}/cluster_baseline") if earlier else None
     f_rep, f_new = MO.feature_drift(features, fbase, DRIFT_COLS)
     c_rep, c_new = MO.cluster_drift(clusters, cbase)
-    # The reports read the old baselines: materialise them (reliable checkpoint)
-    # before the baselines are replaced at the end of the run.
-    f_rep = f_rep.checkpoint(eager=True)
-    c_rep = c_rep.checkpoint(eager=True)
     paths["feature_drift"] = SK.write_snapshot(f_rep, f"{out}/feature_drift")
     paths["cluster_drift"] = SK.write_snapshot(c_rep, f"{out}/cluster_drift")
-    prev_report = LD.read_previous_report(spark, f"{st}/previous_report")
-    alerts = MO.new_at_risk(report, prev_report, channel_key).checkpoint(eager=True)
-    paths["new_at_risk"] = SK.write_snapshot(alerts, f"{out}/new_at_risk")
-    fresh = MO.freshness(clusters, features, channel_key)
+    prev_report = LD.read_previous_report(spark, f"{before}/previous_report")
+    paths["new_at_risk"] = SK.write_snapshot(MO.new_at_risk(report, prev_report, channel_key), f"{out}/new_at_risk")
 
     # Keyed tables: merge after computing (versioned, replay-safe).
     MG.merge_into(spark, f"{st}/tables/creator_features", features, [channel_key], version)
     MG.merge_into(spark, f"{st}/tables/creator_clusters", MG.with_algorithm(clusters), [channel_key], version)
 
     # State for the next run, written last.
-    SK.save_baseline(f_new, fb_path)
-    SK.save_baseline(c_new, cb_path)
-    SK.write_report_csv(report, f"{st}/previous_report")
+    SK.save_baseline(f_new, f"{now}/feature_baseline")
+    SK.save_baseline(c_new, f"{now}/cluster_baseline")
+    SK.write_report_csv(report, f"{now}/previous_report")
     return RunResult(features, clusters, spark.read.option("header", True).csv(paths["report"]), eda,
                      spark.read.parquet(paths["feature_drift"]), spark.read.parquet(paths["cluster_drift"]),
                      spark.read.parquet(paths["new_at_risk"]), fresh, scored.metrics, paths)

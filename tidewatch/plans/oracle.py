@@ -27,7 +27,8 @@ FROM supplier s
 LEFT JOIN (SELECT l_suppkey, count(*) AS video_count FROM lineitem GROUP BY l_suppkey) c
        ON c.l_suppkey = s.s_suppkey"""
 
-def b1_videos_raw_sql(ref) -> str:
+def b1_videos_raw_sql(before=None) -> str:
+    where = f" WHERE l_shipdate < {ts(before)}" if before else ""
     return f"""
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS video_id,
        l_suppkey AS channel_id, l_shipdate AS published_at,
@@ -37,25 +38,25 @@ SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS vi
        l_returnflag = 'N' AS comments_disabled,
        CAST(floor(l_quantity * 37) AS INTEGER) AS duration_seconds,
        l_shipdate, l_suppkey, l_partkey, l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus
-FROM lineitem WHERE l_shipdate < {ts(ref)}"""
+FROM lineitem{where}"""
 
 
-B1_VIDEOS_RAW = b1_videos_raw_sql(B1.ref)
+B1_VIDEOS_RAW = b1_videos_raw_sql()
 
 VIDEO_COLS = ("video_id, channel_id, published_at, view_count, like_count, comment_count, "
               "comments_disabled, duration_seconds")
 
-def b1_videos_sql(ref) -> str:
+def b1_videos_sql(before=None) -> str:
     return f"""
 SELECT {VIDEO_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY l_shipdate NULLS FIRST, l_suppkey NULLS FIRST,
          l_partkey NULLS FIRST, l_extendedprice NULLS FIRST, l_quantity NULLS FIRST, l_discount NULLS FIRST,
          l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) AS _rn
-  FROM ({b1_videos_raw_sql(ref)}) r) d
+  FROM ({b1_videos_raw_sql(before)}) r) d
 WHERE _rn = 1"""
 
 
-B1_VIDEOS = b1_videos_sql(B1.ref)
+B1_VIDEOS = b1_videos_sql()
 
 B2_CHANNELS = """
 SELECT c.c_custkey AS channel_id, c.c_name AS title,
@@ -65,7 +66,8 @@ FROM customer c
 LEFT JOIN (SELECT o_custkey, count(*) AS video_count FROM orders GROUP BY o_custkey) o
        ON o.o_custkey = c.c_custkey"""
 
-def b2_videos_sql(ref) -> str:
+def b2_videos_sql(before=None) -> str:
+    where = f" WHERE o_orderdate < {ts(before)}" if before else ""
     return f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS video_id, o_custkey AS channel_id, o_orderdate AS published_at,
        CAST(floor(o_totalprice) AS BIGINT) AS view_count,
@@ -73,10 +75,10 @@ SELECT CAST(o_orderkey AS VARCHAR) AS video_id, o_custkey AS channel_id, o_order
        CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderkey % 7 AS BIGINT) END AS comment_count,
        o_orderpriority = '5-LOW' AS comments_disabled,
        CAST((o_orderkey % 50) * 30 AS INTEGER) AS duration_seconds
-FROM orders WHERE o_orderdate < {ts(ref)}"""
+FROM orders{where}"""
 
 
-B2_VIDEOS = b2_videos_sql(B2.ref)
+B2_VIDEOS = b2_videos_sql()
 
 B3_CHANNELS = """
 SELECT user_id AS channel_id, 'user-' || CAST(user_id AS VARCHAR) AS title,
@@ -176,8 +178,11 @@ def binding_features_sql(name: str) -> str:
 
 # ---- scoring -----------------------------------------------------------------
 
-from ..functions import rules as _R  # noqa: E402
-
+# Literal values, so that a wrong value in the library shows as a difference.
+WEIGHTS = {"upload_freq_30d": 0.20, "upload_freq_90d": 0.1, "freq_trend_ratio": 0.10, "momentum_ratio": 0.30,
+           "avg_engagement_rate": 0.15, "days_since_last_upload": 0.15, "upload_regularity": 0.10}
+LABELS = ["Low Momentum — Declining Engagement", "Mid-Low Momentum — Occasional Uploaders",
+          "Mid Momentum — Regular Creators", "Mid-High Momentum — Active Creators", "High Momentum — Frequent Uploaders"]
 
 def dbl(x: float) -> str:
     return f"CAST('{x!r}' AS DOUBLE)"
@@ -195,17 +200,18 @@ def risk_component_sql(name: str, v: str) -> str:
     return f"({v} / ({v} + 1.0))"
 
 
-def risk_score_sql(cols=_R.FEATURE_COLUMNS) -> str:
-    total = "0.0"
-    for c, w in _R.normalized_weights(cols).items():
+def risk_score_sql() -> str:
+    total, weight = "0.0", sum(WEIGHTS.values())
+    for c, w in WEIGHTS.items():
+        w = w / weight
         v = f"coalesce(CAST({c} AS DOUBLE), 0.0)"
         total = f"({total} + {dbl(w)} * {risk_component_sql(c, v)})"
     return f"least(greatest({total}, 0.0), 1.0)"
 
 
 def label_sql(i: str, n: str) -> str:
-    t = [f"'{x}'" for x in _R.LABEL_TEMPLATES]
-    return (f"CASE WHEN {n} = 1 THEN '{_R.SINGLE_CLUSTER_LABEL}' "
+    t = [f"'{x}'" for x in LABELS]
+    return (f"CASE WHEN {n} = 1 THEN 'Single Cluster — All Creators' "
             f"WHEN {n} = 2 THEN CASE WHEN {i} = 0 THEN {t[0]} ELSE {t[4]} END "
             f"WHEN {n} = 3 THEN CASE WHEN {i} = 0 THEN {t[0]} WHEN {i} = {n} - 1 THEN {t[4]} ELSE {t[2]} END "
             f"WHEN {n} = 4 THEN CASE {i} WHEN 0 THEN {t[0]} WHEN 1 THEN {t[1]} WHEN 2 THEN {t[3]} ELSE {t[4]} END "

@@ -4,27 +4,22 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..operators import features as FE
+from ..session import scratch_path
+from ..sinks import files as SK
 from ..sources import bindings as BD
 from . import oracle as O
 from .catalog import register
 
 
-_FEATURES: dict = {}
-
-
 def features_for(spark, sf_dir, name="b1"):
-    """Features of a binding, built once per session and data folder and kept
-    persisted (one row per channel), as a real run reuses its features table."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _FEATURES:
-        b, ch, vi = BD.channels_videos(spark, sf_dir, name)
-        _FEATURES[key] = FE.compute_features(ch, vi, b.ref, b.short, b.long)
-    # Re-persisting is a no-op while cached and re-registers after a cache clear.
-    return _FEATURES[key].persist(StorageLevel.MEMORY_AND_DISK)
+    """Features of a binding, computed for this query and written once (K1), as a
+    real run reuses its features table. No query reads another one's."""
+    b, ch, vi = BD.channels_videos(spark, sf_dir, name)
+    feats = FE.compute_features(ch, vi, b.ref, b.short, b.long)
+    return spark.read.parquet(SK.write_snapshot(feats, scratch_path(spark, f"features-{name}")))
 
 
 @lru_cache(maxsize=None)

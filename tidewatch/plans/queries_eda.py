@@ -158,9 +158,9 @@ def _report_sql(f):
     summ = (f"SELECT 'summary' AS section, feature AS name, stat, value FROM (UNPIVOT (SELECT feature, CAST(n AS DOUBLE) AS n, "
             f"mean, std, min, p25, median, p75, max FROM ({_summary_sql(f)}) s0) ON n, mean, std, min, p25, median, p75, max "
             f"INTO NAME stat VALUE value) s")
-    names = ", ".join(n for n, _, _ in ED.CORR_PAIRS)
-    corr = (f"SELECT 'correlation' AS section, name, 'pearson' AS stat, value FROM "
-            f"(UNPIVOT ({_corr_sql(f)}) ON {names} INTO NAME name VALUE value) c")
+    # Pair by pair: UNPIVOT would drop the NULL of a constant column.
+    corr = " UNION ALL ".join(f"SELECT 'correlation' AS section, '{n}' AS name, 'pearson' AS stat, {n} AS value FROM ({_corr_sql(f)}) c"
+                              for n, _, _ in ED.CORR_PAIRS)
     return " UNION ALL ".join([counts, nulls, zeros, summ, corr])
 
 

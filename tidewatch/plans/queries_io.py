@@ -11,12 +11,14 @@ from .. import schemas as SCH
 from ..functions import scalar as S
 from ..operators import clean as CL
 from ..operators import ordering as OR
+from ..operators import scoring as SC
 from ..session import scratch_path
 from ..sinks import files as SK
 from ..sources import bindings as BD
 from ..sources import landing as LD
 from ..sources import landing_fixture as LF
 from . import oracle as O
+from . import raw_run as RR
 from .catalog import register
 from .queries_core import features_for
 from .queries_ops import report_for, report_sql
@@ -37,7 +39,10 @@ UNION ALL
 SELECT *, {UC_SQL} AS id, 1 AS bump, 1 AS grp FROM c WHERE c_mktsegment = 'MACHINERY'"""
 
 
-def _vid_items_sql(hi=BD.B1.ref):
+_ITEM_ORDER_SQL = ", ".join(BD.B1_DEDUP_ORDER)
+
+
+def _vid_items_sql():
     return f"""
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS video_id,
        'UC' || lpad(CAST(l_suppkey AS VARCHAR), 22, 'A') AS channel_id, l_shipdate AS published_at,
@@ -48,8 +53,8 @@ SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS vi
        CAST(floor(l_quantity * 37) AS BIGINT) AS duration_seconds,
        'PT' || CAST(CAST(floor(l_quantity * 37) AS BIGINT) // 60 AS VARCHAR) || 'M'
             || CAST(CAST(floor(l_quantity * 37) AS BIGINT) % 60 AS VARCHAR) || 'S' AS duration_text,
-       l_shipdate >= {O.ts(LF.VIDEO_SPLIT)} AS in_batch_2
-FROM lineitem WHERE l_shipdate < {O.ts(hi)}"""
+       l_shipdate >= {O.ts(LF.VIDEO_SPLIT)} AS in_batch_2, {_ITEM_ORDER_SQL}
+FROM lineitem"""
 
 
 VID_ITEMS_SQL = _vid_items_sql()
@@ -136,6 +141,37 @@ def q_src_channel_dim(spark, sf_dir):
     return _dim_snap(spark, sf_dir)[0]
 
 
+_RAW_CHANNELS_SQL = f"SELECT DISTINCT id AS channel_id FROM ({CH_ITEMS_SQL}) i"
+_RAW_VIDEOS_SQL = f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT video_id, channel_id, published_at, view_count, like_count, comment_count, comments_disabled, duration_seconds,
+         row_number() OVER (PARTITION BY video_id ORDER BY in_batch_2, {_ITEM_ORDER_SQL}) AS rn FROM ({VID_ITEMS_SQL}) v) d
+WHERE rn = 1"""
+_RAW_FEATURES_SQL = O.features_sql(_RAW_CHANNELS_SQL, _RAW_VIDEOS_SQL, BD.B1.ref, 30, 90)
+
+
+@register("raw_to_features", _RAW_FEATURES_SQL)
+def q_raw_to_features(spark, sf_dir):
+    """Landing pages (B4) -> cast, cap, first of repeated videos -> features, as one call."""
+    return RR.raw_to_features(spark, landing(spark, sf_dir), BD.B1.ref)
+
+
+@register("load_all", f"""
+SELECT table_name, actual, expected, actual - expected AS delta, actual = expected AS match FROM (
+  SELECT 'channels' AS table_name, count(DISTINCT id) AS actual, count(*) AS expected FROM ({CH_ITEMS_SQL}) a
+  UNION ALL SELECT 'channel_snapshots', count(DISTINCT id), count(*) FROM ({CH_ITEMS_SQL}) b
+  UNION ALL SELECT 'videos', count(DISTINCT video_id), count(*) FROM ({VID_ITEMS_SQL}) c
+  UNION ALL SELECT 'creator_features', count(DISTINCT id), count(DISTINCT id) FROM ({CH_ITEMS_SQL}) d
+  UNION ALL SELECT 'creator_clusters', count(DISTINCT id), count(DISTINCT id) FROM ({CH_ITEMS_SQL}) e) r""")
+def q_load_all(spark, sf_dir):
+    """Landing rows, features and clusters merged into the five keyed
+    tables; rows of each table against the rows that came in."""
+    root = landing(spark, sf_dir)
+    feats = spark.read.parquet(SK.write_snapshot(RR.raw_to_features(spark, root, BD.B1.ref), scratch_path(spark, "load-features")))
+    clusters = SC.score_with_fixed_clusters(feats, F.length("channel_id") % 3, S.ts_lit(BD.B1.ref))
+    return RR.load_all(spark, root, feats, clusters, scratch_path(spark, "tables"), AS_OF)
+
+
 @register("src_parquet", """
 SELECT 'supplier' AS table_name, count(*) AS n_rows FROM supplier
 UNION ALL SELECT 'missing', 0""")
@@ -158,21 +194,15 @@ def q_src_sql_view(spark, sf_dir):
 
 # ---- seeds, manifest, resume ----------------------------------------------------
 
-_SEED_CACHE: dict = {}
-
-
 def seed_path(spark, sf_dir):
-    key = ("seed", sf_dir, spark.sparkContext.applicationId)
-    if key not in _SEED_CACHE:
-        cus = BD.table(spark, sf_dir, "customer")
-        base = cus.select(LF.uc_id(F.col("c_custkey"), F.col("c_mktsegment") == "HOUSEHOLD").alias("channel_id"),
-                          F.col("c_name").alias("name"), F.col("c_mktsegment").alias("niche"),
-                          F.lit(0).alias("_g"), F.col("c_custkey").alias("_k"))
-        rep = base.where(F.col("niche") == "MACHINERY").withColumn("_g", F.lit(1))
-        path = scratch_path(spark, "seed")
-        base.unionByName(rep).orderBy("_g", "_k").drop("_g", "_k").write.option("header", True).csv(path)
-        _SEED_CACHE[key] = path
-    return _SEED_CACHE[key]
+    cus = BD.table(spark, sf_dir, "customer")
+    base = cus.select(LF.uc_id(F.col("c_custkey"), F.col("c_mktsegment") == "HOUSEHOLD").alias("channel_id"),
+                      F.col("c_name").alias("name"), F.col("c_mktsegment").alias("niche"),
+                      F.lit(0).alias("_g"), F.col("c_custkey").alias("_k"))
+    rep = base.where(F.col("niche") == "MACHINERY").withColumn("_g", F.lit(1))
+    path = scratch_path(spark, "seed")
+    base.unionByName(rep).orderBy("_g", "_k").drop("_g", "_k").write.option("header", True).csv(path)
+    return path
 
 
 SEED_SQL = f"""
@@ -187,6 +217,12 @@ def q_src_seed_csv(spark, sf_dir):
     return LD.read_seed_csv(spark, seed_path(spark, sf_dir)).drop("_ordinal")
 
 
+@register("src_seed_first_n", f"SELECT channel_id, name, niche FROM ({SEED_SQL}) s ORDER BY grp, c_custkey LIMIT 25")
+def q_src_seed_first_n(spark, sf_dir):
+    """The first 25 seeds in file order (a limit is the feature)."""
+    return LD.read_seed_csv(spark, seed_path(spark, sf_dir), n=25).drop("_ordinal")
+
+
 @register("seed_list", f"""
 SELECT channel_id, name, niche FROM (
   SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY grp, c_custkey) AS rn FROM ({SEED_SQL}) s) d
@@ -214,8 +250,6 @@ def q_uploads_pairs(spark, sf_dir):
         rest.select("channel_id", "uploads_playlist_id", F.lit(False).alias("has_uploads")))
 
 
-_MANIFEST_CACHE: dict = {}
-
 MANIFEST_ROWS_SQL = """
 SELECT 'UC' || lpad(CAST(user_id AS VARCHAR), 22, 'A') AS channel_id, event_type AS stage,
        CASE event_id % 3 WHEN 0 THEN 'done' WHEN 1 THEN 'empty' ELSE 'failed' END AS status,
@@ -228,17 +262,14 @@ WHERE rn = 1"""
 
 
 def manifest_path(spark, sf_dir):
-    key = ("manifest", sf_dir, spark.sparkContext.applicationId)
-    if key not in _MANIFEST_CACHE:
-        ev = BD.table(spark, sf_dir, "events")
-        rows = ev.select(LF.uc_id(F.col("user_id")).alias("channel_id"), F.col("event_type").alias("stage"),
-                         F.when(F.col("event_id") % 3 == 0, "done").when(F.col("event_id") % 3 == 1, "empty")
-                         .otherwise("failed").alias("status"),
-                         F.date_format(S.ts_utc("ts"), "yyyy-MM-dd HH:mm:ss").alias("fetched_at"), "event_id")
-        path = scratch_path(spark, "manifest")
-        rows.orderBy("event_id").drop("event_id").write.option("header", True).csv(path)
-        _MANIFEST_CACHE[key] = path
-    return _MANIFEST_CACHE[key]
+    ev = BD.table(spark, sf_dir, "events")
+    rows = ev.select(LF.uc_id(F.col("user_id")).alias("channel_id"), F.col("event_type").alias("stage"),
+                     F.when(F.col("event_id") % 3 == 0, "done").when(F.col("event_id") % 3 == 1, "empty")
+                     .otherwise("failed").alias("status"),
+                     F.date_format(S.ts_utc("ts"), "yyyy-MM-dd HH:mm:ss").alias("fetched_at"), "event_id")
+    path = scratch_path(spark, "manifest")
+    rows.orderBy("event_id").drop("event_id").write.option("header", True).csv(path)
+    return path
 
 
 @register("src_manifest_latest", LATEST_SQL)

@@ -30,20 +30,20 @@ EARLIER = _dt.datetime(1999, 10, 1)
 def action_sql() -> str:
     d = "coalesce(CAST(days_since_last_upload AS DOUBLE), 0.0)"
     m = "coalesce(CAST(momentum_ratio AS DOUBLE), 1.0)"
-    return (f"CASE WHEN coalesce(risk_flag, '') = 'Unscored' THEN '{R.ACTION_UNSCORED}' "
-            f"WHEN risk_flag = 'At-Risk' THEN CASE WHEN {d} > 21 THEN '{R.ACTION_REACH_OUT_IDLE}' "
-            f"WHEN {m} < 0.5 THEN '{R.ACTION_REACH_OUT_DECLINE}' ELSE '{R.ACTION_MONITOR_DECLINE}' END "
-            f"WHEN risk_flag = 'Watch' THEN CASE WHEN {d} > 14 THEN '{R.ACTION_CHECK_IN_GAP}' "
-            f"ELSE '{R.ACTION_MONITOR_MID}' END ELSE '{R.ACTION_NONE}' END")
+    return ("CASE WHEN coalesce(risk_flag, '') = 'Unscored' THEN 'Insufficient data — collect more upload history' "
+            f"WHEN risk_flag = 'At-Risk' THEN CASE WHEN {d} > 21 THEN 'Reach out — momentum declining, no upload in 21+ days' "
+            f"WHEN {m} < 0.5 THEN 'Reach out — momentum sharply declining' ELSE 'Monitor — declining engagement trend' END "
+            f"WHEN risk_flag = 'Watch' THEN CASE WHEN {d} > 14 THEN 'Check in — upload gap widening' "
+            "ELSE 'Monitor — mid-range metrics' END ELSE 'No action needed' END")
 
 
 def dir_action_sql() -> str:
     d = "CAST(days_since_last_upload AS DOUBLE)"
     m = "CASE WHEN CAST(momentum_ratio AS DOUBLE) = 0 THEN 1.0 ELSE CAST(momentum_ratio AS DOUBLE) END"
     r = "CASE WHEN CAST(risk_score AS DOUBLE) = 0 THEN 0.5 ELSE CAST(risk_score AS DOUBLE) END"
-    return (f"CASE WHEN {d} >= 30 THEN '{R.DIR_URGENT}' WHEN {d} >= 14 THEN '{R.DIR_CHECK_IN}' "
-            f"WHEN ({m}) < 0.5 AND ({r}) > 0.5 THEN '{R.DIR_PRIORITY}' WHEN {d} >= 7 THEN '{R.DIR_MONITOR}' "
-            f"ELSE '{R.DIR_AUTO}' END")
+    return (f"CASE WHEN {d} >= 30 THEN 'Urgent outreach' WHEN {d} >= 14 THEN 'Check in with creator' "
+            f"WHEN ({m}) < 0.5 AND ({r}) > 0.5 THEN 'Priority review' WHEN {d} >= 7 THEN 'Monitor closely' "
+            "ELSE 'Auto-email check-in' END")
 
 
 def report_sql(name="b2") -> str:
@@ -93,13 +93,23 @@ def q_directory(spark, sf_dir):
     return directory_for(spark, sf_dir, "b2")
 
 
-def _display_sql(d):
+def _fixed_sql(c, digits, scale=1.0, suffix=""):
+    return (f"coalesce(CAST(round(CAST(CAST({c} AS DOUBLE) * {scale} AS DECIMAL(38,12)), {digits}) AS VARCHAR) || '{suffix}', 'N/A')")
+
+
+_DECIMAL_TEXT_SQL = f""",
+       {_fixed_sql("upload_freq_30d", 2)} AS frequency, {_fixed_sql("momentum_ratio", 2)} AS momentum,
+       {_fixed_sql("avg_engagement_rate", 2, 100.0, "%")} AS engagement, {_fixed_sql("risk_score", 3)} AS risk,
+       {_fixed_sql("confidence", 0, 100.0, "%")} AS confidence"""
+
+
+def _display_sql(d, more=""):
     return f"""
 SELECT channel_id, substr(coalesce(CAST(title AS VARCHAR), 'Unknown'), 1, 60) AS title,
-       coalesce(format('{{:,}}', CAST(subscriber_count AS BIGINT)), 'N/A') AS subs,
-       coalesce(CAST(CAST(days_since_last_upload AS BIGINT) AS VARCHAR), 'N/A') AS days,
-       coalesce(cluster_label, 'Unknown') AS cluster, coalesce(risk_flag, 'Unknown') AS flag,
-       {dir_action_sql()} AS action, coalesce(CAST(risk_score AS DOUBLE), 0.5) AS risk_raw
+       coalesce(format('{{:,}}', CAST(subscriber_count AS BIGINT)), 'N/A') AS subscribers,
+       coalesce(CAST(CAST(days_since_last_upload AS BIGINT) AS VARCHAR), 'N/A') AS days_idle,
+       coalesce(cluster_label, 'Unknown') AS cluster, coalesce(risk_flag, 'Unknown') AS tier,
+       {dir_action_sql()} AS action, coalesce(CAST(risk_score AS DOUBLE), 0.5) AS risk_value{more}
 FROM ({d}) d"""
 
 
@@ -115,10 +125,10 @@ def q_directory_action(spark, sf_dir):
     return directory_for(spark, sf_dir, "b2").select("channel_id", R.directory_action().alias("action"))
 
 
-@register("directory_report")
+@register("directory_report", _display_sql(directory_sql("b2"), _DECIMAL_TEXT_SQL))
 def q_directory_report(spark, sf_dir):
-    """R2: directory with all display columns (decimal text: own tests, N13)."""
-    return RP.sort_directory(RP.directory_report(directory_for(spark, sf_dir, "b2")), "risk_raw")
+    """R2: directory with all display columns."""
+    return RP.sort_directory(RP.directory_report(directory_for(spark, sf_dir, "b2")), "risk_value")
 
 
 @register("directory_sorted", f"SELECT * FROM ({directory_sql('b2')}) d ORDER BY momentum_ratio ASC NULLS LAST, channel_id")
@@ -188,7 +198,7 @@ CROSS JOIN LATERAL (SELECT CASE WHEN p.mean IS NOT NULL AND abs(p.mean) > 0
 
 @register("feature_drift", _DRIFT_SQL)
 def q_feature_drift(spark, sf_dir):
-    """Feature means now vs an earlier run (B2 at 1999-10-01 vs 2000-01-01)."""
+    """Feature means now vs an earlier run (B2 at 1999-10-01 vs all rows)."""
     prev = _features_at(spark, sf_dir, "b2", EARLIER)
     _, baseline = MO.feature_drift(prev, None, MEAN_COLS)
     path = SK.save_baseline(baseline, scratch_path(spark, "feature-baseline"))   # K12
@@ -246,7 +256,7 @@ def q_freshness(spark, sf_dir):
 @register("reconcile", """
 SELECT table_name, actual, expected, actual - expected AS delta, coalesce(actual = expected, false) AS match FROM (
   SELECT 'channels' AS table_name, (SELECT count(*) FROM customer) AS actual, (SELECT count(*) FROM customer) AS expected
-  UNION ALL SELECT 'videos', (SELECT count(*) FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'),
+  UNION ALL SELECT 'videos', (SELECT count(*) FROM orders),
                    (SELECT count(*) FROM orders)
   UNION ALL SELECT 'creator_clusters', CAST(NULL AS BIGINT), 0) r""")
 def q_reconcile(spark, sf_dir):
@@ -372,7 +382,7 @@ def _videos_target(spark, sf_dir):
 
 
 def _videos_updates(spark, sf_dir):
-    v = BD.b1_videos(spark, sf_dir, BD.B1.ref)
+    v = BD.b1_videos(spark, sf_dir)
     return v.select("video_id", "channel_id",
                     (F.col("published_at") + F.make_interval(days=F.lit(1))).alias("published_at"),
                     (F.col("view_count") * 2).alias("view_count"), (F.col("like_count") + 1).alias("like_count"),

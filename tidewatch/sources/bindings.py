@@ -26,8 +26,10 @@ class Binding:
     long: int
 
 
-B1 = Binding("b1", _dt.datetime(2000, 1, 1), 30, 90)
-B2 = Binding("b2", _dt.datetime(2000, 1, 1), 30, 90)
+# All rows take part: the reference days lie past the last ship date and order.
+# (Future uploads, N3, are covered by the tests' random frames.)
+B1 = Binding("b1", _dt.datetime(2001, 11, 5), 30, 90)
+B2 = Binding("b2", _dt.datetime(2001, 8, 2), 30, 90)
 B3 = Binding("b3", _dt.datetime(2024, 1, 31), 7, 21)
 
 VIDEO_COLS = ["video_id", "channel_id", "published_at", "view_count", "like_count",
@@ -64,8 +66,11 @@ def b1_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _b1_source(spark: SparkSession, sf_dir: str, ref) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") < S.ntz_lit(ref))
+def _b1_source(spark: SparkSession, sf_dir: str, before=None) -> DataFrame:
+    """Line items; ``before``: the state of the table at an earlier day."""
+    li = table(spark, sf_dir, "lineitem")
+    if before is not None:
+        li = li.where(F.col("l_shipdate") < S.ntz_lit(before))
     return li.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("video_id"),
         *B1_DEDUP_ORDER)
@@ -88,16 +93,16 @@ def _b1_video_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def b1_videos_raw(spark: SparkSession, sf_dir: str, ref=B1.ref) -> DataFrame:
+def b1_videos_raw(spark: SparkSession, sf_dir: str, before=None) -> DataFrame:
     """Video rows before dedup (video_id is not unique), with the dedup order columns."""
-    return _b1_video_columns(_b1_source(spark, sf_dir, ref))
+    return _b1_video_columns(_b1_source(spark, sf_dir, before))
 
 
-def b1_videos(spark: SparkSession, sf_dir: str, ref=B1.ref) -> DataFrame:
+def b1_videos(spark: SparkSession, sf_dir: str, before=None) -> DataFrame:
     """Deduplicated videos: first row per video_id in the binding's order. The
     dedup shuffles only the key and the order columns; video columns are
     derived afterwards."""
-    first = dedup_first(_b1_source(spark, sf_dir, ref), ["video_id"], B1_DEDUP_ORDER)
+    first = dedup_first(_b1_source(spark, sf_dir, before), ["video_id"], B1_DEDUP_ORDER)
     return _b1_video_columns(first).select(*VIDEO_COLS)
 
 
@@ -115,8 +120,10 @@ def b2_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def b2_videos(spark: SparkSession, sf_dir: str, ref=B2.ref) -> DataFrame:
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderdate") < S.ntz_lit(ref))
+def b2_videos(spark: SparkSession, sf_dir: str, before=None) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    if before is not None:
+        o = o.where(F.col("o_orderdate") < S.ntz_lit(before))
     low = F.col("o_orderpriority") == "5-LOW"
     return o.select(
         F.col("o_orderkey").cast("string").alias("video_id"),
