@@ -10,10 +10,6 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 
-SKIP_SLOW = {"creator_clusters", "model_selection", "model_summary", "kmeans_sweep", "gmm_sweep",
-             "bootstrap_confidence", "forced_models"}
-
-
 @pytest.fixture(scope="module")
 def duck():
     import oracle_check
@@ -22,8 +18,6 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
-    if name in SKIP_SLOW and not os.environ.get("TIDEWATCH_SLOW_TESTS"):
-        pytest.skip("model search: run with TIDEWATCH_SLOW_TESTS=1")
     res = duck.compare(spark, SF_SMALL, [name], verbose=False)[name]
     assert res == "ok" or res.startswith("rows-only"), res
 
