@@ -30,8 +30,10 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document per component of linked documents: that with the smallest id."""
-    return jaccard_join.representatives(docs)
+    """One document per component of linked documents: that with the smallest id.
+
+    Documents link from a Jaccard similarity of 0.8 of their five-word shingles on."""
+    return jaccard_join.representatives(docs, shingle=5, percent=80)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

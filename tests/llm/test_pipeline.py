@@ -39,6 +39,18 @@ def test_stages(spark, tmp_path):
     check_pieces(got["packing"][1].collect(), {d: [*t.library.encode(x or "", add_special_tokens=False).ids, 0] for d, x in got["packing"][0]})
 
 
+def test_near_copies_between_80_and_85_percent(spark, docs_of):
+    """Copies with new text appended go from a five-word similarity of 0.8 on."""
+    rows, want = [], set()
+    for g, new in enumerate([17, 18, 20, 22, 24, 25, 40]):
+        base = [f"g{g}w{i}" for i in range(100)]
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(base + [f"g{g}n{i}" for i in range(new)]))]
+        want |= {2 * g} if 96 / (96 + new) >= 0.8 else {2 * g, 2 * g + 1}
+    assert len(want) == 9
+    kept = {r.doc_id for r in C.near_copies_stage(spark, docs_of(rows), SF_SMALL).collect()}
+    assert kept == want == {d for d, _, c in brute_components(rows, percent=80, k=5) if d == c}
+
+
 def test_empty_documents(spark, tmp_path):
     for t in ("documents", "benchmark"):
         spark.read.parquet(f"{SF_SMALL}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
