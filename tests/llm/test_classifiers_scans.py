@@ -166,6 +166,51 @@ def test_licenses(spark, docs_of):
     assert sorted((r.doc_id, r.license, r.containment, r.first_word) for r in got) == brute_licenses(rows, t)
 
 
+STATEMENTS = {
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.": {"gpl-notice", "gpl-2.0-or-later-notice"},
+    "you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or later": {"lgpl-notice", "lgpl-2.1-or-later-notice"},
+    "it can be copied under the terms of the GNU Affero General Public License as published by the Free Software Foundation, version 3 of the License.": {"agpl-3.0-only-notice"},
+    "This work is licensed under the GNU General Public License, version 2.": {"gpl-2.0"},
+    "This work is licensed under the GNU General Public License, version 3.": {"gpl-3.0"},
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": {"cc-by-sa-4.0-notice"},
+    "Licensed under CC BY 4.0.": {"cc-by-4.0-licensed"},
+    "Licensed under CC BY-SA 4.0.": {"cc-by-sa-4.0-licensed"},
+    "// SPDX-License-Identifier: LGPL-2.1-or-later": {"spdx-lgpl-2.1"},
+    "# SPDX-License-Identifier: MIT": {"spdx-mit"},
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.": {"mpl-2.0-notice"},
+}
+
+
+def test_license_families(spark, docs_of):
+    """Statements of the common families, as texts have them, each under its own version and family."""
+    rows = [(i, f"some words before. {t} Some words after.") for i, t in enumerate(STATEMENTS)]
+    got = {}
+    for r in license_scan.scan(docs_of(rows)).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert got == dict(enumerate(STATEMENTS.values()))
+
+
+def test_whole_license_texts(spark, docs_of):
+    """Whole texts are found where they stand; shorter ones, edited, as brute force has them."""
+    random.seed(4)
+    rows = [(i, "one two three " * i + t) for i, t in enumerate(license_scan.TEXTS.values())]
+    got = {(r.doc_id, r.license): (r.containment, r.first_word) for r in license_scan.scan(docs_of(rows)).collect()}
+    for i, name in enumerate(license_scan.TEXTS):
+        share, first = got[i, name]
+        assert share == 1.0 and 3 * i - 4 <= first <= 3 * i  # earlier where the last shingles stand in the text before
+    few = {n: t for n, t in {**license_scan.TEMPLATES, **license_scan.TEXTS}.items() if len(t) < 2000}
+    rows = []
+    for d, t in enumerate(list(few.values()) * 2):
+        w = t.split()
+        for _ in range(random.randrange(1 + len(w) // 30)):
+            at = random.randrange(len(w))
+            w[at:at + random.randrange(2)] = ["edited"]
+        rows.append((d, " ".join(["before"] * random.randrange(30) + w + ["after"] * random.randrange(30) + w[:random.randrange(len(w))])))
+    got = license_scan.scan(docs_of(rows), few).collect()
+    assert sorted((r.doc_id, r.license, r.containment, r.first_word) for r in got) == brute_licenses(rows, few)
+    assert {r.license for r in got} == set(few)
+
+
 def test_long_templates(spark, docs_of):
     """Windows not at every shingle: every license within reach is found, words edited."""
     random.seed(9)

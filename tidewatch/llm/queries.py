@@ -139,10 +139,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    from .license_scan import LEAST, SHINGLE, TEMPLATES, template_words
+    from .license_scan import LEAST, SHINGLE, TEMPLATES, TEXTS, template_words
 
     given = []
-    for name, text in TEMPLATES.items():
+    for name, text in {**TEMPLATES, **TEXTS}.items():
         w = template_words(text)
         k = min(SHINGLE, len(w))
         given += [f"('{name}', {k}, {len(w) - k + 1}, '{' '.join(w[i:i + k])}')" for i in range(len(w) - k + 1)]
