@@ -176,3 +176,20 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import url_filter
 
     return url_filter.judge(table(spark, sf_dir, "pages"), RULES).drop("model")
+
+
+@_query("op12_mixing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents mixed by source, in blocks, to weights 1, 2, 3, repeating."""
+    from . import mixing
+
+    return mixing.mix(table(spark, sf_dir, "documents")).taken().withColumnRenamed("id", "doc_id")
+
+
+@_query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings on the 16 leading components of their covariance."""
+    from . import whitening
+
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
