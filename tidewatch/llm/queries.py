@@ -178,6 +178,42 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), RULES).drop("model")
 
 
+_TRIE_SQL = r"""
+    WITH o AS (SELECT conv_id AS c, text AS t, token, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, token) AS p
+               FROM (SELECT conv_id, turn, coalesce(text, '') AS text, sha256(concat(octet_length(encode(coalesce(role, ''))), ':', coalesce(role, ''), coalesce(text, ''))) AS token
+                     FROM conversations WHERE conv_id IS NOT NULL)),
+         e AS (SELECT c, count(*) AS n, c - c % 20 AS b,
+                      xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                                      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 4 AS h
+               FROM o GROUP BY c),
+         k AS (SELECT e.*, least(e.h, coalesce(x.n, 0)) AS k FROM e LEFT JOIN e x ON x.c = e.b),
+         turns AS (SELECT k.c, o.p AS d, t, token FROM k JOIN o ON o.c = k.b AND o.p <= k.k
+                   UNION ALL SELECT k.c, k.k + o.p - k.h, t, token FROM k JOIN o ON o.c = k.c AND o.p > k.h),
+         paths AS (SELECT k.c, coalesce(a, []) AS a FROM k LEFT JOIN (SELECT c, list(token ORDER BY d) AS a FROM turns GROUP BY c) USING (c)),
+         mem AS (SELECT c, d, len(a) AS n, md5(array_to_string(a[1:d], '')) AS node, CASE WHEN d > 0 THEN md5(array_to_string(a[1:d - 1], '')) END AS parent
+                 FROM (SELECT c, a, unnest(range(0, len(a) + 1)) AS d FROM paths)),
+         node AS (SELECT node, d, min(parent) AS parent, min(c) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256
+                  FROM mem GROUP BY node, d),
+         w AS (SELECT DISTINCT node, len(regexp_extract_all(t, '[^ 	-]+')) AS words FROM mem JOIN turns USING (c, d)),
+         kids AS (SELECT parent AS node, count(*) AS n_children FROM node WHERE parent IS NOT NULL GROUP BY 1),
+         anc AS (SELECT DISTINCT m.node, x.node AS above FROM mem m JOIN mem x ON x.c = m.c AND x.d <= m.d),
+         sub AS (SELECT above AS node, sum((n_convs - 1) * coalesce(words, 0)) AS saved_tokens, count(*) FILTER (n_children IS NULL) AS n_leaves
+                 FROM anc JOIN node USING (node) LEFT JOIN w USING (node) LEFT JOIN kids USING (node) GROUP BY 1)
+    SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+           CAST(saved_tokens AS BIGINT) AS saved_tokens, node.ends_sha256
+    FROM node JOIN sub USING (node) LEFT JOIN kids USING (node) LEFT JOIN node up ON up.node = node.parent"""
+
+
+@_query("op11_conversation_trie", _TRIE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    from . import conversation_trie
+
+    nodes = conversation_trie.trie(conversation_trie.rebuilt(table(spark, sf_dir, "conversations")))
+    names = {"conv": "conv_id", "depth": "depth", "parent_conv": "parent_conv_id", "n": "n_convs", "children": "n_children", "leaves": "n_leaves", "saved": "saved_tokens", "ends_sha256": "ends_sha256"}
+    return nodes.select(*[F.col(a).alias(b) for a, b in names.items()])
+
+
 @_query("op12_mixing")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed by source, in blocks, to weights 1, 2, 3, repeating."""
