@@ -56,7 +56,7 @@ def test_video_json_missing_comment_count(spark):
 
 def test_batches_120_ids(spark):
     ids = spark.createDataFrame([(f"id{i:03d}",) for i in range(120)], "channel_id string")
-    b = OR.batch_ids(ids, "channel_id", [F.col("channel_id")], 50).orderBy("batch").collect()
+    b = OR.batch_ids(ids, "channel_id", ["channel_id"], 50).orderBy("batch").collect()
     assert [r["n"] for r in b] == [50, 50, 20]
     assert b[0]["ids"][0] == "id000" and b[2]["ids"][-1] == "id119"
 

@@ -4,9 +4,9 @@ Plan shape (see ``compute_features``):
 
 1. per-video columns (window flags, whole days, views/day, engagement) —
    narrow projections, pushed into the scan;
-2. ``rank_in_groups`` on (channel, published_at, video_id): range partition
-   (hot channels are split into contiguous blocks), then one window pass per
-   block gives rank, channel size and the previous upload time;
+2. ``rank_in_groups`` on (channel, published_at, video_id): one exchange by
+   blocks of that order (a hot channel is split over many), then one window pass
+   per block gives rank, channel size and the previous upload time;
 3. one ``groupBy(channel)`` with partial aggregation computes every metric;
 4. a left join from the distinct channel ids attaches channels without videos.
 """
@@ -63,9 +63,8 @@ def video_metrics(videos: DataFrame, ref, short: int = 30, long: int = 90,
 def ordered_videos(metrics: DataFrame, blocks: int | None = None) -> DataFrame:
     """W1 + W2 input: rank inside the channel (time ascending, NULL times last,
     video_id as tie-break), channel size, previous upload time."""
-    order = [F.col("published_at").asc_nulls_last(), F.col("video_id").asc_nulls_last()]
-    return rank_in_groups(metrics.where(F.col("channel_id").isNotNull()), ["channel_id"], order,
-                          carry=["published_at"], blocks=blocks, rank_col="rank", size_col="n_videos",
+    return rank_in_groups(metrics.where(F.col("channel_id").isNotNull()), ["channel_id"],
+                          ["published_at", "video_id"], nulls_last=True, carry=["published_at"], blocks=blocks, rank_col="rank", size_col="n_videos",
                           prev_prefix="prev_")
 
 

@@ -318,7 +318,7 @@ def collapse_points(df: DataFrame, id_col: str, features: str, order_col: str |
     the smallest row index among its copies (N17's 'lowest row index')."""
     order = F.col(order_col) if order_col else F.col(id_col)
     pts = df.select(F.col(id_col).alias("pid"), order.alias("ord"), _vec_array(df, features).alias("vec"))
-    pts = global_index(pts, [F.col("ord").asc_nulls_last(), F.col("pid").asc_nulls_last()], index_col="row")
+    pts = global_index(pts, ["ord", "pid"], index_col="row", nulls_last=True)
     uniq = pts.groupBy("vec").agg(F.count(F.lit(1)).alias("w"), F.min("row").alias("uid")).checkpoint(eager=True)
     return pts, uniq
 
@@ -334,7 +334,7 @@ def dbscan_labels(pts: DataFrame, uniq: DataFrame, nbr: DataFrame, min_samples:
     comp = connected_components(core.select(F.col("uid").alias("id"), F.col("uid").alias("lab")), ce)
     # Cluster number = rank of the component's lowest row index.
     roots = comp.select("lab").distinct()
-    numbered = global_index(roots, [F.col("lab").asc()]).select("lab", F.col("_gidx").cast("int").alias("cluster_id"))
+    numbered = global_index(roots, ["lab"]).select("lab", F.col("_gidx").cast("int").alias("cluster_id"))
     core_lab = comp.join(numbered, "lab").select(F.col("id").alias("uid"), "cluster_id")
     border = nbr.join(core_lab.withColumnRenamed("uid", "j"), "j").groupBy(F.col("i").alias("uid")) \
         .agg(F.min("cluster_id").alias("bcl"))

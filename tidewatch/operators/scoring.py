@@ -3,14 +3,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from .ordering import kth_values
+from .ordering import value_at, value_ranks
 
 
 def split_scored(df: DataFrame, flag: str = "insufficient_history", null_is_unscored: bool = True):
@@ -27,31 +26,28 @@ def with_risk_score(df: DataFrame, cols: Sequence[str] = R.FEATURE_COLUMNS, out:
 def tier_thresholds(df: DataFrame, score: str = "risk_score", low_q: float = 0.30, high_q: float = 0.70):
     """W3 / N8 thresholds from exact order statistics of the scores.
 
-    Uses a distributed global index (range partition + per-partition counts),
-    so only a handful of scalars reach the driver. Returns (low, high) or None
-    when there are no scores."""
-    vals = df.select(score).where(F.col(score).isNotNull())
-    n = vals.count()
-    if n == 0:
-        return None
-    lo_i = max(int(math.floor(n * low_q)) - 1, 0)
-    hi_i = min(int(math.ceil(n * high_q)), n - 1)
-    m1, m2 = (n - 1) // 2, n // 2
-    kv = kth_values(vals, score, [lo_i, hi_i, m1, m2])
-    low, high = kv[lo_i], kv[hi_i]
-    if low >= high:
-        med = (kv[m1] + kv[m2]) / 2.0
-        low, high = med * 0.95, med * 1.05
-    return low, high
+    One row (low, high), both NULL when there are no scores: an aggregate over the
+    distinct scores and the places they take, so however many rows share a score,
+    none of them meet in one task."""
+    n = F.col("_n")
+    at = [F.greatest(F.floor(n * low_q) - 1, F.lit(0)), F.least(F.ceil(n * high_q), n - 1),
+          F.floor((n - 1) / 2), F.floor(n / 2)]
+    names = ["_low", "_high", "_m1", "_m2"]
+    row = value_ranks(df, score).agg(*[value_at(place).alias(c) for place, c in zip(at, names)])
+    med, apart = (F.col("_m1") + F.col("_m2")) / 2.0, F.col("_low") < F.col("_high")
+    return row.select(F.when(apart, F.col("_low")).otherwise(med * 0.95).alias("low"),
+                      F.when(apart, F.col("_high")).otherwise(med * 1.05).alias("high"))
 
 
 def assign_tiers(df: DataFrame, score: str = "risk_score", out: str = "risk_flag",
                  low_q: float = 0.30, high_q: float = 0.70) -> DataFrame:
-    """Healthy / Watch / At-Risk from the global score distribution."""
+    """Healthy / Watch / At-Risk from the global score distribution. The
+    thresholds are a scalar subquery, so nothing runs before the frame is used."""
     th = tier_thresholds(df, score, low_q, high_q)
-    if th is None:
-        return df.withColumn(out, F.lit(None).cast("string"))
-    return df.withColumn(out, F.when(F.col(score).isNotNull(), R.tier(score, th[0], th[1])))
+    cut = th.select(F.struct("low", "high")).scalar()
+    tiered = df.withColumn("_cut", cut)
+    tier = R.tier(score, F.col("_cut.low"), F.col("_cut.high"))
+    return tiered.withColumn(out, F.when(F.col(score).isNotNull(), tier)).drop("_cut")
 
 
 def label_clusters(df: DataFrame, cluster: str = "cluster_id", risk: str = "risk_score",

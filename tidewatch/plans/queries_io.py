@@ -305,7 +305,7 @@ SELECT CAST((rn - 1) // 50 AS BIGINT) AS batch, list(channel_id ORDER BY rn) AS
 def q_id_batches(spark, sf_dir):
     """Ordered ids cut into numbered batches of 50 (B2)."""
     ch = BD.b2_channels(spark, sf_dir).select("channel_id")
-    return OR.batch_ids(ch, "channel_id", [F.col("channel_id")], 50)
+    return OR.batch_ids(ch, "channel_id", ["channel_id"], 50)
 
 
 # ---- per-field parsing over the landing ----------------------------------------
