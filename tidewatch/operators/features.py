@@ -5,7 +5,7 @@ Plan shape (see ``compute_features``):
 1. per-video columns (window flags, whole days, views/day, engagement) —
    narrow projections, pushed into the scan;
 2. ``rank_in_groups`` on (channel, published_at, video_id): one exchange by
-   blocks of that order (a hot channel is split over many), then one window pass
+   channel (a hot one is cut into blocks of that order), then one window pass
    per block gives rank, channel size and the previous upload time;
 3. one ``groupBy(channel)`` with partial aggregation computes every metric;
 4. a left join from the distinct channel ids attaches channels without videos.

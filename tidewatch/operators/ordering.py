@@ -1,15 +1,16 @@
 """Order-dependent operators that stay distributed under skew.
 
-All of them cut a total order into blocks of about equal size. Block bounds are
-read from a sample of rows that a hash of the sort key draws, so they are the
+All of them cut a total order, or a hot key's rows in it, into blocks of about
+equal size. Block bounds are read from a sample of rows that a hash of the sort key draws, so they are the
 same however often and wherever they are computed; they enter the plan as a
 scalar subquery, and a row's block number is an expression of its sort key. So
 nothing runs while a frame is built, nothing is checkpointed, and a lost
 executor's rows fall into the same blocks again.
 
 * ``rank_in_groups`` — rank, group size and predecessor values inside key groups:
-  one exchange by block number, windows over (key, block) on it, and a table of
-  at most two rows per block (keys that a bound cuts) with what lies before.
+  one exchange by key and block, where only keys that fill half a block or more
+  are cut; windows over (key, block) on it, and a table of the hot keys' blocks
+  with what lies before.
 * ``value_ranks`` — order statistics over *distinct* values: (group, value) is
   counted by partial aggregation, then counts are summed up block by block. A
   value that most rows share is one row per task before any exchange.
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLED = 32   # sampled rows per block
+HOT = 16       # sampled rows from which on a key is cut, and rows between its bounds
 
 
 def _n_blocks(df: DataFrame, blocks: int | None) -> int:
@@ -83,6 +85,16 @@ def _search(bounds: Column, key: Column, n: int) -> Column:
         (at + s <= F.size(bounds)) & (F.get(bounds, at + s - F.lit(1)) <= key), at + s).otherwise(at))
 
 
+def _hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], sort: Sequence[Column], n: int) -> Column:
+    """Keys with many rows as a scalar subquery: a map from the key's hash to sorted
+    bounds inside the key. A key is hot when ``HOT`` or more of the ``SAMPLED * n`` sampled
+    rows are its own, so there are at most 2 n hot keys and as many bounds."""
+    near = df.select(F.xxhash64(*keys).alias("_key"), F.struct(*sort).alias("_o"), F.xxhash64(*keys, *order).alias("_h")).orderBy("_h", "_o").limit(SAMPLED * n)
+    hot = near.groupBy("_key").agg(F.sort_array(F.collect_list("_o")).alias("_s")).where(F.size("_s") >= HOT)
+    every = F.transform(F.sequence(F.lit(1), F.floor(F.size("_s") / HOT).cast("int")), lambda j: F.get("_s", j * HOT - 1))
+    return hot.agg(F.map_from_entries(F.collect_list(F.struct("_key", F.array_distinct(every))))).scalar()
+
+
 def rank_in_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, nulls_last: bool = False,
                    carry: Sequence[str] = (), blocks: int | None = None,
                    rank_col: str = "_rank", size_col: str = "_gsize",
@@ -92,17 +104,19 @@ def rank_in_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
     for each column ``c`` in ``carry``, ``prev_prefix + c`` = value of ``c`` on the
     preceding row of the same group (NULL for the first row).
 
-    One exchange, by block number; no group is ever in one task whole."""
+    One exchange, by key and block: a key of few rows is one block, a hot one is
+    cut at its bounds, so no group of many rows is ever in one task whole."""
     keys, order, carry = list(keys), list(order), list(carry)
     n = _n_blocks(df, blocks)
     sort = _sort_key(order, nulls_last)
-    at = F.struct(F.struct(*keys).alias("k"), F.struct(*sort).alias("o"))
-    blocked = _blocked(df, _bounds(df, at, keys + order, n), at, n, F.struct(*keys))
+    hot = df.withColumn("_hot", _hot_keys(df, keys, order, sort, n)).withColumn("_bounds", F.col("_hot")[F.xxhash64(*keys)]).drop("_hot")
+    blocked = hot.withColumn("_blk", F.when(F.col("_bounds").isNotNull(), _search(F.col("_bounds"), F.struct(*sort), 2 * SAMPLED * n)).otherwise(0))
 
-    # Groups that a bound cuts: their blocks' sizes and last rows, added up by block.
+    # Hot keys: their blocks' sizes and last rows, added up by block.
     last = F.max_by(F.struct(*carry), F.struct(*sort)) if carry else F.lit(None)
     # (The partition id, which is always there, keeps the search from being copied into the filter.)
-    parts = blocked.where(F.col("_near") & (F.spark_partition_id() >= 0)).groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_bn"), last.alias("_last"))
+    near = F.col("_bounds").isNotNull() & (F.spark_partition_id() >= 0)
+    parts = blocked.where(near).groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_bn"), last.alias("_last"))
     wk = Window.partitionBy(*keys).orderBy("_blk")
     cut = parts.select(*keys, "_blk",
                        F.coalesce(F.sum("_bn").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
@@ -110,10 +124,10 @@ def rank_in_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
                        F.lag("_last").over(wk).alias("_before"))
 
     w = Window.partitionBy(*keys, "_blk").orderBy(*sort)
-    local = blocked.drop("_near").repartitionById(n, F.col("_blk")).select(
+    local = blocked.drop("_bounds").repartition(n, *keys, "_blk").select(
         "*", F.row_number().over(w).alias("_lrank"), F.count(F.lit(1)).over(Window.partitionBy(*keys, "_blk")).alias("_lsize"),
         *[F.lag(c).over(w).alias(f"_lprev_{c}") for c in carry])
-    # At most two rows per block: bounded by the number of blocks.
+    # A row per hot key and block: at most 4 n.
     j = local.alias("_l").join(F.broadcast(cut.alias("_b")), _key_cond("_l", "_b", keys) & (F.col("_l._blk") == F.col("_b._blk")), "left")
     out = [F.col(f"_l.{c}") for c in df.columns]
     out.append((F.col("_l._lrank") + F.coalesce("_b._off", F.lit(0))).alias(rank_col))
