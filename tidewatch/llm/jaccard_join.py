@@ -39,7 +39,8 @@ differ in at most H = floor((100 - percent)(|a| + |b|) / (100 + percent)) hashes
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. A text of fewer words than
 a shingle is one shingle of all its words; null or wordless texts have none and
 link with nothing. Rows with a null id link with nothing and have a null
-component. Rows that share id and text are one document listed twice. An empty
+component. Rows that share id and text are one document listed twice; rows that
+share an id alone are documents of their own. Ids are of any type. An empty
 table gives an empty result.
 """
 
@@ -161,7 +162,7 @@ def _classes(shingle: int):
             for _, s in shingle_sets(batch, "text", shingle):
                 n.append(len(s))
                 keys.append(set_key(s)[1] if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary())], names=["id", "n", "key"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), pa.array(n, pa.int64()), pa.array(keys, pa.binary())], names=["id", "mark", "n", "key"])
 
     return run
 
@@ -261,14 +262,16 @@ def _sets(shingle: int):
     names = ["key", "long_key", "n", *SKETCH, "hashes"]
 
     def run(batches):
+        seen: set[bytes] = set()
         for batch in batches:
             wanted, rows, size = batch.column("key").to_pylist(), [], 0
             for row, s in shingle_sets(batch, "text", shingle):
                 if not len(s):
                     continue
                 key, long_key = set_key(s)
-                if long_key != wanted[row]:  # another text under the same id
+                if long_key != wanted[row] or long_key in seen:  # another text under the same id, or the same again
                     continue
+                seen.add(long_key)
                 odd = np.bincount((s & U64(511)).astype(np.int64), minlength=512) & 1
                 rows.append((key, long_key, len(s), *np.packbits(odd.astype(np.uint8)).view(np.int64).tolist(), s.view(np.int64)))
                 size += len(s)
@@ -354,13 +357,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, by: str, percent: int) -> DataF
     return full.where(100 * common >= percent * (F.col("a_n") + F.col("b_n") - common)).select(F.col("a_long_key").alias("a"), F.col("b_long_key").alias("b"))
 
 
-def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE, percent: int = PERCENT, allocation: str | None = None) -> DataFrame:
-    """Per row: id, n_shingles, component_id (smallest id reachable by links).
-
-    ``allocation`` ('exact' or 'deletion') overrides the cost model, for tests."""
+def _components(docs: DataFrame, id_col: str, text_col: str, *, shingle: int = SHINGLE, percent: int = PERCENT, allocation: str | None = None) -> DataFrame:
+    """Per row: id, mark (hash of the text), n, component_id, and ``first``: whether
+    the row is its component's document of the smallest id (of these the smallest
+    set key)."""
     spark = docs.sparkSession
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    known = written(src.mapInArrow(_classes(shingle), "id long, n long, key binary"), "jaccard-documents")
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    marked = src.withColumn("mark", F.xxhash64("text"))
+    known = written(marked.mapInArrow(_classes(shingle), f"id {src.schema['id'].dataType.simpleString()}, mark long, n long, key binary"), "jaccard-documents")
     classes = written(known.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n")), "jaccard-classes")
 
     edges = band_edges(percent)
@@ -384,7 +388,7 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = groups.select("key").distinct().withColumnRenamed("key", "short")
     short = F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")
     wanted = classes.select("id", "key", short.alias("short")).join(members, "short", "left_semi").select("id", "key")
-    sets = written(src.join(wanted.hint("shuffle_hash"), "id").select("text", "key").mapInArrow(_sets(shingle), "key long, long_key binary, n long, " + ", ".join(f"{c} long" for c in SKETCH) + ", hashes array<long>"), "jaccard-sets")
+    sets = written(src.join(wanted.hint("shuffle_hash"), "id").select("text", "key").mapInArrow(_sets(shingle), "key long, long_key binary, n long, " + ", ".join(f"{c} long" for c in SKETCH) + ", hashes array<long>").dropDuplicates(["long_key"]), "jaccard-sets")  # rows that repeat an id and its text: one set
 
     star = written(groups.where("key <> pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct(), "jaccard-star")
     links = written(_verified(star, sets, "key", percent), "jaccard-links")
@@ -408,15 +412,28 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     top = components(up(up(crossed, "a"), "b"))
     named = named.select("long_key", "lab").distinct().join(top.select(F.col("id").alias("lab"), F.col("lab").alias("top")), "lab", "left").select(F.col("long_key").alias("key"), F.coalesce("top", "lab").alias("root"))
     root = written(classes.join(named, "key", "left").select("key", "id", F.coalesce("root", "key").alias("root")), "jaccard-roots")
-    least = written(root.groupBy("root").agg(F.min("id").alias("component_id")), "jaccard-least")
-    component = written(root.join(least, "root").select("key", "component_id"), "jaccard-components")
-    linked = known.where("key IS NOT NULL AND id IS NOT NULL").join(component, "key").select("id", "n", "component_id")
-    alone = known.where("key IS NULL OR id IS NULL").select("id", "n", F.col("id").alias("component_id"))
-    return linked.unionAll(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    least = written(root.groupBy("root").agg(F.min(F.struct("id", "key")).alias("least")), "jaccard-least")
+    component = written(root.join(least, "root").select("key", F.col("least.id").alias("component_id"), F.col("least.key").alias("first_key")), "jaccard-components")
+    linked = known.where("key IS NOT NULL AND id IS NOT NULL").join(component, "key").select("id", "mark", "n", "component_id", ((F.col("id") == F.col("component_id")) & (F.col("key") == F.col("first_key"))).alias("first"))
+    alone = known.where("key IS NULL OR id IS NULL").select("id", "mark", "n", F.col("id").alias("component_id"), F.lit(True).alias("first"))
+    return linked.unionAll(alone)
+
+
+def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Per row: id, n_shingles, component_id (smallest id reachable by links).
+
+    Options: ``shingle``, ``percent``, and for tests ``allocation`` ('exact' or
+    'deletion' in place of the cost model's choice)."""
+    return _components(docs, id_col, text_col, **options).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents without near copies: of each component the one with the smallest id stays."""
-    found = join_components(docs, id_col, text_col, **options)
-    drop = written(found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col)).distinct(), "jaccard-drop")
-    return docs.join(drop, id_col, "left_anti").select(*docs.columns)
+    """The documents without near copies: of each component the one with the smallest id stays.
+
+    A document is its id and text: of two texts under one id each stays or goes by
+    itself, also when they are near copies of each other; rows that repeat both
+    stay or go together."""
+    found = _components(docs, id_col, text_col, **options)
+    drop = written(found.where(~F.col("first")).select(F.col("id").alias("drop_id"), "mark").distinct(), "jaccard-drop")
+    columns = [F.col(f"d.`{c}`") for c in docs.columns]
+    return docs.alias("d").join(drop.alias("x"), (F.col(f"d.`{id_col}`") == F.col("x.drop_id")) & (F.xxhash64(F.col(f"d.`{text_col}`").cast("string")) == F.col("x.mark")), "left_anti").select(*columns)
