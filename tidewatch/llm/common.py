@@ -48,6 +48,19 @@ def text_bytes(df: DataFrame, text: str) -> int:
     return df.agg(F.sum(F.octet_length(F.col(text).cast("string")).cast("long"))).first()[0] or 0
 
 
+def sampled(df: DataFrame, key: str, total: int, most: int) -> DataFrame:
+    """At most ``most`` rows of ``df``, one per ``key``, that a 64-bit hash of the key
+    draws from all of about ``total`` keys; all of them when there are no more.
+
+    A threshold on the hash leaves about twice as many in each task, then the
+    smallest hashes stay; columns other than the key become their least value."""
+    h = F.xxhash64(key)
+    if total > 2 * most:
+        df = df.where(h < F.lit(-(1 << 63) + (2 * most << 64) // total))
+    one = df.groupBy(key).agg(*[F.min(c).alias(c) for c in df.columns if c != key])
+    return one.orderBy(h, F.col(key)).limit(most).select(df.columns)
+
+
 def shuffle_partitions(spark: SparkSession, *, rows: int = 0, rows_per_task: int = 1) -> int:
     """The session's shuffle partitions, or more when the rows ask for it."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_task))

@@ -7,7 +7,8 @@
    how each labeller votes on good and on bad ones, so its accuracy, without any
    label. The posterior of a pattern is the weak label of its documents.
 3. The posteriors train a logistic scorer over hashed word shapes on a sample
-   of about ``sample`` documents, drawn by a hash from the whole corpus.
+   of at most ``sample`` documents, drawn by a hash from the whole corpus (of rows
+   that repeat id and text, one).
 4. Every document's whole text is scored in one pass; ``keep`` is score >= ``THRESHOLD``.
 
 Documents without words (null, empty, white space) have no shapes: score 0,
@@ -17,6 +18,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import textscan as ts
+from .common import sampled
 from .linear import Rows, fit, sigmoid
 
 DIMS = 1 << 14
@@ -156,10 +159,11 @@ class Model:
         return {name: float(r / v) for (name, *_), r, v in zip(LABELLERS, right, voted)}
 
 
-def expectation_maximisation(pattern: np.ndarray, count: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray]:
+def expectation_maximisation(pattern: np.ndarray, count: np.ndarray, rounds: int = 20_000) -> tuple[float, np.ndarray]:
     """(share of good, emissions) from vote patterns and their counts.
 
-    Starts from the vote majority; stops when the posteriors stand still."""
+    Starts from the vote majority; stops when the posteriors stand still, and warns
+    when they still move after ``rounds``."""
     bad, good = (pattern == BAD).sum(axis=1), (pattern == GOOD).sum(axis=1)
     post = np.where(bad >= 2, 0.1, np.where((bad == 0) & (good > 0), 0.9, 0.5))
     share, emits = 0.5, np.full((2, pattern.shape[1], 3), 1 / 3)
@@ -172,6 +176,8 @@ def expectation_maximisation(pattern: np.ndarray, count: np.ndarray, rounds: int
         if np.abs(new - post).max(initial=0) < 1e-6:
             break
         post = new
+    else:
+        warnings.warn(f"labeller accuracies still move after {rounds} rounds", RuntimeWarning, stacklevel=2)
     return share, emits
 
 
@@ -203,7 +209,7 @@ def _run(df: DataFrame, what: str, model, more: str, keep: bool = False) -> Data
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sample: int = SAMPLE) -> Model:
-    """Fit labeller accuracies on all documents and the scorer on about ``sample`` of them."""
+    """Fit labeller accuracies on all documents and the scorer on at most ``sample`` of them."""
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
     seen = _run(texts, "votes", None, "pattern string").groupBy("pattern").count().collect()
     total = sum(r["count"] for r in seen)
@@ -213,10 +219,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sa
     share, emits = expectation_maximisation(pattern, np.array([r["count"] for r in seen], dtype=float))
     model = Model(share, emits, np.zeros(DIMS + 1))
 
-    million = 1_000_000
-    part = min(million, -(-sample * million // total))
-    drawn = docs.where(F.pmod(F.xxhash64(F.col(id_col), F.octet_length(F.col(text_col).cast("string"))), F.lit(million)) < part)
-    rows = _run(drawn.select(F.col(text_col).cast("string").alias("text")), "features", None, "pattern string, index binary, value binary").where(F.length("index") > 0).collect()
+    keyed = docs.select(F.xxhash64(F.col(id_col), F.col(text_col).cast("string")).alias("key"), F.col(text_col).cast("string").alias("text"))
+    rows = _run(sampled(keyed, "key", total, sample).select("text"), "features", None, "pattern string, index binary, value binary").where(F.length("index") > 0).collect()
     x = Rows.of([(np.frombuffer(r["index"], "<i4"), np.frombuffer(r["value"], "<f4")) for r in rows])
     y = model.posterior(np.array([[int(c) for c in r.pattern] for r in rows]).reshape(-1, len(LABELLERS)))
     model.weight = fit(x, y, DIMS, l2=1e-4, steps=200, rate=0.2)

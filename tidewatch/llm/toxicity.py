@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textscan as ts
+from .common import sampled
 from .linear import Rows, fit, sigmoid
 
 DIMS = 1 << 20
@@ -124,11 +125,10 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
     """Fit the chain. ``categories``: name -> boolean column over ``labels``, in chain order."""
     names = [f"c{i}" for i in range(len(categories))]
     known = labels.select(F.col(id_col).alias("id"), *[c.cast("int").alias(n) for n, c in zip(names, categories.values())]).where("id IS NOT NULL").groupBy("id").agg(*[F.max(n).alias(n) for n in names])
-    million = 1_000_000
-    part = min(million, -(-sample * million // max(1, known.count())))
-    # About ``sample`` rows, so a broadcast of bounded size.
-    drawn = known.where(F.pmod(F.xxhash64("id"), F.lit(million)) < part).withColumn("fold", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(folds)).cast("int"))
-    text = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(drawn), "id").select("text", "fold", *names)
+    # At most ``sample`` rows, so a broadcast of bounded size.
+    drawn = sampled(known, "id", known.count(), sample).withColumn("fold", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(folds)).cast("int"))
+    text = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(drawn), "id")
+    text = text.groupBy("id").agg(*[F.min(c).alias(c) for c in ("text", "fold", *names)]).drop("id")  # an id that documents repeat counts once
     rows = text.mapInArrow(_features, "fold int, " + ", ".join(f"{n} int" for n in names) + ", index binary").collect()
     x = Rows.of([(i := np.frombuffer(r["index"], "<i4"), np.ones(len(i))) for r in rows])
     targets = {c: np.array([-1 if r[n] is None else r[n] for r in rows], dtype=int) for c, n in zip(categories, names)}

@@ -11,10 +11,11 @@ Native: DataFrame functions and MLlib's trees only.
 * Features: lengths, depth, digit ratio, character entropy, parameter count, marks,
   and statistics of the host's suffix and of the path's first segment: their
   share of all URLs and the share of blocked ones among the labelled. The
-  statistics are counted over all rows; suffixes and segments below 1 in 1,000
-  rows share one pooled entry, so the tables have at most 1,001 rows whatever
-  the input, and are broadcast.
-* The trees are fitted on about ``sample`` labelled URLs, drawn by a hash.
+  statistics are counted over all rows and kept for every suffix and segment.
+  Those of 1 in 1,000 rows or more, so at most 1,000, are broadcast; all others
+  reach their rows by an ordinary join, with the same values.
+* The trees are fitted on at most ``sample`` labelled URLs, drawn by a hash of the
+  URL (a URL that repeats counts once).
 
 A null URL, or one without ``://``, has empty host and path, fits no rule, and gets the
 trees' verdict on empty text. URLs that repeat are judged row by row. Without
@@ -31,7 +32,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, written
+from .common import lower_ascii, sampled, written
 
 SAMPLE = 20_000
 TREES = 12
@@ -53,7 +54,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     """Struct (verdict, rule) of the longest rule that fits, else null."""
     found = F.lit(None).cast("struct<verdict:string,rule:string>")
-    for verdict, rule in sorted(rules, key=lambda r: len(r[1])):  # the longest comes last and so stands outermost
+    for verdict, rule in sorted(rules[::-1], key=lambda r: len(r[1])):  # the longest (of these the first) comes last and so stands outermost
         own_host, slash, own_path = rule.partition("/")
         fits = ((host == own_host) | host.endswith("." + own_host)) & path.startswith(slash + own_path)
         found = F.when(fits, F.struct(F.lit(verdict).alias("verdict"), F.lit(rule).alias("rule"))).otherwise(found)
@@ -87,16 +88,21 @@ def lexical(df: DataFrame) -> DataFrame:
     })
 
 
-def _statistics(df: DataFrame, key: str, total: int) -> tuple[DataFrame, tuple[float, float]]:
-    """(at most 1,000 keys with their share of rows and of blocked labels, the same of all others)."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("known"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("bad"))
-    counts = counts.withColumn("often", F.col("n") * 1000 >= total)
+def _with_statistics(df: DataFrame, key: str, total: int) -> DataFrame:
+    """Adds the share of rows that have the row's ``key`` and the share of blocked
+    ones among its labelled rows (smoothed by ten rows of the whole's share)."""
+    counts = written(df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("known"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("bad")), f"url-{key}")
     all_known, all_bad = counts.agg(F.sum("known"), F.sum("bad")).first()
     prior = (all_bad + 1) / (all_known + 2)
-    rest = counts.where("NOT often").agg(F.sum("n"), F.sum("known"), F.sum("bad")).first()
-    pooled = ((rest[0] or 0) / total, ((rest[2] or 0) + 10 * prior) / ((rest[1] or 0) + 10))
-    often = counts.where("often").select(F.col(key).alias(f"{key}_key"), (F.col("n") / total).alias(f"{key}_share"), ((F.col("bad") + 10 * prior) / (F.col("known") + 10)).alias(f"{key}_blocked"))
-    return often, pooled
+    found = F.struct((F.col("n") / total).alias("share"), ((F.col("bad") + 10 * prior) / (F.col("known") + 10)).alias("blocked"))
+    often = F.col("n") * 1000 >= total
+    # Rows of a frequent key have their values already; a key of their own keeps them from meeting in the second join.
+    df = df.join(F.broadcast(counts.where(often).select(key, found.alias("often"))), key, "left")
+    rest = counts.where(~often).select(F.col(key).alias("rest_key"), found.alias("rest"))
+    own = F.when(F.col("often").isNull(), F.concat(F.lit("="), key)).otherwise(F.concat(F.lit("-"), F.xxhash64("id", "url").cast("string")))
+    df = df.withColumn("rest_key", own).join(rest.withColumn("rest_key", F.concat(F.lit("="), "rest_key")), "rest_key", "left")
+    one = F.coalesce("often", "rest")
+    return df.withColumns({f"{key}_share": one["share"], f"{key}_blocked": one["blocked"]}).drop("often", "rest", "rest_key")
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], *, id_col: str = "page_id", url_col: str = "url", labels: Column | None = None, sample: int = SAMPLE) -> DataFrame:
@@ -111,19 +117,16 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], *, id_col: str = "page
     label = F.col("given") if labels is not None else F.when(F.col("hit.verdict") == "block", 1.0).when(F.col("hit.verdict") == "allow", 0.0)
     df = lexical(df).withColumn("label", label)
 
-    total, known, bad = df.agg(F.count(F.lit(1)), F.count("label"), F.sum("label")).first()
+    total, known, bad, urls = df.agg(F.count(F.lit(1)), F.count("label"), F.sum("label"), F.approx_count_distinct(F.when(F.col("label").isNotNull(), F.col("url")))).first()
     out = [F.col("id").alias(id_col), "host", "path", F.col("hit.rule").alias("rule")]
     if not known or bad in (0.0, float(known)):
         model = F.lit("block" if known and bad else "allow")
         return df.select(*out, F.coalesce("hit.verdict", model).alias("verdict"), model.alias("model"))
 
     for key in ("suffix", "head"):
-        often, (share, blocked) = _statistics(df, key, total)
-        df = df.join(F.broadcast(written(often, f"url-{key}")), F.col(key) == F.col(f"{key}_key"), "left")
-        df = df.withColumns({f"{key}_share": F.coalesce(f"{key}_share", F.lit(share)), f"{key}_blocked": F.coalesce(f"{key}_blocked", F.lit(blocked))})
-    million = 1_000_000
-    part = min(million, -(-sample * million // known))
-    drawn = written(df.where(F.col("label").isNotNull() & (F.pmod(F.xxhash64("id", "url"), F.lit(million)) < part)).select("label", *FEATURES), "url-sample")
+        df = _with_statistics(df, key, total)
+    labelled = df.where("label IS NOT NULL").select(F.coalesce("url", F.lit("")).alias("url"), "label", *FEATURES)
+    drawn = written(sampled(labelled, "url", urls, sample).select("label", *FEATURES), "url-sample")
     kinds = drawn.agg(F.min("label"), F.max("label")).first()
     if kinds[0] is None or kinds[0] == kinds[1]:
         model = F.lit("block" if 2 * bad > known else "allow")
