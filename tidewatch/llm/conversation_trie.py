@@ -410,7 +410,7 @@ def rebuilt(conversations: DataFrame, *, conv_col: str = "conv_id", turn_col: st
     of c's decimal digits modulo ``heads``, and % keeps the sign of c, as in SQL."""
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (role_col, text_col))
     own = conversations.select(F.col(conv_col).cast("long").alias("conv"), F.col(turn_col).alias("turn"), F.substring(F.sha2(F.concat(F.octet_length(role).cast("string"), F.lit(":"), role, text), 256), 1, 32).alias("token"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("words")).where("conv is not null")
-    ranked = rank_in_groups(own, ["conv"], [F.col("turn").asc_nulls_first(), F.col("token")], rank_col="rank", size_col="n")
+    ranked = rank_in_groups(own, ["conv"], ["turn", "token"], rank_col="rank", size_col="n")
     ranked = written(ranked.select("conv", "token", "words", "rank", "n"), "trie-turns")
     each = ranked.where("rank = 1").select("conv", "n", (F.crc32(F.col("conv").cast("string").cast("binary")) % heads).alias("h"), (F.col("conv") - F.col("conv") % family).alias("base"))
     base = ranked.where((F.col("conv") % family == 0) & (F.col("rank") < heads)).select(F.col("conv").alias("base"), "rank", "token", "words", F.col("n").alias("n_base"))

@@ -5,8 +5,9 @@ with fewer words, but not none, is one window. Their hashes are broadcast, and
 every document's whole text is scanned in one pass: rolling window hashes are
 looked up in the set, and each hit is verified on the words themselves.
 
-The broadcast is bounded: benchmark words are counted first, and a benchmark of
-more than ``block_words`` words is dealt into blocks below that bound. Blocks
+The broadcast is bounded: a block holds distinct chunks of items of ``block_words``
+words and eighths of bytes together, and one chunk more at most (a word that is
+longer than all of that comes alone with its chunk). Blocks
 are scanned one after the other over all documents, each pass adding its hits to
 the row, with a written table between passes, so neither driver nor
 executors ever hold more than one block.
@@ -27,6 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import textscan as ts
 from .common import lower_ascii, whole_text, written
+from .prefix_sums import running_sum
 
 WINDOW = 10
 BLOCK_WORDS = 4_000_000
@@ -99,13 +101,16 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, n: int, block_wo
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), words.alias("words")).where(F.size("words") > 0)
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - n), F.lit(CHUNK_WORDS))
     chunks = items.select("item", "words", F.explode(starts).alias("at")).select("item", F.slice("words", F.col("at") + 1, CHUNK_WORDS + n - 1).alias("words"))
-    total = chunks.agg(F.sum(F.size("words"))).first()[0] or 0
+    chunks = written(chunks.distinct().withColumn("size", F.size("words") + F.octet_length(F.array_join("words", " ")) / 8), "benchmark-chunks")
+    total = chunks.agg(F.sum("size")).first()[0] or 0
     if total <= block_words:
         return [chunks] if total else []
-    chunks = written(chunks, "benchmark-chunks")
-    count = -(-2 * total // block_words)
-    block = F.pmod(F.xxhash64("item", "words"), F.lit(count))
-    return [chunks.where(block == b) for b in range(count)]
+    # Chunks in the order of a hash, cut where the sum of sizes passes a block's bound.
+    placed, earlier = running_sum(chunks.select(F.lit(0).alias("all"), "item", "words", F.ceil("size").cast("long").alias("size"), F.xxhash64("item", "words").alias("h")), "all", [F.col("h")], "size", "benchmark-order")
+    at = F.floor((F.col("earlier") + F.col("before")) / block_words).cast("long")
+    dealt = written(placed.join(earlier.select("block", "earlier"), "block").select("item", "words", at.alias("part")), "benchmark-blocks")
+    last = dealt.agg(F.max("part")).first()[0]
+    return [dealt.where(F.col("part") == b) for b in range(last + 1)]
 
 
 def _scan(block, text: str, schema: pa.Schema):

@@ -249,7 +249,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     placed, blocks = running_sum(sized, "source", [F.col("id").asc_nulls_first(), F.col("size"), F.col("digest")], "size", "mix-documents")
 
     each = blocks.groupBy("source").agg(F.sum("here").alias("source_size"))
-    sources = written(global_index(each, [F.col("source").asc_nulls_last()], index_col="idx"), "mix-sources")
+    sources = written(global_index(each, ["source"], index_col="idx", nulls_last=True), "mix-sources")
     sources = targets(sources, weight, cap).withColumn("source_key", F.xxhash64("source")).withColumn("quota", F.floor(F.col("target") + 0.5).cast("long"))
     kind = sources.select("*", F.lit(0).cast("long").alias("n_slots"), F.lit(0).cast("long").alias("last_words")).schema
     sources = written(sources.mapInPandas(_quotas(block, seed), kind), "mix-quotas")

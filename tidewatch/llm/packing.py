@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .encoding import Vocabulary, tokenizer
 
@@ -116,8 +117,9 @@ class Packer:
             yield sequence
 
 
-def _pack(vocabulary, window: int, end_id: int, open_windows: int, with_ids: bool):
-    schema = PIECES if with_ids else pa.schema(list(PIECES)[:-1])
+def _pack(vocabulary, window: int, end_id: int, open_windows: int, with_ids: bool, id_type: pa.DataType):
+    schema = PIECES.set(0, pa.field("doc_id", id_type))
+    schema = schema if with_ids else pa.schema(list(schema)[:-1])
 
     def run(batches):
         from pyspark import TaskContext
@@ -163,6 +165,6 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", tex
     ids_crc32, doc_tokens, sequence_id, offset in the sequence, and with
     ``with_ids`` the token ids themselves."""
     file = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    kind = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(_pack(file, window, end_id, open_windows, with_ids), kind).withColumnRenamed("doc_id", id_col)
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    kind = f"doc_id {src.schema['id'].dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
+    return src.mapInArrow(_pack(file, window, end_id, open_windows, with_ids, to_arrow_schema(src.schema).field("id").type), kind).withColumnRenamed("doc_id", id_col)

@@ -69,11 +69,8 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_
     file = spark.sparkContext.broadcast(vocabulary)
     misses.mapInArrow(_encode(file), CACHE_SCHEMA).write.mode("append").parquet(at)
 
-    # The cache may hold a digest twice when a run was repeated.
+    # The cache holds a digest twice when a run was repeated, or two runs appended it.
     counts = cached(spark, cache, vocabulary.version)
-    if known.isEmpty():
-        stored = counts
-    else:
-        stored = counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    stored = counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     rows = src.select("id", F.octet_length("text").cast("long").alias("n_bytes"), "digest")
     return rows.join(stored, "digest").select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > window).alias("over_limit"))
