@@ -3,19 +3,17 @@
 * M1 ``preprocess``: NULL -> 0, log1p for idle-days columns, exact robust
   scaling (median / IQR from distributed exact quantiles) for the rest, then a
   ``VectorAssembler`` column. Only 3 scalars per column reach the driver.
-* M2/M3: MLlib ``KMeans`` (best of ``n_init`` seeds by training cost) and
-  ``GaussianMixture``.
-* M4/J9: DBSCAN as Spark jobs: grid-bucketed eps range join (equi-join on
-  cells + exact distance filter, identical points collapsed first), weighted
-  core test, connected components by min-label propagation with a reliable
-  checkpoint per round, deterministic numbering (N17).
-* M5 ``silhouette``: exact Euclidean silhouette from block pairs (each task
-  computes one block-by-block distance matrix with NumPy; no point-pair rows
-  are emitted), gated by a checked row count; above it the squared-Euclidean
-  silhouette of ``ClusteringEvaluator`` (O(n k)) is used and named so.
-* M8 distance to the healthy centroid, M9 bootstrap confidence with Poisson(1)
-  weights from a hash of (id, iteration), predictions appended per iteration
-  to the shared checkpoint folder and counted once.
+* M2: k-means for all k and starts of a sweep in one Lloyd chain (``kmeans_fits``);
+  M3: MLlib ``GaussianMixture``.
+* M4/J9: DBSCAN over cells in which all points are neighbours (``dbscan_grid``), for
+  a whole grid of parameters in one chain of jobs; components by min-label
+  propagation with a reliable checkpoint per round, deterministic numbering
+  (N17). ``eps_neighbours`` is the range join that lists pairs (J9 itself).
+* M5 ``silhouette``: the Euclidean one over all pairs of points, in blocks of
+  which each pair meets once (no point-pair rows), which is what M6, M7 and M10
+  choose and report by; ``method="squared_euclidean"`` is the closed form in O(n k).
+* M8 distance to the healthy centroid; M9 bootstrap confidence with Poisson(1)
+  weights from a hash of (id, iteration), all k-means refits in one Lloyd chain.
 """
 
 from __future__ import annotations
@@ -28,7 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel
+from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -38,10 +36,10 @@ from pyspark.sql import types as T
 
 from ..functions import rules as R
 from ..functions import scalar as S
-from ..session import scratch_path
+from ..session import saved, scratch_path
 from . import scoring as SC
 from .eda import long_form
-from .ordering import exact_quantiles, global_index
+from .ordering import exact_quantiles, global_index, rank_in_groups
 
 EPS64 = float(np.finfo(np.float64).eps)
 FIT_THREADS = 4   # concurrent model fits submitted from the driver
@@ -106,22 +104,74 @@ def preprocess(df: DataFrame, cols: Sequence[str] = R.FEATURE_COLUMNS, out: str
 
 # ---- M2 / M3 ---------------------------------------------------------------------
 
-def fit_kmeans(df: DataFrame, k: int, seed: int = 42, n_init: int = 10, features: str = "features",
-               weight_col: str | None = None, max_iter: int = 300) -> KMeansModel:
-    """KMeans with the lowest training cost over ``n_init`` seeds (ties: the
-    lowest seed). The seeds are fitted as concurrent Spark jobs: each fit is
-    small next to the cluster, so they share the executors instead of queuing."""
-    def one(i):
-        km = KMeans(k=k, seed=seed + i, featuresCol=features, predictionCol="cluster_id", maxIter=max_iter, tol=1e-4)
-        if weight_col:
-            km = km.setWeightCol(weight_col)
-        return i, km.fit(df)
-    n = max(1, n_init)
-    if n == 1:
-        return one(0)[1]
-    with ThreadPoolExecutor(max_workers=min(n, FIT_THREADS)) as pool:
-        fits = sorted(pool.map(one, range(n)), key=lambda t: t[0])
-    return min(fits, key=lambda t: (t[1].summary.trainingCost, t[0]))[1]
+class Centers:
+    """A k-means model as a table: one centre per cluster id, ids in the order of the
+    centres, so equal solutions carry the same ids wherever they started."""
+
+    def __init__(self, centers, cost: float | None = None):
+        self.centers = np.array(sorted(map(tuple, np.asarray(centers, dtype=float).tolist())))
+        self.cost = cost
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """cluster_id, center."""
+        return spark.createDataFrame([(i, c) for i, c in enumerate(self.centers.tolist())], "cluster_id int, center array<double>")
+
+    @staticmethod
+    def of(rows: DataFrame) -> Centers:
+        return Centers([r["center"] for r in rows.collect()])   # k rows
+
+    def assign(self, df: DataFrame, features: str = "features") -> DataFrame:
+        """Adds ``cluster_id``: the nearest centre, the first of equally near ones."""
+        d = F.transform(F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in self.centers]), lambda c: _dist(F.col("_v"), c))
+        return df.withColumn("_v", _vec_array(df, features)).withColumn("_d", d) \
+            .withColumn("cluster_id", (F.array_position("_d", F.array_min("_d")) - 1).cast("int")).drop("_v", "_d")
+
+
+def start_places(n: int, k: int, start: int, n_init: int, seed: int) -> list[int]:
+    """Places (in id order, from 0) of the rows that a start begins at: evenly spread,
+    each start and seed by a shift of its own."""
+    shift = ((start + 0.5) / n_init + (seed % 1000) / 1000) % 1.0
+    return [int(math.floor(n * (j + shift) / k)) for j in range(k)]
+
+
+def kmeans_fits(x: DataFrame, id_col: str, ks: Sequence[int], n_init: int = 10, seed: int = 42, features: str = "features",
+                tol: float = 1e-9, max_steps: int = 300) -> dict[int, Centers]:
+    """M2: the best of ``n_init`` starts for every k, all of them in one chain of jobs.
+
+    A step sends the centres of all fits that still move to the tasks (sum of
+    ks x n_init points, whatever the rows), each task adds up its rows by (fit,
+    nearest centre), and only those sums are reduced. Starts are rows at fixed
+    places of the id order. Of equal costs the lowest start wins."""
+    ks = list(ks)
+    pts = x.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), _vec_array(x, features).alias("v")).checkpoint(eager=True)
+    n = pts.count()
+    if not n:
+        return {}
+    fits = [(k, i) for k in ks for i in range(max(1, n_init))]
+    places = [start_places(n, k, i, max(1, n_init), seed) for k, i in fits]
+    wanted = sorted({p for ps in places for p in ps})
+    at = {r["_gidx"]: r["v"] for r in global_index(pts, ["_id", "h"]).where(F.col("_gidx").isin(wanted)).collect()}
+    d, most = len(next(iter(at.values()))), max(ks)
+    centers = np.full((len(fits), most, d), FAR)
+    for f, ps in enumerate(places):
+        centers[f, :len(ps)] = [at[p] for p in ps]
+    cost, moving, steps = np.full(len(fits), np.inf), np.ones(len(fits), bool), 0
+    while moving.any() and steps < max_steps:
+        live = np.flatnonzero(moving)
+        centers[live], cost[live], moved = _step(pts, centers[live], live, None, seed)
+        moving[live] = moved > tol
+        steps += 1
+    out = {}
+    for k in ks:
+        mine = [f for f, (kk, _) in enumerate(fits) if kk == k]
+        best = min(mine, key=lambda f: (cost[f], f))
+        out[k] = Centers(centers[best, :k], float(cost[best]))
+    return out
+
+
+def fit_kmeans(df: DataFrame, k: int, seed: int = 42, n_init: int = 10, features: str = "features", id_col: str = "channel_id") -> Centers:
+    """One k of :func:`kmeans_fits`."""
+    return kmeans_fits(df, id_col, [k], n_init, seed, features)[k]
 
 
 def fit_gmm(df: DataFrame, k: int, seed: int = 42, features: str = "features",
@@ -136,9 +186,7 @@ def fit_gmm(df: DataFrame, k: int, seed: int = 42, features: str = "features",
 def canonical_order(model) -> dict[int, int]:
     """Model cluster index -> canonical id (centres sorted lexicographically),
     so equal solutions found from different seeds carry the same ids."""
-    if isinstance(model, KMeansModel):
-        centers = [tuple(float(v) for v in c) for c in model.clusterCenters()]
-    elif isinstance(model, GaussianMixtureModel):
+    if isinstance(model, GaussianMixtureModel):
         centers = [tuple(float(v) for v in r[0].toArray()) for r in model.gaussiansDF.select("mean").collect()]
     else:
         return {}
@@ -147,6 +195,8 @@ def canonical_order(model) -> dict[int, int]:
 
 
 def predict(model, df: DataFrame) -> DataFrame:
+    if isinstance(model, Centers):
+        return model.assign(df)
     out = model.transform(df)
     if "_prob" in out.columns:
         out = out.drop("_prob")
@@ -162,36 +212,47 @@ def predict(model, df: DataFrame) -> DataFrame:
 
 # ---- M5 -----------------------------------------------------------------------------
 
-def _block_partial(it):
-    """Per block pair: per point of the left block, the sum of distances and
-    count of right-block points per right cluster (self excluded)."""
+SIL_BLOCK = 1024   # points of a block of the all-pairs silhouette
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances by a matrix product; pairs so close that it loses
+    digits are taken from their differences."""
+    na, nb = (a * a).sum(1), (b * b).sum(1)
+    both = na[:, None] + nb[None, :]
+    d2 = both - 2.0 * (a @ b.T)
+    i, j = np.nonzero(d2 < 1e-4 * both)
+    for at in range(0, len(i), 1 << 16):
+        x, y = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
+        d2[x, y] = ((a[x] - b[y]) ** 2).sum(1)
+    return np.sqrt(np.maximum(d2, 0.0))
+
+
+def _block_sums(it):
+    """Task: a pair of blocks -> per point of either block the sum of distances to
+    the other's points by cluster, and how many they are (the point itself apart)."""
     for pdf in it:
-        rows = []
-        for _, r in pdf.iterrows():
-            a = np.asarray(r["l_vec"].tolist(), dtype=float) if len(r["l_vec"]) else np.zeros((0, 0))
-            b = np.asarray(r["r_vec"].tolist(), dtype=float) if len(r["r_vec"]) else np.zeros((0, 0))
-            if a.size == 0 or b.size == 0:
-                continue
-            d = np.sqrt(np.maximum(((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2), 0.0))
-            lid, rid = np.asarray(r["l_id"]), np.asarray(r["r_id"])
-            rcl = np.asarray(r["r_cl"])
-            same = lid[:, None] == rid[None, :]
-            d = np.where(same, 0.0, d)
-            cnt_mask = ~same
-            for c in np.unique(rcl):
-                m = (rcl == c)[None, :] & cnt_mask
-                rows.append(pd.DataFrame({"pid": lid, "cl": np.full(len(lid), int(c)),
-                                          "dsum": (d * m).sum(axis=1), "n": m.sum(axis=1).astype("int64")}))
-        if rows:
-            yield pd.concat(rows, ignore_index=True)
-        else:
-            yield pd.DataFrame({"pid": pd.Series([], dtype="object"), "cl": pd.Series([], dtype="int64"),
-                                "dsum": pd.Series([], dtype="float64"), "n": pd.Series([], dtype="int64")})
+        for r in pdf.itertuples(index=False):
+            sides = []
+            for ids, cl, vec in ((r.l_id, r.l_cl, r.l_vec), (r.r_id, r.r_cl, r.r_vec)):
+                sides.append((np.asarray(ids), np.asarray(cl), np.array(list(vec), dtype=float).reshape(len(ids), -1)))
+            (lid, lcl, lv), (rid, rcl, rv) = sides
+            own = r.lb == r.rb
+            d = _distances(lv, rv)
+            if own:
+                np.fill_diagonal(d, 0.0)
+            for pid, pcl, dist, ocl in [(lid, lcl, d, rcl)] + ([] if own else [(rid, rcl, d.T, lcl)]):
+                names, at = np.unique(ocl, return_inverse=True)
+                one = np.zeros((len(ocl), len(names)))
+                one[np.arange(len(ocl)), at] = 1.0
+                n = np.broadcast_to(one.sum(0), (len(pid), len(names))) - (own & (pcl[:, None] == names[None, :]))
+                yield pd.DataFrame({"pid": np.repeat(pid, len(names)), "cl": np.tile(names, len(pid)),
+                                    "dsum": (dist @ one).ravel(), "n": n.astype("int64").ravel()})
 
 
 def silhouette(df: DataFrame, features: str = "features", label: str = "cluster_id", id_col: str | None = None,
                exclude_noise: bool = False, method: str = "squared_euclidean",
-               block_size: int = 256) -> tuple[float | None, str]:
+               block_size: int = SIL_BLOCK) -> tuple[float | None, str]:
     """M5: mean silhouette and the distance it used. None with fewer than 2 labels.
 
     ``squared_euclidean`` (for every size, O(n k)): the closed form over one sum
@@ -209,23 +270,21 @@ def silhouette(df: DataFrame, features: str = "features", label: str = "cluster_
         return float(ev.evaluate(v)), method
     if method != "euclidean":
         raise ValueError(method)
-    vec = vector_to_array(F.col(features)) if isinstance(d.schema[features].dataType, T.UserDefinedType) \
-        else F.col(features).cast("array<double>")
-    pid = F.col(id_col) if id_col else F.monotonically_increasing_id()
-    pts = d.select(pid.cast("string").alias("pid"), F.col(label).cast("long").alias("cl"), vec.alias("vec"))
+    pid = F.xxhash64(id_col) if id_col else F.lit(0)
+    pts = d.select(pid.alias("h"), F.col(label).cast("long").alias("cl"), _vec_array(d, features).alias("vec"))
+    # Every row is a point of its own: ids are positions in a block, blocks are dealt by a hash.
     nb = max(1, math.ceil(n / block_size))
-    pts = pts.withColumn("blk", F.pmod(F.xxhash64("pid"), F.lit(nb)).cast("int"))
-    blocks = pts.groupBy("blk").agg(F.collect_list("pid").alias("ids"), F.collect_list("cl").alias("cls"),
-                                    F.collect_list("vec").alias("vecs"))
-    left = blocks.select(F.col("blk").alias("lb"), F.col("ids").alias("l_id"), F.col("vecs").alias("l_vec"),
-                         F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("rb"))
-    right = blocks.select(F.col("blk").alias("rb"), F.col("ids").alias("r_id"), F.col("cls").alias("r_cl"),
-                          F.col("vecs").alias("r_vec"))
-    pairs = left.join(right, "rb")  # block pairs: nb^2 rows of <= block_size points each
-    part = pairs.select("l_id", "l_vec", "r_id", "r_cl", "r_vec").mapInPandas(
-        _block_partial, "pid string, cl long, dsum double, n long")
+    pts = pts.withColumn("blk", F.pmod(F.xxhash64("h", "vec"), F.lit(nb)).cast("long"))
+    blocks = pts.groupBy("blk").agg(F.sort_array(F.collect_list(F.struct("h", "vec", "cl"))).alias("p"))
+    ids = F.transform(F.sequence(F.lit(0), F.size("p") - 1), lambda i: F.col("blk") * F.lit(1 << 32) + i)
+    blocks = blocks.select("blk", ids.alias("ids"), F.col("p.cl").alias("cls"), F.col("p.vec").alias("vecs")).checkpoint(eager=True)
+    side = lambda p: [F.col("ids").alias(f"{p}_id"), F.col("cls").alias(f"{p}_cl"), F.col("vecs").alias(f"{p}_vec")]
+    # Each pair of blocks once: its distances serve both sides.
+    left = blocks.select(F.col("blk").alias("lb"), *side("l"), F.explode(F.sequence(F.col("blk"), F.lit(nb - 1))).alias("rb"))
+    pairs = left.join(blocks.select(F.col("blk").alias("rb"), *side("r")), "rb")
+    part = pairs.mapInPandas(_block_sums, "pid long, cl long, dsum double, n long")
     per = part.groupBy("pid", "cl").agg(F.sum("dsum").alias("dsum"), F.sum("n").alias("n"))
-    own = pts.select("pid", F.col("cl").alias("own"))
+    own = blocks.select(F.explode(F.arrays_zip("ids", "cls")).alias("o")).select(F.col("o.ids").alias("pid"), F.col("o.cls").alias("own"))
     j = per.join(own, "pid")
     mean_d = F.try_divide(F.col("dsum"), F.col("n"))   # n = 0: alone in its cluster
     agg = j.groupBy("pid").agg(
@@ -296,20 +355,18 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     node id (initially the node itself), edges(src, dst) symmetric. Each round
     takes the smallest label among neighbours, then jumps lab <- lab(lab), so
     long chains shrink geometrically instead of one hop per round. Every round
-    is checkpointed to the shared folder (short lineage; a lost executor
-    recomputes one round)."""
-    labels = nodes.select("id", "lab").checkpoint(eager=True)
+    is a table in the shared folder (short lineage; a lost executor recomputes
+    one round)."""
+    edges, labels = saved(edges, "component-edges"), saved(nodes.select("id", "lab"), "component-labels")
     while True:
         nb = edges.join(labels.withColumnRenamed("id", "dst"), "dst").groupBy("src").agg(F.min("lab").alias("nl"))
         step = labels.join(nb.withColumnRenamed("src", "id"), "id", "left") \
-            .select("id", F.least("lab", F.coalesce("nl", "lab")).alias("lab"))
+            .select("id", F.col("lab").alias("old"), F.least("lab", F.coalesce("nl", "lab")).alias("lab"))
         parent = step.select(F.col("id").alias("lab"), F.col("lab").alias("pl"))
-        new = step.join(parent, "lab", "left").select("id", F.least("lab", F.coalesce("pl", "lab")).alias("lab")) \
-            .checkpoint(eager=True)
-        changed = new.join(labels.withColumnRenamed("lab", "old"), "id").where(F.col("lab") != F.col("old")).limit(1).count()
-        labels = new
-        if changed == 0:
-            return labels
+        labels = saved(step.join(parent, "lab", "left").select("id", F.least("lab", F.coalesce("pl", "lab")).alias("lab"), "old"), "component-labels")
+        if labels.where("lab <> old").isEmpty():
+            return labels.select("id", "lab")
+        labels = labels.select("id", "lab")
 
 
 def collapse_points(df: DataFrame, id_col: str, features: str, order_col: str | None = None):
@@ -323,36 +380,139 @@ def collapse_points(df: DataFrame, id_col: str, features: str, order_col: str |
     return pts, uniq
 
 
-def dbscan_labels(pts: DataFrame, uniq: DataFrame, nbr: DataFrame, min_samples: int, id_col: str) -> DataFrame:
-    """DBSCAN given the eps-neighbour pairs (i, j) of the unique points."""
-    wt = uniq.select(F.col("uid").alias("j"), F.col("w").alias("wj"))
-    deg = nbr.join(wt, "j").groupBy(F.col("i").alias("uid")).agg(F.sum("wj").alias("nw"))
-    u = uniq.join(deg, "uid", "left").withColumn("core", (F.col("w") + F.coalesce("nw", F.lit(0))) >= min_samples)
-    core = u.where("core").select("uid")
-    ce = nbr.join(core.select(F.col("uid").alias("i")), "i").join(core.select(F.col("uid").alias("j")), "j") \
-        .select(F.col("i").alias("src"), F.col("j").alias("dst"))
-    comp = connected_components(core.select(F.col("uid").alias("id"), F.col("uid").alias("lab")), ce)
-    # Cluster number = rank of the component's lowest row index.
-    roots = comp.select("lab").distinct()
-    numbered = global_index(roots, ["lab"]).select("lab", F.col("_gidx").cast("int").alias("cluster_id"))
-    core_lab = comp.join(numbered, "lab").select(F.col("id").alias("uid"), "cluster_id")
-    border = nbr.join(core_lab.withColumnRenamed("uid", "j"), "j").groupBy(F.col("i").alias("uid")) \
-        .agg(F.min("cluster_id").alias("bcl"))
-    lab = u.select("uid", "vec", "core").join(core_lab, "uid", "left").join(border, "uid", "left") \
-        .select("vec", F.when(F.col("core"), F.col("cluster_id")).otherwise(F.coalesce("bcl", F.lit(-1)))
-                .cast("int").alias("cluster_id"))
-    return pts.join(lab, "vec").select(F.col("pid").alias(id_col), "cluster_id")
+CELL_CHUNK = 512   # points of one row of a cell
 
 
-def dbscan(df: DataFrame, id_col: str, features: str = "features", eps: float = 0.5, min_samples: int = 5,
-           order_col: str | None = None, grid_dims: int = 3) -> DataFrame:
-    """DBSCAN labels (id, cluster_id); -1 = noise.
+def _near_weights(it):
+    """Task: (points of a sparse cell, points of a neighbouring cell) -> per point the
+    weight within eps."""
+    for pdf in it:
+        for r in pdf.itertuples(index=False):
+            a, b = np.array(list(r.a_vec), dtype=float), np.array(list(r.b_vec), dtype=float)
+            near = np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(2)) <= r.eps
+            yield pd.DataFrame({"e": r.e, "uid": np.asarray(r.a_uid), "nw": (near * np.asarray(r.b_w)[None, :]).sum(1)})
 
-    Identical points are collapsed to one weighted point first, so a group of
-    copies never turns into all-pairs work. min_samples counts the point itself."""
+
+def _first_link(it):
+    """Task: (core points of a cell, core points of another) -> the two cells if any
+    pair is within eps; the search stops at the first row of points that has one."""
+    for pdf in it:
+        out = []
+        for r in pdf.itertuples(index=False):
+            b = np.array(list(r.b_vec), dtype=float)
+            if any((np.sqrt(((x - b) ** 2).sum(1)) <= r.eps).any() for x in np.array(list(r.a_vec), dtype=float)):
+                out.append((r.g, r.a, r.b))
+        yield pd.DataFrame(out, columns=["g", "a", "b"])
+
+
+def _least_cluster(it):
+    """Task: (points that are not core, core points of a cell) -> the cell's cluster for each within eps."""
+    for pdf in it:
+        for r in pdf.itertuples(index=False):
+            a, b = np.array(list(r.a_vec), dtype=float), np.array(list(r.b_vec), dtype=float)
+            near = (np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(2)) <= r.eps).any(1)
+            yield pd.DataFrame({"g": r.g, "uid": np.asarray(r.a_uid)[near], "bcl": r.cluster_id})
+
+
+def dbscan_grid(df: DataFrame, id_col: str, features: str = "features", grid=DBSCAN_GRID, order_col: str | None = None,
+                grid_dims: int = 3, chunk: int = CELL_CHUNK) -> DataFrame:
+    """M4 / N17 for every (eps, min_samples) of ``grid`` in one chain of jobs:
+    g (place in the grid), id, cluster_id; -1 = noise. min_samples counts the point itself.
+
+    Points fall into cells of side eps / sqrt(d), in which all points are within
+    eps of each other, so a cell of min_samples points is core without a
+    distance, and its core points are one cluster. Only points of sparser cells are
+    counted against the cells near theirs, and two cells are linked by the first
+    pair found; no pair of points is ever written. A cell's points come in
+    rows of about ``chunk``, so a hot cell is many rows. Identical points are one
+    weighted point."""
     pts, uniq = collapse_points(df, id_col, features, order_col)
-    nbr = eps_neighbours(uniq.select("uid", "vec"), "uid", "vec", eps, grid_dims)
-    return dbscan_labels(pts, uniq, nbr, min_samples, id_col)
+    first = uniq.select("vec").take(1)
+    dim = len(first[0]["vec"]) if first else 0
+    eps_of = sorted({float(e) for e, _ in grid})
+    least = max(m for _, m in grid)
+    side_of = [e / math.sqrt(max(dim, 1)) * (1 - 1e-9) for e in eps_of]
+    lit = lambda xs: F.array(*[F.lit(x) for x in xs])
+    every = F.explode(lit(list(range(len(eps_of))))).alias("e")
+    eps, side = F.get(lit(eps_of), F.col("e")), F.get(lit(side_of), F.col("e"))
+
+    placed = uniq.select("uid", "w", "vec", every).withColumn("side", side)
+    placed = placed.withColumn("cell", F.transform("vec", lambda x: F.floor(x / F.col("side")).cast("long"))).drop("side")
+    cells = placed.groupBy("e", "cell").agg(F.min("uid").alias("cid"), F.sum("w").alias("cw"), F.count(F.lit(1)).alias("cn")).checkpoint(eager=True)
+    points = placed.join(cells, ["e", "cell"]).select("e", "cid", "cw", "uid", "w", "vec", F.pmod(F.xxhash64("uid"), F.ceil(F.col("cn") / chunk)).alias("part")).checkpoint(eager=True)
+
+    # Occupied cells whose boxes come within eps: an equi-join on coarse boxes over the
+    # widest coordinates, then the boxes' distance.
+    var = cells.agg(*[F.var_pop(F.col("cell")[i]).alias(f"v{i}") for i in range(dim)]).first() if dim else None
+    dims = sorted(range(dim), key=lambda i: (-(var[f"v{i}"] or 0.0), i))[:grid_dims]
+    coarse = F.array(*[F.floor(F.col("cell")[i] * side / (eps + side)).cast("long") for i in dims])
+    box = cells.select("e", "cid", "cell", coarse.alias("box"))
+    offsets = F.array(*[lit(list(o)) for o in _offsets(len(dims))]) if dims else F.array(F.array().cast("array<int>"))
+    probe = box.select("e", F.col("cid").alias("a"), F.col("cell").alias("ca"), "box", F.explode(offsets).alias("o"))
+    probe = probe.select("e", "a", "ca", F.zip_with("box", "o", lambda c, o: c + o).alias("box"))
+    gap = F.aggregate(F.zip_with("ca", "cell", lambda x, y: F.greatest(F.abs(x - y) - 1, F.lit(0)).cast("double")), F.lit(0.0), lambda t, v: t + v * v)
+    near = probe.join(box, ["e", "box"]).where(F.sqrt(gap) * side <= eps * (1 + 1e-9)).select("e", "a", F.col("cid").alias("b")).checkpoint(eager=True)
+
+    def rows(df, by, *cols):
+        """Points of a cell in rows of bounded size."""
+        some = df.groupBy(*by, "part").agg(F.collect_list(F.struct("vec", *cols)).alias("_p"))
+        return some.select(*by, "part", F.col("_p.vec").alias("vec"), *[F.col(f"_p.{c}").alias(c) for c in cols])
+
+    # Weights around the points of sparse cells.
+    sparse = rows(points.where(F.col("cw") < least), ["e", "cid"], "uid").select("e", F.col("cid").alias("a"), F.col("vec").alias("a_vec"), F.col("uid").alias("a_uid"))
+    around = rows(points, ["e", "cid"], "w").select("e", F.col("cid").alias("b"), F.col("vec").alias("b_vec"), F.col("w").alias("b_w"))
+    met = sparse.join(near, ["e", "a"]).join(around, ["e", "b"]).select("e", "a_uid", "a_vec", "b_vec", "b_w", eps.alias("eps"))
+    weight = met.mapInPandas(_near_weights, "e int, uid long, nw long").groupBy("e", "uid").agg(F.sum("nw").alias("nw"))
+
+    # Core points of each (eps, min_samples).
+    tries = F.explode(F.filter(F.array(*[F.struct(F.lit(g).alias("g"), F.lit(eps_of.index(float(x))).alias("e"), F.lit(m).alias("least")) for g, (x, m) in enumerate(grid)]), lambda t: t["e"] == F.col("e"))).alias("_t")
+    judged = points.join(weight, ["e", "uid"], "left").select("*", tries)
+    judged = judged.select(F.col("_t.g").alias("g"), "e", "cid", "uid", "vec", "part", ((F.col("cw") >= F.col("_t.least")) | (F.coalesce("nw", F.lit(0)) >= F.col("_t.least"))).alias("core")).checkpoint(eager=True)
+    core = rows(judged.where("core"), ["g", "e", "cid"], "uid").withColumn("low", F.array_min("uid")).drop("uid").checkpoint(eager=True)
+    heads = core.groupBy("g", "cid").agg(F.min("low").alias("low"))
+
+    # Links between core cells: first by one row of points each, then, where the two
+    # are still apart, by all their rows.
+    node = lambda c: F.col("g") * F.lit(1 << 48) + F.col(c)
+    side_a = core.select("g", "e", F.col("cid").alias("a"), F.col("vec").alias("a_vec"), F.col("part").alias("a_part"))
+    side_b = core.select("g", F.col("cid").alias("b"), F.col("vec").alias("b_vec"), F.col("part").alias("b_part"))
+    link = "g int, a long, b long"
+    pick = ["g", "a", "b", "a_vec", "b_vec"]
+    lowest = core.groupBy("g", "cid").agg(F.min("part").alias("part"))
+    one = core.join(lowest, ["g", "cid", "part"])
+    one_a = one.select("g", "e", F.col("cid").alias("a"), F.col("vec").alias("a_vec"))
+    one_b = one.select("g", F.col("cid").alias("b"), F.col("vec").alias("b_vec"))
+    apart = near.where("a < b")
+    links = one_a.join(apart, ["e", "a"]).join(one_b, ["g", "b"]).select(*pick, eps.alias("eps")).mapInPandas(_first_link, link)
+    nodes = heads.select(node("cid").alias("id"), node("cid").alias("lab"))
+    both = lambda ls: ls.select(node("a").alias("src"), node("b").alias("dst")).unionAll(ls.select(node("b").alias("src"), node("a").alias("dst")))
+    links = links.checkpoint(eager=True)
+    comp = connected_components(nodes, both(links))
+    if core.where("part > 0").limit(1).count():   # some cell has more than one row of points
+        lab = comp.select(F.col("id").alias("n"), "lab")
+        todo = side_a.join(apart, ["e", "a"]).join(side_b, ["g", "b"]).where("a_part > 0 or b_part > 0")
+        todo = todo.join(lab.select(F.col("n").alias("na"), F.col("lab").alias("la")), node("a") == F.col("na")).join(lab.select(F.col("n").alias("nb"), F.col("lab").alias("lb")), node("b") == F.col("nb")).where("la <> lb")
+        more = todo.select(*pick, eps.alias("eps")).mapInPandas(_first_link, link).distinct()
+        comp = connected_components(nodes, both(links.unionAll(more)))
+
+    # Clusters are numbered by their lowest core row index.
+    named = heads.join(comp.select(F.col("id"), "lab"), node("cid") == F.col("id")).select("g", "cid", "lab", "low")
+    roots = named.groupBy("g", "lab").agg(F.min("low").alias("root"))
+    ranked = rank_in_groups(roots, ["g"], ["root"]).select("lab", (F.col("_rank") - 1).cast("int").alias("cluster_id"))
+    cluster = named.join(ranked, "lab").select("g", "cid", "cluster_id").checkpoint(eager=True)
+    loose = rows(judged.where(~F.col("core")), ["g", "e", "cid"], "uid").select("g", "e", F.col("cid").alias("a"), F.col("vec").alias("a_vec"), F.col("uid").alias("a_uid"))
+    held = core.join(cluster, ["g", "cid"]).select("g", F.col("cid").alias("b"), F.col("vec").alias("b_vec"), "cluster_id")
+    border = loose.join(near, ["e", "a"]).join(held, ["g", "b"]).select("g", "a_uid", "a_vec", "b_vec", "cluster_id", eps.alias("eps"))
+    border = border.mapInPandas(_least_cluster, "g int, uid long, bcl int").groupBy("g", "uid").agg(F.min("bcl").alias("bcl"))
+    label = judged.join(cluster, ["g", "cid"], "left").join(border, ["g", "uid"], "left")
+    label = label.select("g", "vec", F.coalesce(F.when(F.col("core"), F.col("cluster_id")).otherwise(F.col("bcl")), F.lit(-1)).cast("int").alias("cluster_id"))
+    return pts.join(label, "vec").select("g", F.col("pid").alias(id_col), "cluster_id")
+
+
+def dbscan(df: DataFrame, id_col: str, features: str = "features", eps: float = 0.5, min_samples: int = 5,
+           order_col: str | None = None, grid_dims: int = 3, chunk: int = CELL_CHUNK) -> DataFrame:
+    """DBSCAN labels (id, cluster_id); -1 = noise. See :func:`dbscan_grid`."""
+    return dbscan_grid(df, id_col, features, [(eps, min_samples)], order_col, grid_dims, chunk).drop("g")
 
 
 # ---- M6 / M7: selection ------------------------------------------------------------------
@@ -361,7 +521,7 @@ def dbscan(df: DataFrame, id_col: str, features: str = "features", eps: float =
 class Fitted:
     model_type: str
     k: int
-    model: object = None            # MLlib model (KMeans / GMM) or None
+    model: object = None            # Centers, MLlib mixture or None
     labels: DataFrame | None = None  # DBSCAN labels (id, cluster_id)
     params: dict = field(default_factory=dict)
     silhouettes: dict = field(default_factory=dict)
@@ -385,38 +545,37 @@ def _n_labels(labels: DataFrame, exclude_noise: bool) -> int:
 
 
 def select_best_model(x: DataFrame, id_col: str, k_min: int = 3, k_max: int = 5, seed: int = 42,
-                      n_init: int = 10, dbscan_grid=DBSCAN_GRID) -> Fitted:
+                      n_init: int = 10, grid=DBSCAN_GRID, method: str = "euclidean", kinds: Sequence[str] = ("kmeans", "gmm")) -> Fitted:
     """M6: KMeans then GMM for k in [k_min, k_max], then the DBSCAN grid (noise
     excluded); strictly greater silhouette wins in that order; DBSCAN refused
-    above 20% noise. The candidates are fitted and scored as concurrent Spark
+    above 20% noise. ``method``: the silhouette's distance; ``kinds``: which models
+    with k take part. The candidates are fitted and scored as concurrent Spark
     jobs; the choice is made afterwards in the fixed order, so it does not
     depend on which job finishes first."""
     ks = list(range(k_min, k_max + 1))
 
+    means = kmeans_fits(x, id_col, ks, n_init, seed) if "kmeans" in kinds else {}
+
     def eval_mllib(kind, k):
-        m = fit_kmeans(x, k, seed, n_init) if kind == "kmeans" else fit_gmm(x, k, seed)
+        m = means[k] if kind == "kmeans" else fit_gmm(x, k, seed)
         lab = predict(m, x)
-        sil = (silhouette(lab, id_col=id_col)[0] or 0.0) if k > 1 and _n_labels(lab, False) > 1 else 0.0
+        sil = (silhouette(lab, id_col=id_col, method=method)[0] or 0.0) if k > 1 and _n_labels(lab, False) > 1 else 0.0
         return kind, k, m, sil
 
-    pts, uniq = collapse_points(x, id_col, "features")
-    # One range join at the largest eps serves the whole grid (filtered by distance).
-    nbr_all = eps_neighbours(uniq.select("uid", "vec"), "uid", "vec", max(e for e, _ in dbscan_grid)) \
-        .checkpoint(eager=True) if dbscan_grid else None
+    grid = list(grid)
+    labels = dbscan_grid(x, id_col, "features", grid).checkpoint(eager=True) if grid else None
 
-    def eval_dbscan(cell):
-        eps, ms = cell
-        nbr = nbr_all.where(F.col("distance") <= F.lit(float(eps)))
-        lab = dbscan_labels(pts, uniq, nbr, ms, id_col).checkpoint(eager=True)
+    def eval_dbscan(g):
+        lab = labels.where(F.col("g") == g).drop("g")
         sil = 0.0
         if _n_labels(lab, True) > 1:
             joined = x.select(id_col, "features").join(lab, id_col)
-            sil = silhouette(joined, id_col=id_col, exclude_noise=True)[0] or 0.0
-        return eps, ms, lab, sil, _noise_frac(lab)
+            sil = silhouette(joined, id_col=id_col, exclude_noise=True, method=method)[0] or 0.0
+        return *grid[g], lab, sil, _noise_frac(lab)
 
     with ThreadPoolExecutor(max_workers=FIT_THREADS) as pool:
-        mllib = list(pool.map(lambda a: eval_mllib(*a), [("kmeans", k) for k in ks] + [("gmm", k) for k in ks]))
-        dbs = list(pool.map(eval_dbscan, list(dbscan_grid)))
+        mllib = list(pool.map(lambda a: eval_mllib(*a), [(kind, k) for kind in kinds for k in ks]))
+        dbs = list(pool.map(eval_dbscan, range(len(grid))))
 
     trials, best, best_sil = [], None, -1.0
     for kind, k, m, sil in mllib:                        # kmeans k asc, then gmm k asc
@@ -439,20 +598,20 @@ def select_best_model(x: DataFrame, id_col: str, k_min: int = 3, k_max: int = 5,
 
 
 def fit_model(x: DataFrame, id_col: str, model_type: str = "auto", min_clusters: int = 3, max_clusters: int = 5,
-              seed: int = 42, n_init: int = 10) -> Fitted:
+              seed: int = 42, n_init: int = 10, method: str = "euclidean") -> Fitted:
     """M7: forced model or auto selection. Forced k = max(min_clusters, 2);
     forced DBSCAN(0.5, 5) falls back to KMeans above 20% noise."""
     if model_type == "auto":
-        return select_best_model(x, id_col, min_clusters, max_clusters, seed, n_init)
+        return select_best_model(x, id_col, min_clusters, max_clusters, seed, n_init, method=method)
     k = max(min_clusters, 2)
     if model_type == "gmm":
         return Fitted("gmm", k, fit_gmm(x, k, seed), params={"k": k})
     if model_type == "dbscan":
         lab = dbscan(x, id_col, "features", 0.5, 5).checkpoint(eager=True)
         if _noise_frac(lab) > 0.2:
-            return Fitted("kmeans", k, fit_kmeans(x, k, seed, n_init), params={"k": k, "fallback_from": "dbscan"})
+            return Fitted("kmeans", k, fit_kmeans(x, k, seed, n_init, id_col=id_col), params={"k": k, "fallback_from": "dbscan"})
         return Fitted("dbscan", _n_labels(lab, True), None, lab, params={"eps": 0.5, "min_samples": 5})
-    return Fitted("kmeans", k, fit_kmeans(x, k, seed, n_init), params={"k": k})
+    return Fitted("kmeans", k, fit_kmeans(x, k, seed, n_init, id_col=id_col), params={"k": k})
 
 
 # ---- M8 -----------------------------------------------------------------------------------
@@ -549,17 +708,19 @@ def _rows_of(pdf: pd.DataFrame, at: int, size: int):
 
 
 BOOT_ROWS = 64   # rows compared with all refits at once
+FAR = 1e100      # a centre that no row is nearest to
 
 
-def _lloyd_step(centers: np.ndarray, refits: np.ndarray, iterations: np.ndarray, seed: int):
-    """Task: weighted sums of its own rows per (refit, cluster), one row each."""
+def _lloyd_step(centers: np.ndarray, refits: np.ndarray, iterations: np.ndarray | None, seed: int):
+    """Task: weighted sums of its own rows per (refit, cluster), one row each; without
+    ``iterations`` every row weighs 1."""
     def run(it):
         r, k, d = centers.shape
         total = np.zeros((r, k, d + 2))
         for pdf in it:
             for at in range(0, len(pdf), BOOT_ROWS):
                 h, v = _rows_of(pdf, at, BOOT_ROWS)
-                w = poisson_draws(h, iterations, seed)
+                w = np.ones((len(h), r)) if iterations is None else poisson_draws(h, iterations, seed)
                 near, d2 = _nearest(v, centers)
                 for c in range(k):
                     wc = w * (near == c)
@@ -571,6 +732,20 @@ def _lloyd_step(centers: np.ndarray, refits: np.ndarray, iterations: np.ndarray,
     return run
 
 
+def _step(pts: DataFrame, centers: np.ndarray, live: np.ndarray, iterations: np.ndarray | None, seed: int):
+    """One Lloyd step of the ``live`` fits: (new centres, cost under the old ones, how far each fit moved)."""
+    d = centers.shape[2]
+    rows = pts.select("h", "v").mapInPandas(_lloyd_step(centers, live, iterations, seed), "refit int, cl int, sums array<double>")
+    sums = rows.groupBy("refit", "cl").agg(F.array(*[F.sum(F.get("sums", F.lit(j))) for j in range(d + 2)]).alias("t")).collect()
+    place = {int(f): i for i, f in enumerate(live)}
+    new, spent = centers.copy(), np.zeros(len(live))
+    for r in sums:                                   # fits x k rows at most
+        i = place[r["refit"]]
+        new[i, r["cl"]] = np.array(r["t"][:d]) / r["t"][d]
+        spent[i] += r["t"][d + 1]
+    return new, spent, np.abs(new - centers).max(axis=(1, 2))
+
+
 def bootstrap_kmeans(x: DataFrame, id_col: str, k: int, n_iter: int, n_init: int = 5, seed: int = 42,
                      tol: float = 1e-6, max_steps: int = 300):
     """All refits of a k-means bootstrap as one chain of jobs over the n rows.
@@ -613,16 +788,9 @@ def bootstrap_kmeans(x: DataFrame, id_col: str, k: int, n_iter: int, n_init: int
     cost, moving, steps = np.full(n_refit, np.inf), np.ones(n_refit, bool), 0
     while moving.any() and steps < max_steps:
         live = np.flatnonzero(moving)
-        step = _lloyd_step(centers[live], live, live // n_init, seed)
-        rows = pts.select("h", "v").mapInPandas(step, "refit int, cl int, sums array<double>")
-        sums = rows.groupBy("refit", "cl").agg(F.array(*[F.sum(F.get("sums", F.lit(j))) for j in range(d + 2)]).alias("t")).collect()
-        new, spent = centers.copy(), np.zeros(n_refit)
-        for r in sums:                                   # n_iter x n_init x k rows at most
-            new[r["refit"], r["cl"]] = np.array(r["t"][:d]) / r["t"][d]
-            spent[r["refit"]] += r["t"][d + 1]
-        cost[live] = spent[live]
-        moving[live] = np.abs(new[live] - centers[live]).max(axis=(1, 2)) > tol
-        centers, steps = new, steps + 1
+        centers[live], cost[live], moved = _step(pts, centers[live], live, live // n_init, seed)
+        moving[live] = moved > tol
+        steps += 1
     best = cost.reshape(n_iter, n_init).argmin(axis=1) + np.arange(n_iter) * n_init
     return pts, centers[best], int(moving[best].sum())
 
@@ -653,7 +821,9 @@ def bootstrap_confidence(x: DataFrame, fitted: Fitted, id_col: str, n_iter: int
     Returns (id, confidence) and {stability_mean, stability_std, n_iter, n_unconverged}."""
     spark = x.sparkSession
     unconverged = 0
-    if fitted.k <= 1:
+    if n_iter <= 0:
+        conf = x.select(id_col, F.lit(None).cast("double").alias("confidence"))
+    elif fitted.k <= 1:
         conf = x.select(id_col, F.lit(0.5).alias("confidence"))
     elif fitted.model_type == "dbscan":
         conf = fitted.labels.select(id_col, F.when(F.col("cluster_id") != -1, 1.0).otherwise(0.0).alias("confidence"))
@@ -681,15 +851,15 @@ def bootstrap_confidence(x: DataFrame, fitted: Fitted, id_col: str, n_iter: int
         cnt = spark.read.parquet(out).groupBy(id_col, "cluster_id").agg(F.count(F.lit(1)).alias("c"))
         conf = cnt.groupBy(id_col).agg((F.max("c") / F.lit(float(n_iter))).alias("confidence"))
     st = conf.agg(F.avg("confidence").alias("m"), F.stddev_pop("confidence").alias("s")).collect()[0]
-    return conf, {"stability_mean": float(st["m"] or 0.0), "stability_std": float(st["s"] or 0.0), "n_iter": n_iter,
+    return conf, {"stability_mean": None if st["m"] is None else float(st["m"]), "stability_std": float(st["s"] or 0.0), "n_iter": n_iter,
                   "n_unconverged": unconverged}
 
 
 def _centers(fitted: Fitted):
     """Centres indexed by canonical cluster id (as returned by ``predict``)."""
     if fitted.model_type == "kmeans":
-        raw = np.array([np.asarray(c) for c in fitted.model.clusterCenters()])
-    elif fitted.model_type == "gmm":
+        return fitted.model.centers
+    if fitted.model_type == "gmm":
         raw = np.array([np.asarray(r[0].toArray()) for r in fitted.model.gaussiansDF.select("mean").collect()])
     else:
         return None
@@ -712,8 +882,10 @@ class ScoringResult:
 
 def score_creators(features: DataFrame, scored_at: Column, model_type: str = "auto", min_clusters: int = 3,
                    max_clusters: int = 5, seed: int = 42, n_boot: int = 500, n_init: int = 10,
-                   cols: Sequence[str] = R.FEATURE_COLUMNS, id_col: str = "channel_id") -> ScoringResult:
-    """M1 -> M6/M7 -> P12 -> W4 -> W3 -> M8 -> M9 -> U1."""
+                   cols: Sequence[str] = R.FEATURE_COLUMNS, id_col: str = "channel_id",
+                   method: str = "euclidean") -> ScoringResult:
+    """M1 -> M6/M7 -> P12 -> W4 -> W3 -> M8 -> M9 -> U1. ``method``: silhouette by
+    which models are chosen and reported. ``n_boot=0`` leaves the confidence null."""
     scored, unscored = SC.split_scored(features)
     if scored.limit(1).count() == 0:
         out = SC.union_unscored(scored.limit(0).select(*features.columns), features, "kmeans_v1", scored_at)
@@ -721,7 +893,7 @@ def score_creators(features: DataFrame, scored_at: Column, model_type: str = "au
     scored = scored.checkpoint(eager=True)
     x, prep = preprocess(scored, cols)
     x = x.checkpoint(eager=True)
-    fitted = fit_model(x, id_col, model_type, min_clusters, max_clusters, seed, n_init)
+    fitted = fit_model(x, id_col, model_type, min_clusters, max_clusters, seed, n_init, method)
     s = fitted.assign(x, id_col)
     s = SC.with_risk_score(s, cols)
     s = SC.label_clusters(s)
@@ -733,7 +905,7 @@ def score_creators(features: DataFrame, scored_at: Column, model_type: str = "au
     conf, boot = bootstrap_confidence(x, fitted, id_col, n_boot, seed)
     s = s.join(conf, id_col, "left")
     n_lab = _n_labels(s, False)
-    final_sil = (silhouette(s, id_col=id_col)[0] or 0.0) if fitted.k > 1 and n_lab > 1 else 0.0
+    final_sil = (silhouette(s, id_col=id_col, method=method)[0] or 0.0) if fitted.k > 1 and n_lab > 1 else 0.0
     mv = f"{fitted.model_type}_v1"
     s = s.select(*features.columns, "risk_score", "cluster_id", "cluster_label", "risk_flag",
                  F.lit(mv).alias("model_version"), scored_at.alias("scored_at"), "distance_to_centroid", "confidence")
@@ -762,10 +934,13 @@ def model_summary(result: ScoringResult, cols: Sequence[str] = R.FEATURE_COLUMNS
 # ---- K10 ---------------------------------------------------------------------------------------
 
 def save_model(result: ScoringResult, path: str) -> str:
-    """MLlib model (or DBSCAN labels) + preprocessor and metrics as JSON."""
+    """The model as a table (k-means: cluster_id and centre; DBSCAN: labels; a
+    mixture: MLlib's own), the preprocessor and the metrics as JSON."""
     spark = result.clusters.sparkSession
     f = result.fitted
-    if f is not None and f.model is not None:
+    if f is not None and isinstance(f.model, Centers):
+        f.model.rows(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
+    elif f is not None and f.model is not None:
         f.model.write().overwrite().save(f"{path}/model")
     elif f is not None and f.labels is not None:
         f.labels.write.mode("overwrite").parquet(f"{path}/labels")
@@ -782,7 +957,7 @@ def load_model(spark: SparkSession, path: str) -> tuple[Fitted, Preprocessor | N
     mt = meta["model_type"]
     prep = Preprocessor.from_json(meta["preprocessor"]) if meta.get("preprocessor") else None
     if mt == "kmeans":
-        fitted = Fitted(mt, meta["k"], KMeansModel.load(f"{path}/model"))
+        fitted = Fitted(mt, meta["k"], Centers.of(spark.read.parquet(f"{path}/model")))
     elif mt == "gmm":
         fitted = Fitted(mt, meta["k"], GaussianMixtureModel.load(f"{path}/model"))
     else:

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library's semantics depend on (UTC day arithmetic, ANSI errors
 # surfaced, AQE for runtime re-planning and skew splitting).
@@ -71,6 +71,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: short lineage, and none of
+    the plan's constraints, which grow from round to round of an iteration."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
