@@ -1,23 +1,20 @@
 """Keyed merge (upsert) for parquet tables, K5-K9, plus row-count reconciliation.
 
-Parquet tables have no MERGE. A table is cut into hash buckets of its key, one
-folder each; a merge is a full outer join on the keys over the buckets that the
-updates touch, written as new folders, and a small version file that names the
-current folder of every bucket. Readers switch with the version file, which is
-renamed into place after the write committed. Updates are first reduced to one
+Parquet tables have no MERGE. A table is partitioned into hash buckets of its key;
+a merge is a full outer join on the keys over the buckets that the updates touch,
+put in place by dynamic partition overwrite. Updates are first reduced to one
 row per key (last wins by a sequence column, as rows applied in order would
 leave it) so a batch with repeated keys is well defined.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..session import exists, remove
 from .ordering import dedup_first
 
 
@@ -79,109 +76,59 @@ def with_algorithm(clusters: DataFrame) -> DataFrame:
     return clusters.withColumn("algorithm", F.coalesce(F.substring_index("model_version", "_", 1), F.lit("kmeans")))
 
 
-# ---- bucketed, versioned tables -----------------------------------------------
+# ---- merges into a Parquet folder ----------------------------------------------
 
 BUCKETS = 32
-KEPT_VERSIONS = 2   # older versions' folders that no kept version names are removed
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def committed_versions(spark: SparkSession, base: str) -> list[int]:
-    """Version numbers of the table at ``base``."""
-    fs, p, _ = _fs(spark, f"{base.rstrip('/')}/_versions")
-    if not fs.exists(p):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(p)]
-    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
-
-
-def _version(spark: SparkSession, base: str, version: int) -> dict:
-    text = spark.read.text(f"{base.rstrip('/')}/_versions/{version}.json", wholetext=True).first()[0]
-    return json.loads(text)
-
-
-def _commit(spark: SparkSession, base: str, version: int, info: dict) -> None:
-    """Write the version file under another name, then rename it into place."""
-    fs, folder, jvm = _fs(spark, f"{base.rstrip('/')}/_versions")
-    fs.mkdirs(folder)
-    temp = jvm.org.apache.hadoop.fs.Path(folder, f".{version}.tmp")
-    out = fs.create(temp, True)
-    out.write(bytearray(json.dumps(info).encode()))
-    out.close()
-    if not fs.rename(temp, jvm.org.apache.hadoop.fs.Path(folder, f"{version}.json")):
-        raise OSError(f"version {version} of {base} was committed by another writer")
-
-
-def _clean(spark: SparkSession, base: str) -> None:
-    """Remove version files beyond the newest ``KEPT_VERSIONS`` and the bucket
-    folders that none of the kept ones names."""
-    versions = committed_versions(spark, base)
-    old, kept = versions[:-KEPT_VERSIONS], versions[-KEPT_VERSIONS:]
-    used = {tuple(x) for v in kept for x in _version(spark, base, v)["folders"].items()}
-    for v in old:
-        for bucket, of in _version(spark, base, v)["folders"].items():
-            if (bucket, of) not in used:
-                fs, p, _ = _fs(spark, f"{base.rstrip('/')}/version={of}/bucket={bucket}")
-                fs.delete(p, True)
-        fs, p, _ = _fs(spark, f"{base.rstrip('/')}/_versions/{v}.json")
-        fs.delete(p, False)
-
-
-def _read(spark: SparkSession, base: str, info: dict, buckets: Sequence[int] | None = None) -> DataFrame:
-    schema = T.StructType.fromJson(info["schema"])
-    paths = [f"{base.rstrip('/')}/version={of}/bucket={b}" for b, of in info["folders"].items()
-             if buckets is None or int(b) in buckets]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+def read_current(spark: SparkSession, base: str) -> DataFrame | None:
+    """The table at ``base``; None when nothing was merged into it yet."""
+    if not exists(spark, base):
+        return None
+    return spark.read.parquet(base).drop("bucket")
 
 
-def read_current(spark: SparkSession, base: str) -> DataFrame | None:
-    """The newest version of the table; None when there is none."""
-    vs = committed_versions(spark, base)
-    return _read(spark, base, _version(spark, base, vs[-1])) if vs else None
+def _overwrite(spark: SparkSession, base: str) -> None:
+    """The staged rows' buckets in place of the table's, then the stage goes."""
+    staged = f"{base}/_staged"
+    spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("bucket").parquet(base)
+    remove(spark, staged)
 
 
-def merge_into(spark: SparkSession, base: str, updates: DataFrame, keys: Sequence[str], version: int | None = None,
-               update_cols: Sequence[str] | None = None, seq_col: str | None = None, origin: str | None = None,
+def merge_into(spark: SparkSession, base: str, updates: DataFrame, keys: Sequence[str],
+               update_cols: Sequence[str] | None = None, seq_col: str | None = None,
                buckets: int = BUCKETS) -> DataFrame:
-    """K5-K9: merge ``updates`` into the table as its next version and return the table.
-
-    Only buckets that hold a key of the updates are read and rewritten. A merge
-    is skipped when ``version`` is committed already, or when the newest
-    version carries the same ``origin`` (a stream and its batch number), so a
-    replay after a failure does nothing; another stream's batch of the same
-    number is merged."""
-    keys, done = list(keys), committed_versions(spark, base)
-    last = _version(spark, base, done[-1]) if done else None
-    if version in done or (origin is not None and last is not None and origin in last["origins"]):
-        return _read(spark, base, _version(spark, base, version if version in done else done[-1]))
-    number = version if version is not None else (done[-1] + 1 if done else 1)
-    count = last["buckets"] if last else buckets
-    types = {f.name: f.dataType for f in T.StructType.fromJson(last["schema"]).fields} if last else {}
+    """K5-K9: merge ``updates`` into the Parquet table at ``base`` and return the table.
+
+    The table is partitioned by a hash of its keys into ``buckets`` (the same number
+    in every merge). Only buckets that hold a key of the updates are read; their
+    merged rows are staged, then put in place by Spark's dynamic partition
+    overwrite. A stage that was written whole but not put in place, as after a
+    crash, is put in place first.
+
+    Merging the same updates again changes nothing, so a run or micro-batch that
+    is replayed after a failure needs no record of it: a stream replays its last
+    batch only. One writer at a time."""
+    keys, base = list(keys), base.rstrip("/")
+    if exists(spark, f"{base}/_staged/_SUCCESS"):
+        _overwrite(spark, base)
+    table = read_current(spark, base)
+    types = dict(table.dtypes) if table is not None else {}
     u = updates.withColumns({k: F.col(k).cast(types[k]) for k in keys if k in types})
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int")
-    if last:
-        touched = [r[0] for r in u.select(bucket).distinct().collect()]     # at most ``count`` numbers
-        merged = upsert(_read(spark, base, last, touched), u, keys, update_cols, seq_col)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    touched = sorted(r[0] for r in u.select(bucket).distinct().collect())     # at most ``buckets`` numbers
+    if not touched:
+        return table if table is not None else updates.drop(*([seq_col] if seq_col else [])).limit(0)
+    if table is not None:
+        current = spark.read.parquet(base).where(F.col("bucket").isin(touched)).drop("bucket")
+        merged = upsert(current, u, keys, update_cols, seq_col)
     else:
         merged = latest_updates(u, keys, seq_col)
         merged = merged.drop(seq_col) if seq_col is not None else merged
-    out = merged.withColumn("bucket", bucket).repartition(count, "bucket")
-    out.write.mode("overwrite").partitionBy("bucket").parquet(f"{base.rstrip('/')}/version={number}")
-    fs, p, _ = _fs(spark, f"{base.rstrip('/')}/version={number}")
-    new = {st.getPath().getName().split("=")[1]: number for st in fs.listStatus(p) if st.getPath().getName().startswith("bucket=")}
-    origins = (last["origins"] if last else [])
-    if origin is not None:      # of each stream only the newest batch can be replayed
-        origins = [o for o in origins if o.rpartition(":")[0] != origin.rpartition(":")[0]] + [origin]
-    info = {"buckets": count, "schema": json.loads(merged.schema.json()), "origins": origins,
-            "folders": {**(last["folders"] if last else {}), **new}}
-    _commit(spark, base, number, info)
-    _clean(spark, base)
-    return _read(spark, base, info)
+    merged.withColumn("bucket", bucket).repartition(buckets, "bucket").write.mode("overwrite").parquet(f"{base}/_staged")
+    _overwrite(spark, base)
+    return read_current(spark, base)
 
 
 # ---- D4 ----------------------------------------------------------------------

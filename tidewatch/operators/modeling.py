@@ -292,7 +292,7 @@ def silhouette(df: DataFrame, features: str = "features", label: str = "cluster_
         F.max(F.when(F.col("cl") == F.col("own"), F.col("n"))).alias("n_own"),
         F.min(F.when((F.col("cl") != F.col("own")) & (F.col("n") > 0), mean_d)).alias("b"))
     s = F.when(F.coalesce(F.col("n_own"), F.lit(0)) == 0, F.lit(0.0)).otherwise(
-        (F.col("b") - F.col("a")) / F.greatest(F.col("a"), F.col("b")))
+        F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")))
     val = agg.select(F.avg(F.coalesce(s, F.lit(0.0))).alias("s")).collect()[0]["s"]
     return (float(val) if val is not None else None), "euclidean"
 

@@ -48,8 +48,8 @@ def run(spark: SparkSession, channels: DataFrame, videos: DataFrame, ref, out_di
         version: int, short: int = 30, long: int = 90, min_videos: int = 2, model_type: str = "auto",
         min_clusters: int = 3, max_clusters: int = 5, n_boot: int = 500, seed: int = 42,
         channel_key: str = "channel_id") -> RunResult:
-    """Compute and write one run. ``version`` numbers the keyed-table versions
-    (replaying a version is a no-op for the merges)."""
+    """Compute and write one run. ``version`` numbers the runs' state
+    (merging the newest run again changes nothing)."""
     configure(spark)
     out, st = out_dir.rstrip("/"), state_dir.rstrip("/")
     paths = {}
@@ -88,9 +88,9 @@ def run(spark: SparkSession, channels: DataFrame, videos: DataFrame, ref, out_di
     prev_report = LD.read_previous_report(spark, f"{before}/previous_report")
     paths["new_at_risk"] = SK.write_snapshot(MO.new_at_risk(report, prev_report, channel_key), f"{out}/new_at_risk")
 
-    # Keyed tables: merge after computing (versioned, replay-safe).
-    MG.merge_into(spark, f"{st}/tables/creator_features", features, [channel_key], version)
-    MG.merge_into(spark, f"{st}/tables/creator_clusters", MG.with_algorithm(clusters), [channel_key], version)
+    # Keyed tables: merge after computing (the newest run again changes nothing).
+    MG.merge_into(spark, f"{st}/tables/creator_features", features, [channel_key])
+    MG.merge_into(spark, f"{st}/tables/creator_clusters", MG.with_algorithm(clusters), [channel_key])
 
     # State for the next run, written last.
     SK.save_baseline(f_new, f"{now}/feature_baseline")

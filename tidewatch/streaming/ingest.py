@@ -78,15 +78,14 @@ def ingest_landing_stream(spark: SparkSession, path: str, item_schema: T.StructT
 def stream_upsert(spark: SparkSession, path: str, item_schema: T.StructType,
                   flatten: Callable[[DataFrame], DataFrame], table_path: str, checkpoint: str,
                   keys: Sequence[str], update_cols: Sequence[str] | None = None, available_now: bool = True):
-    """Idempotent keyed merge per micro-batch into a bucketed table; of
-    repeated keys in a batch the last item wins."""
-    pages, sid = landing_stream(spark, path), stream_id(checkpoint)
+    """Keyed merge per micro-batch into a Parquet table; of repeated keys in a
+    batch the last item wins. A batch that is replayed merges to the same rows."""
+    pages = landing_stream(spark, path)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         good, _ = split_corrupt(_items(batch, item_schema))
         rows = flatten(good, ITEM_ORDER)
-        MG.merge_into(batch.sparkSession, table_path, rows, keys, update_cols=update_cols, seq_col=ITEM_ORDER,
-                      origin=f"{sid}:{batch_id}")
+        MG.merge_into(batch.sparkSession, table_path, rows, keys, update_cols=update_cols, seq_col=ITEM_ORDER)
 
     w = pages.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
