@@ -29,10 +29,8 @@ def build_session(master: str = "local[8]", app: str = "tidewatch",
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    conf = {**REQUIRED_CONF, **(extra or {})}
-    if "spark.checkpoint.dir" not in conf:
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
-    for k, v in conf.items():
+    # The shared folder is chosen by checkpoint_dir, which takes a temporary one in local mode only.
+    for k, v in {**REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
