@@ -1,6 +1,9 @@
 """Exact dedup and WARC archives against brute force, with edge cases and forced recursion."""
+import glob
+import gzip
 import hashlib
 import random
+import zlib
 
 import pytest
 from conftest import SF_SMALL
@@ -93,6 +96,54 @@ def test_warc_round_trip(spark):
     assert sorted(map(tuple, got.select("page", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=str) == brute_warc(rows)
 
 
+def members(content):
+    """The gzip members of a file, each inflated by itself."""
+    out = []
+    while content:
+        step = zlib.decompressobj(31)
+        out.append(step.decompress(content))
+        assert step.eof
+        content = step.unused_data
+    return out
+
+
+def test_warc_files(spark, tmp_path):
+    """A member per record after a warcinfo, files bounded in bytes and records, distinct record ids."""
+    random.seed(3)
+    noise = lambda n: "".join(random.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    rows = [(i, f"http://a/{i}", noise(4000), 1, 2, 3) for i in range(60)]
+    rows += [(5, "u", "small", 1, 2, 3), (5, "u", "small", 1, 2, 3), (5, "u", "tiny", 1, 2, 3), (5, "u", noise(300), 1, 2, 3), (90, "u", rows[7][2], 1, 2, 3)]
+    rows.append((91, "big", noise(1000) * 18000, 1, 2, 3))   # 18 MB: its member does not end with a zero byte
+    path = str(tmp_path / "out")
+    got = warc.round_trip(spark.createDataFrame(rows, PAGES).coalesce(1), path=path, file_bytes=30000)
+    assert sorted(map(tuple, got.select("page", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=str) == brute_warc([r[:3] for r in rows])
+    ids, files = [], glob.glob(f"{path}/*/part-*")
+    for name in files:
+        with open(name, "rb") as f:
+            content = f.read()
+        if not content:   # Spark's file of an empty first partition
+            continue
+        first, *rest = members(content)
+        rest = [m for m in rest if m]
+        assert first.startswith(b"WARC/1.1\r\nWARC-Type: warcinfo\r\n") and rest
+        assert len(content) < 30000 + 2800 + 400 or len(rest) == 1 or b"Target-URI: big" in rest[-1]
+        for m in rest:
+            (head, block), = warc._parse(m)
+            assert block.startswith(b"HTTP/1.1 200 OK\r\n")
+            ids.append(head["warc-record-id"])
+    assert len(files) > 4 and len(ids) == len(set(ids)) == len(rows)
+
+
+def test_warc_of_other_writers():
+    """Plain files, several records in a member, blocks that are no HTTP message."""
+    one = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Type: text/html\r\nContent-Length: 9\r\n\r\nab\r\n\r\ncde\r\n\r\n"
+    for content in (one * 3000, gzip.compress(one * 3000), gzip.compress(one) * 3000, gzip.compress(one * 2) + gzip.compress(b"") + gzip.compress(one * 2998)):
+        got = list(warc._parse(content))
+        assert len(got) == 3000 and {warc._payload(*r) for r in got} == {b"ab\r\n\r\ncde"}
+    with pytest.raises(ValueError):
+        list(warc._parse(one[:-8]))
+
+
 def test_warc_empty(spark):
     assert warc.round_trip(spark.createDataFrame([], PAGES)).collect() == []
 

@@ -11,17 +11,27 @@ and ``resolve`` joins revisit records to their original responses.
   digest at most: the smallest page of a digest is picked by a partial
   aggregate before the shuffle, so a payload that a third of all pages share
   does not meet in one task.
-* Records are text, one per row, and ``lineSep`` is the two line ends that
-  close a WARC record, so Spark's text writer makes the archives (gzipped,
-  committed per task, at most ``records_per_file`` records each).
-* Reading parses each file by Content-Length in the task that holds it, one
-  record at a time out of the gzip stream; payload digest and length are those
-  of the bytes read, not of the header.
+* A file is a ``warcinfo`` record and then page records, one gzip member each, so
+  any record can be read from its offset. It ends at ``records_per_file`` records
+  or with the record that takes it to ``file_bytes`` compressed bytes, so a task
+  holds one file and one record at most. Page records hold an HTTP message: a
+  fresh status line and headers, and in responses the payload.
+* Spark's text writer puts the files in place, committed per task, one row each.
+  It closes a row with ``lineSep``, which is the zero byte that the size of a
+  member below 16 MiB ends with; a larger last member is followed by an empty one.
+* Reading inflates each file in pieces in the task that holds it and parses it by
+  Content-Length, one record at a time; payload digest and length are those of the
+  bytes read, not of the header. Files of other writers, with several records in a
+  member, without gzip or without HTTP messages, are read as well (a record id that
+  names no page is null).
 
 Null payloads are empty, a null URL has no WARC-Target-URI, a null page id is
 larger than any other. Pages that repeat id and payload are records of their
-own: one response, the rest revisits to the same id. No pages: no archive,
-no rows.
+own: one response, the rest revisits to the same id. Record ids are distinct,
+also where pages repeat their id. No pages: no archive, no rows.
+
+A page must fit a task's memory several times: Spark's Parquet reader loads a
+batch of pages before any of this runs (``spark.sql.parquet.columnarReaderBatchSize``).
 """
 
 from __future__ import annotations
@@ -38,42 +48,89 @@ from ..session import exists, scratch_path
 from .common import written
 
 MIN_BYTES = 100
-RECORDS_PER_FILE = 4096
+RECORDS_PER_FILE = 65536
+FILE_BYTES = 32 << 20  # compressed
 DATE = "2000-01-01T00:00:00Z"  # of the records; the given pages carry no capture time
 RECORD_TYPES = ("response", "revisit")
+PIECE = 1 << 14  # bytes of a file inflated at a time
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def _record(kind: str, page, url, digest, payload, refers_to, extra):
-    """One WARC record as text, without the two line ends that close it."""
+    """One WARC record as text, with the two line ends that close it. ``digest`` and
+    ``extra`` tell records of one page id apart."""
+    urn = lambda p, e: F.concat(F.lit("<urn:page:"), F.coalesce(p.cast("string"), F.lit("null")), F.lit(":"), digest, F.lit(":"), e.cast("string"), F.lit(">"))
+    http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"), *([F.lit("Content-Length: "), F.octet_length(payload).cast("string"), F.lit("\r\n")] if kind == "response" else []), F.lit("\r\n"))
     header = [
         F.lit("WARC/1.1"),
         F.lit(f"WARC-Type: {kind}"),
-        F.concat(F.lit("WARC-Record-ID: <urn:page:"), F.coalesce(page.cast("string"), F.lit("null")), F.lit(":"), extra.cast("string"), F.lit(">")),
+        F.concat(F.lit("WARC-Record-ID: "), urn(page, extra)),
         F.lit(f"WARC-Date: {DATE}"),
         F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace(url, r"[\r\n]", "")),
         F.concat(F.lit("WARC-Payload-Digest: sha256:"), digest),
-        F.concat(F.lit("WARC-Refers-To: <urn:page:"), refers_to.cast("string"), F.lit(":0>")),
+        F.concat(F.lit("WARC-Refers-To: "), urn(refers_to, F.lit(0))) if kind == "revisit" else F.lit(None).cast("string"),
         F.lit(f"WARC-Profile: {PROFILE}") if kind == "revisit" else F.lit(None).cast("string"),
-        F.lit("Content-Type: text/html; charset=utf-8"),
-        F.concat(F.lit("Content-Length: "), F.octet_length(payload).cast("string")),
+        F.lit("Content-Type: application/http; msgtype=response"),
+        F.concat(F.lit("Content-Length: "), (F.octet_length(http) + F.octet_length(payload)).cast("string")),
     ]
-    return F.concat(F.concat_ws("\r\n", *header), F.lit("\r\n\r\n"), payload).alias("value")
+    return F.concat(F.concat_ws("\r\n", *header), F.lit("\r\n\r\n"), http, payload, F.lit("\r\n\r\n")).cast("binary").alias("value")
+
+
+def _member(data: bytes) -> bytes:
+    step = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return step.compress(data) + step.flush()
 
 
-def _write(records: DataFrame, path: str, records_per_file: int) -> None:
-    records.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
+def _info(first: bytes) -> bytes:
+    """The ``warcinfo`` record of the file that starts with the page record ``first``."""
+    fields = b"software: tidewatch\r\nformat: WARC File Format 1.1\r\n"
+    head = f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:sha256:{hashlib.sha256(first).hexdigest()}>\r\nWARC-Date: {DATE}\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(fields)}\r\n\r\n"
+    return _member(head.encode() + fields + b"\r\n\r\n")
 
 
-def archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", *, min_bytes: int = MIN_BYTES, records_per_file: int = RECORDS_PER_FILE) -> None:
+def _files(records_per_file: int, file_bytes: int):
+    """Records -> rows of whole files, less the zero byte that ends each."""
+    def run(batches):
+        file, n = bytearray(), 0
+
+        def close() -> pa.RecordBatch:
+            nonlocal file, n
+            if file[-1]:
+                file += _member(b"")
+            del file[-1:]
+            row = pa.RecordBatch.from_arrays([pa.array([bytes(file)], pa.binary())], names=["file"])
+            file, n = bytearray(), 0
+            return row
+
+        for batch in batches:
+            for value in batch.column(0):
+                record = value.as_py()
+                if not n:
+                    file += _info(record)
+                file += _member(record)
+                n += 1
+                if n >= records_per_file or len(file) >= file_bytes:
+                    yield close()
+        if n:
+            yield close()
+
+    return run
+
+
+def _write(records: DataFrame, path: str, records_per_file: int, file_bytes: int) -> None:
+    files = records.mapInArrow(_files(records_per_file, file_bytes), "file binary").select(F.col("file").cast("string").alias("value"))
+    files.write.option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", 1).text(path)
+
+
+def archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", *, min_bytes: int = MIN_BYTES, records_per_file: int = RECORDS_PER_FILE, file_bytes: int = FILE_BYTES) -> None:
     """Write the pages to WARC files below ``path``: folder ``responses``, then ``revisits``."""
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     src = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     src = src.withColumns({"digest": F.sha2(F.col("payload").cast("binary"), 256), "big": F.octet_length("payload") >= min_bytes})
     first = src.where("big").groupBy("digest").agg(F.min(F.struct(F.col("page").isNull().alias("no_page"), "page", "url", "payload")).alias("r")).select("digest", "r.page", "r.url", "r.payload")
     none = F.lit(None).cast("long")
-    full = lambda df: df.select(_record("response", F.col("page"), F.col("url"), F.col("digest"), F.col("payload"), none, F.lit(0)))
-    _write(full(first.select("page", "url", "digest", "payload")).unionAll(full(src.where("NOT big").select("page", "url", "digest", "payload"))), f"{path}/responses", records_per_file)
+    full = lambda df, extra: df.select(_record("response", F.col("page"), F.col("url"), F.col("digest"), F.col("payload"), none, extra))
+    _write(full(first, F.lit(0)).unionAll(full(src.where("NOT big"), F.monotonically_increasing_id())), f"{path}/responses", records_per_file, file_bytes)
 
     # Revisits: headers join the responses as the archive has them.
     heads = src.where("big").groupBy("digest", "page").agg(F.count(F.lit(1)).alias("n"), F.min("url").alias("url"))
@@ -81,56 +138,64 @@ def archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str =
     original = written(read_records(pages.sparkSession, f"{path}/responses").where(F.col("payload_bytes") >= min_bytes).select(F.col("payload_digest").alias("digest"), F.col("page").alias("refers_to")), "warc-originals")
     rest = heads.join(original, "digest").withColumn("n", F.col("n") - F.col("page").eqNullSafe(F.col("refers_to")).cast("long")).where("n > 0")
     rest = rest.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
-    _write(rest.select(_record("revisit", F.col("page"), F.col("url"), F.col("digest"), F.lit(""), F.col("refers_to"), F.col("copy"))), f"{path}/revisits", records_per_file)
+    _write(rest.select(_record("revisit", F.col("page"), F.col("url"), F.col("digest"), F.lit(""), F.col("refers_to"), F.col("copy"))), f"{path}/revisits", records_per_file, file_bytes)
+
+
+def _inflated(content: bytes) -> Iterator[bytes]:
+    """The file's bytes in pieces, out of its gzip members if it has any."""
+    if content[:2] != b"\x1f\x8b":
+        yield from (content[at:at + PIECE] for at in range(0, len(content), PIECE))
+        return
+    at, step = 0, zlib.decompressobj(31)
+    while at < len(content):
+        piece = content[at:at + PIECE]
+        yield step.decompress(piece)
+        at += len(piece) - len(step.unused_data)
+        if step.eof:
+            step = zlib.decompressobj(31)
 
 
 def _parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, payload) of each record of a WARC file, gzipped or not."""
-    step, left = (zlib.decompressobj(47), content) if content[:2] == b"\x1f\x8b" else (None, content)
-    buffer = bytearray()
-
-    def more() -> bool:
-        nonlocal step, left
-        if not left:
-            return False
-        if step is None:
-            buffer.extend(left)
-            left = b""
-            return True
-        buffer.extend(step.decompress(left, 1 << 20))
-        left = step.unconsumed_tail
-        if step.eof:  # members may follow one another
-            left = step.unused_data
-            step = zlib.decompressobj(47)
-        return True
-
-    at = 0
+    """(headers, block) of each record of a WARC file, gzipped or not."""
+    pieces, buffer, at = _inflated(content), bytearray(), 0
     while True:
-        while (head := buffer.find(b"\r\n\r\n", at)) < 0:
-            if not more():
+        seen = at
+        while (head := buffer.find(b"\r\n\r\n", seen)) < 0:
+            seen = max(at, len(buffer) - 3)
+            if (piece := next(pieces, None)) is None:
                 if buffer[at:].strip():
                     raise ValueError("WARC file ends inside a record's headers")
                 return
+            buffer += piece
         fields = {}
         for line in buffer[at:head].decode("utf-8").split("\r\n")[1:]:
             name, _, value = line.partition(":")
             fields[name.strip().lower()] = value.strip()
         end = head + 4 + int(fields["content-length"])
         while len(buffer) < end + 4:
-            if not more():
+            if (piece := next(pieces, None)) is None:
                 raise ValueError("WARC file ends inside a record")
+            buffer += piece
         yield fields, bytes(memoryview(buffer)[head + 4:end])
         at = end + 4
-        if at > 4 << 20:
+        if at > PIECE:
             del buffer[:at]
             at = 0
 
 
+def _payload(fields: dict[str, str], block: bytes) -> bytes:
+    """What follows the HTTP headers; the whole block if it is no HTTP message."""
+    if not fields.get("content-type", "").startswith("application/http"):
+        return block
+    end = block.find(b"\r\n\r\n")
+    return b"" if end < 0 else block[end + 4:]
+
+
 _RECORD = pa.schema([("page", pa.int64()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("stated_digest", pa.string()), ("refers_to", pa.int64()), ("url", pa.string()), ("payload", pa.string())])
 
 
 def _page(urn: str | None):
-    if urn is None:
+    if urn is None or not urn.startswith("<urn:page:"):
         return None
     ident = urn.strip("<>").split(":")[2]
     return None if ident == "null" else int(ident)
@@ -143,7 +208,10 @@ def _records(with_payload: bool):
         for batch in batches:
             for content in batch.column("content"):
                 rows, size = [], 0
-                for head, payload in _parse(content.as_py()):
+                for head, block in _parse(content.as_py()):
+                    if head.get("warc-type") not in RECORD_TYPES:
+                        continue
+                    payload = _payload(head, block)
                     rows.append((_page(head.get("warc-record-id")), head.get("warc-type"), len(payload), hashlib.sha256(payload).hexdigest(), head.get("warc-payload-digest", "").removeprefix("sha256:"), _page(head.get("warc-refers-to")), head.get("warc-target-uri"), payload))
                     size += len(payload) if with_payload else 0
                     if size > 4 << 20 or len(rows) >= 8192:
@@ -175,12 +243,12 @@ def resolve(records: DataFrame) -> DataFrame:
     return own.unionAll(found.select("page", F.col("full_bytes").alias("payload_bytes"), F.col("stated_digest").alias("payload_digest"), "record_type", "refers_to"))
 
 
-def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", *, path: str | None = None, min_bytes: int = MIN_BYTES, records_per_file: int = RECORDS_PER_FILE) -> DataFrame:
+def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", *, path: str | None = None, min_bytes: int = MIN_BYTES, records_per_file: int = RECORDS_PER_FILE, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write the archives (below ``path``, else in the shared folder), read them back, resolve."""
     spark = pages.sparkSession
     path = path or scratch_path(spark, "warc")
     if exists(spark, path):
         raise FileExistsError(path)
-    archive(pages, path, id_col, url_col, payload_col, min_bytes=min_bytes, records_per_file=records_per_file)
+    archive(pages, path, id_col, url_col, payload_col, min_bytes=min_bytes, records_per_file=records_per_file, file_bytes=file_bytes)
     records = written(read_records(spark, f"{path}/responses", f"{path}/revisits"), "warc-records")
     return resolve(records)
