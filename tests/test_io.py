@@ -80,6 +80,17 @@ def test_seed_first_n_in_file_order(spark):
     assert [r["channel_id"] for r in seeds] == ids[:6] and seeds[0]["name"] == "n0"
 
 
+def test_landing_is_parsed_once(spark):
+    """The frames of a landing folder read its parsed items, not its text."""
+    root = scratch_path(spark, "json-once")
+    _write(spark, root, "f1", json.dumps(VIDEOS))
+    _write(spark, root, "f2", json.dumps(VIDEOS) + "\n[{")       # a line of its own, so the whole file goes
+    good, bad = LD.split_corrupt(LD.read_landing(spark, root, SCH.VIDEO_ITEM))
+    assert sorted(r["id"] for r in good.select("id").collect()) == ["v1", "v2"] and bad.count() == 1
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan and "FileScan text" not in plan and plan.count("FileScan parquet") == 2
+
+
 def test_missing_landing_folder_is_empty(spark):
     assert LD.read_videos_json(spark, scratch_path(spark, "none")).collect() == []
     assert LD.read_channels_json(spark, scratch_path(spark, "none"), multi_line=True).collect() == []

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from .. import schemas as SC
 from ..functions import scalar as S
 from ..operators.ordering import dedup_first
-from ..session import exists
+from ..session import exists, saved
 
 ITEM_ORDER = "_item_order"   # place of an item: file, block, page, position in the page
 
@@ -26,8 +26,10 @@ def read_landing(spark: SparkSession, path: str, schema, multi_line: bool = Fals
     of items; its item columns are NULL).
 
     Pages are read as text and parsed with ``from_json`` against an explicit
-    array schema: one page per line, or one page per file (``multi_line``). A
-    missing folder holds no items. ``ordered`` keeps each item's place.
+    array schema: one page per line, or one page per file (``multi_line``). They
+    are parsed once, into a Parquet table in the shared folder, as the split of
+    corrupt files asks for the items twice. A missing folder holds no items.
+    ``ordered`` keeps each item's place.
     """
     if not exists(spark, path):
         none = spark.createDataFrame([], "value string, _source_file string, _block long")
@@ -36,7 +38,7 @@ def read_landing(spark: SparkSession, path: str, schema, multi_line: bool = Fals
            .select("value", F.col("_metadata.file_path").alias("_source_file"),
                    F.col("_metadata.file_block_start").alias("_block")))
     items = parse_pages(txt, schema)
-    return items if ordered else items.drop(ITEM_ORDER)
+    return saved(items if ordered else items.drop(ITEM_ORDER), "landing-items")
 
 
 def parse_pages(pages: DataFrame, schema: T.StructType) -> DataFrame:
@@ -56,7 +58,8 @@ def parse_pages(pages: DataFrame, schema: T.StructType) -> DataFrame:
 
 def split_corrupt(raw: DataFrame):
     """S3: (good rows, corrupt rows with their file). A corrupt file is skipped
-    whole by dropping every row that came from it."""
+    whole by dropping every row that came from it. ``raw`` is a written table
+    (``read_landing``), of which the corrupt rows' two columns are read first."""
     bad = raw.where(F.col(SC.CORRUPT_COL).isNotNull())
     bad_files = bad.select("_source_file").distinct()
     good = raw.join(bad_files, "_source_file", "left_anti")
