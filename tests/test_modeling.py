@@ -171,6 +171,52 @@ def test_bootstrap_against_plain_lloyd(spark):
             assert np.allclose((m[:, None] * v).sum(0) / m.sum(), centers[it][c], atol=1e-5)
 
 
+def plain_em(v, w, means, reg=1e-6, tol=1e-3):
+    """EM on one machine, from the clusters around ``means``, with the density written out."""
+    k, d = means.shape
+    near = ((v[:, None] - means[None]) ** 2).sum(2).argmin(1)
+    share, before = np.eye(k)[near], -np.inf
+    while True:
+        a = share * w[:, None]
+        weights, means = a.sum(0) / a.sum(), (a.T @ v) / a.sum(0)[:, None]
+        covs = [((v - means[c]) * a[:, c:c + 1]).T @ (v - means[c]) / a[:, c].sum() + reg * np.eye(d) for c in range(k)]
+        dens = np.stack([weights[c] * np.exp(-0.5 * np.einsum("ni,ij,nj->n", v - means[c], np.linalg.inv(covs[c]), v - means[c]))
+                         / np.sqrt((2 * np.pi) ** d * np.linalg.det(covs[c])) for c in range(k)], 1)
+        now = (w * np.log(dens.sum(1))).sum() / w.sum()
+        share = dens / dens.sum(1, keepdims=True)
+        if abs(now - before) <= tol:
+            a = share * w[:, None]
+            means = (a.T @ v) / a.sum(0)[:, None]
+            return a.sum(0) / a.sum(), means, np.array([((v - means[c]) * a[:, c:c + 1]).T @ (v - means[c]) / a[:, c].sum() + reg * np.eye(d) for c in range(k)])
+        before = now
+
+
+def test_bootstrap_mixtures_against_plain_em(spark):
+    x, _ = blobs(n=150, d=3, centers=3, std=4.0, seed=8)               # overlapping, so that shares matter
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, v array<double>") \
+        .select("id", array_to_vector("v").alias("features")).repartition(4)
+    pts, mix, moving = MD.bootstrap_mixtures(df, "id", 3, n_iter=3, n_init=2, seed=7)
+    _, starts, _ = MD.bootstrap_kmeans(df, "id", 3, n_iter=3, n_init=2, seed=7)
+    rows = sorted((r["_id"], r["h"], r["v"]) for r in pts.collect())
+    h, v = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    w = MD.poisson_draws(h, np.arange(3), 7)
+    assert moving == 0
+    for it in range(3):
+        weights, means, covs = plain_em(v, w[:, it], starts[it])
+        assert np.allclose(mix.weights[it], weights, atol=1e-8) and np.allclose(mix.means[it], means, atol=1e-6)
+        assert np.allclose(mix.covs[it], covs, atol=1e-6)
+
+
+def test_bootstrap_mixtures_edges(spark):
+    """Equal points, fewer points than components, no points."""
+    for rows in ([(i, [1.0, 2.0]) for i in range(9)], [(0, [1.0, 2.0]), (1, [3.0, 1e6])], []):
+        df = spark.createDataFrame(rows, "id long, v array<double>").select("id", array_to_vector("v").alias("features"))
+        pts, mix, moving = MD.bootstrap_mixtures(df, "id", 3, n_iter=2, n_init=1)
+        assert moving == 0 and (mix is None) == (not rows) and pts.count() == len(rows)
+        if rows:
+            assert np.isfinite(mix.density()(np.array([r[1] for r in rows]))).all()
+
+
 def test_poisson_table_reaches_the_tail():
     cdf = MD._POISSON1_CDF
     assert len(cdf) > 15 and 1 - cdf[-1] <= 2.0 ** -53 and (np.diff(cdf) >= 0).all()

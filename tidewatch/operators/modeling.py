@@ -13,7 +13,7 @@
   which each pair meets once (no point-pair rows), which is what M6, M7 and M10
   choose and report by; ``method="squared_euclidean"`` is the closed form in O(n k).
 * M8 distance to the healthy centroid; M9 bootstrap confidence with Poisson(1)
-  weights from a hash of (id, iteration), all k-means refits in one Lloyd chain.
+  weights from a hash of (id, iteration), all refits in one chain of Lloyd or EM steps.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from ..functions import rules as R
 from ..functions import scalar as S
-from ..session import saved, scratch_path
+from ..session import saved
 from . import scoring as SC
 from .eda import long_form
 from .ordering import exact_quantiles, global_index, rank_in_groups
@@ -174,12 +174,9 @@ def fit_kmeans(df: DataFrame, k: int, seed: int = 42, n_init: int = 10, features
     return kmeans_fits(df, id_col, [k], n_init, seed, features)[k]
 
 
-def fit_gmm(df: DataFrame, k: int, seed: int = 42, features: str = "features",
-            weight_col: str | None = None) -> GaussianMixtureModel:
+def fit_gmm(df: DataFrame, k: int, seed: int = 42, features: str = "features") -> GaussianMixtureModel:
     gm = GaussianMixture(k=k, seed=seed, featuresCol=features, predictionCol="cluster_id",
                          probabilityCol="_prob", maxIter=100, tol=1e-3)
-    if weight_col:
-        gm = gm.setWeightCol(weight_col)
     return gm.fit(df)
 
 
@@ -676,16 +673,6 @@ def poisson_draws(ids: np.ndarray, iterations: np.ndarray, seed: int) -> np.ndar
     return np.searchsorted(_POISSON1_CDF, u, side="right").astype(float)
 
 
-def poisson_weight(id_col: str, iteration: int, seed: int) -> Column:
-    """The same kind of draw as a column, for refits that MLlib runs."""
-    h = F.xxhash64(F.col(id_col).cast("string"), F.lit(int(iteration)), F.lit(int(seed)))
-    u = (F.pmod(h, F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53)))
-    w = F.lit(len(_POISSON1_CDF))
-    for k in reversed(range(len(_POISSON1_CDF))):
-        w = F.when(u < F.lit(float(_POISSON1_CDF[k])), F.lit(k)).otherwise(w)
-    return w.cast("double")
-
-
 def _align(centers_ref: np.ndarray, centers_new: np.ndarray) -> dict[int, int]:
     """Map each refit cluster to its nearest base cluster."""
     out = {}
@@ -728,7 +715,8 @@ def _lloyd_step(centers: np.ndarray, refits: np.ndarray, iterations: np.ndarray
                     total[:, c, d] += wc.sum(0)
                     total[:, c, d + 1] += (wc * d2).sum(0)
         rr, cc = np.nonzero(total[:, :, d] > 0)
-        yield pd.DataFrame({"refit": refits[rr], "cl": cc, "sums": list(total[rr, cc])})
+        if len(rr):                                  # a task may have no rows, or none that weighs anything
+            yield pd.DataFrame({"refit": refits[rr], "cl": cc, "sums": list(total[rr, cc])})
     return run
 
 
@@ -795,16 +783,126 @@ def bootstrap_kmeans(x: DataFrame, id_col: str, k: int, n_iter: int, n_init: int
     return pts, centers[best], int(moving[best].sum())
 
 
-def _votes(centers: np.ndarray, names: np.ndarray):
+@dataclass
+class Mixtures:
+    """Gaussian mixtures with full covariances, one per refit: ``weights`` refits x k,
+    ``means`` refits x k x d, ``covs`` refits x k x d x d."""
+    weights: np.ndarray
+    means: np.ndarray
+    covs: np.ndarray
+
+    def density(self):
+        """Function rows -> log of weight times density, rows x refits x k."""
+        r, k, d = self.means.shape
+        half = np.linalg.inv(np.linalg.cholesky(self.covs))                # L^-1 of covariance L L'
+        base = np.log(np.maximum(self.weights, 1e-300)) + np.log(np.diagonal(half, axis1=2, axis2=3)).sum(2) - d / 2 * math.log(2 * math.pi)
+        shift = np.einsum("rkij,rkj->rki", half, self.means).reshape(1, -1)
+        turn = half.reshape(r * k * d, d).T
+
+        def log_density(v: np.ndarray) -> np.ndarray:
+            y = v @ turn - shift
+            return base[None] - 0.5 * (y * y).reshape(len(v), r, k, d).sum(3)
+        return log_density
+
+    def at(self, places: np.ndarray) -> Mixtures:
+        return Mixtures(self.weights[places], self.means[places], self.covs[places])
+
+    def put(self, places: np.ndarray, new: Mixtures) -> None:
+        self.weights[places], self.means[places], self.covs[places] = new.weights, new.means, new.covs
+
+
+def _moments(v: np.ndarray) -> np.ndarray:
+    """1, the entries and their products (upper triangle) of each row."""
+    i, j = np.triu_indices(v.shape[1])
+    return np.concatenate([np.ones((len(v), 1)), v, v[:, i] * v[:, j]], axis=1)
+
+
+def _em_step(mix: Mixtures, refits: np.ndarray, iterations: np.ndarray, seed: int, hard: bool):
+    """Task: weighted moments of its own rows per (refit, component), one row each, the
+    first component's with the refit's log-likelihood. ``hard``: a row belongs to its
+    likeliest component whole."""
+    def run(it):
+        r, k, d = mix.means.shape
+        log_density = mix.density()
+        total, likely = np.zeros((r * k, 1 + d + d * (d + 1) // 2)), np.zeros(r)
+        for pdf in it:
+            for at in range(0, len(pdf), BOOT_ROWS):
+                h, v = _rows_of(pdf, at, BOOT_ROWS)
+                w, lp = poisson_draws(h, iterations, seed), log_density(v)
+                if hard:
+                    share = (lp.argmax(2)[:, :, None] == np.arange(k)).astype(float)
+                else:
+                    top = lp.max(2, keepdims=True)
+                    share = np.exp(lp - top)
+                    sums = share.sum(2, keepdims=True)
+                    share /= sums
+                    likely += (w * (top + np.log(sums))[:, :, 0]).sum(0)
+                total += (w[:, :, None] * share).reshape(len(v), r * k).T @ _moments(v)
+        logs = np.zeros((r, k))
+        logs[:, 0] = likely
+        yield pd.DataFrame({"refit": np.repeat(refits, k), "cl": np.tile(np.arange(k), r), "sums": list(np.column_stack([total, logs.ravel()]))})
+    return run
+
+
+def _maximised(mix: Mixtures, sums: np.ndarray, reg: float) -> Mixtures:
+    """The mixtures of the moments (refits x k x moments); a component that no row
+    belongs to keeps its place with weight 0."""
+    r, k, d = mix.means.shape
+    n = sums[:, :, 0]
+    held = n > 10 * EPS64
+    div = np.where(held, n, 1.0)
+    means = np.where(held[:, :, None], sums[:, :, 1:1 + d] / div[:, :, None], mix.means)
+    second = np.zeros((r, k, d, d))
+    i, j = np.triu_indices(d)
+    second[:, :, i, j] = second[:, :, j, i] = sums[:, :, 1 + d:] / div[:, :, None]
+    size, axes = np.linalg.eigh(second - means[:, :, :, None] * means[:, :, None, :])
+    covs = (axes * (np.maximum(size, 0.0) + reg)[:, :, None, :]) @ axes.swapaxes(2, 3)   # no variance below 0 by rounding
+    return Mixtures(n / np.maximum(n.sum(1, keepdims=True), 1e-300), means, np.where(held[:, :, None, None], covs, mix.covs))
+
+
+def bootstrap_mixtures(x: DataFrame, id_col: str, k: int, n_iter: int, n_init: int = 5, seed: int = 42,
+                       tol: float = 1e-3, max_steps: int = 100, reg: float = 1e-6):
+    """All refits of a mixture bootstrap as one chain of jobs over the n rows.
+
+    A refit starts from its k-means (:func:`bootstrap_kmeans`, same weights). A step
+    sends all refits that still move to the tasks, each task adds up the weighted
+    moments of its rows, and only those (refits x k) are reduced. A refit ends when its
+    mean log-likelihood changes by ``tol`` at most. Returns (rows frame, mixtures,
+    refits that still moved after ``max_steps``)."""
+    pts, centers, _ = bootstrap_kmeans(x, id_col, k, n_iter, n_init, seed)
+    if not len(centers) or not centers.shape[2]:
+        return pts, None, 0
+    d = centers.shape[2]
+    mix = Mixtures(np.full((n_iter, k), 1 / k), centers, np.broadcast_to(np.eye(d), (n_iter, k, d, d)).copy())
+    before, moving, wide = np.full(n_iter, -np.inf), np.ones(n_iter, bool), 2 + d + d * (d + 1) // 2
+    for step in range(max_steps + 1):                # step 0 takes the k-means clusters as they are
+        live = np.flatnonzero(moving)
+        if not len(live):
+            break
+        own = mix.at(live)
+        rows = pts.select("h", "v").mapInPandas(_em_step(own, live, live, seed, step == 0), "refit int, cl int, sums array<double>")
+        rows = rows.groupBy("refit", "cl").agg(F.array(*[F.sum(F.get("sums", F.lit(m))) for m in range(wide)]).alias("t")).collect()
+        sums, place = np.zeros((len(live), k, wide)), {int(f): i for i, f in enumerate(live)}
+        for row in rows:                             # refits x k rows at most
+            sums[place[row["refit"]], row["cl"]] = row["t"]
+        mix.put(live, _maximised(own, sums[:, :, :-1], reg))
+        if step:
+            now = sums[:, 0, -1] / np.maximum(sums[:, :, 0].sum(1), 1e-300)
+            moving[live] = np.abs(now - before[live]) > tol
+            before[live] = now
+    return pts, mix, int(moving.sum())
+
+
+def _votes(cluster_of, names: np.ndarray):
     """Task: share of the most frequent cluster of each row over all refits;
-    ``names`` (refits x k) gives the id that a refit's cluster counts as."""
+    ``cluster_of`` (rows -> rows x refits) gives a row's cluster in each, ``names``
+    (refits x k) the id that a refit's cluster counts as."""
     def run(it):
         for pdf in it:
             conf = np.zeros(len(pdf))
             for at in range(0, len(pdf), BOOT_ROWS):
                 _, v = _rows_of(pdf, at, BOOT_ROWS)
-                near, _ = _nearest(v, centers)
-                voted = np.take_along_axis(np.broadcast_to(names, (len(v), *names.shape)), near[:, :, None], 2)[:, :, 0]
+                voted = np.take_along_axis(np.broadcast_to(names, (len(v), *names.shape)), cluster_of(v)[:, :, None], 2)[:, :, 0]
                 conf[at:at + len(v)] = np.stack([(voted == c).sum(1) for c in range(names.max() + 1)]).max(0) / len(names)
             yield pd.DataFrame({"_id": pdf["_id"], "confidence": conf})
     return run
@@ -815,7 +913,7 @@ def bootstrap_confidence(x: DataFrame, fitted: Fitted, id_col: str, n_iter: int
     """Per-row max share of a cluster over ``n_iter`` weighted refits,
     each the best of ``n_init`` starts of its own; 0.5 with one cluster or fewer.
 
-    k-means: :func:`bootstrap_kmeans`. Mixtures: one MLlib fit per iteration.
+    k-means: :func:`bootstrap_kmeans`; mixtures: :func:`bootstrap_mixtures`.
     ``align`` maps a refit's clusters to the nearest base centres; without it
     the refit's own cluster numbers are counted.
     Returns (id, confidence) and {stability_mean, stability_std, n_iter, n_unconverged}."""
@@ -827,29 +925,22 @@ def bootstrap_confidence(x: DataFrame, fitted: Fitted, id_col: str, n_iter: int
         conf = x.select(id_col, F.lit(0.5).alias("confidence"))
     elif fitted.model_type == "dbscan":
         conf = fitted.labels.select(id_col, F.when(F.col("cluster_id") != -1, 1.0).otherwise(0.0).alias("confidence"))
-    elif fitted.model_type == "kmeans":
-        ref = _centers(fitted)
-        pts, centers, unconverged = bootstrap_kmeans(x, id_col, fitted.k, n_iter, n_init, seed)
-        own = np.arange(fitted.k)
-        names = np.array([[_align(ref, c)[j] for j in own] if align else own for c in centers], dtype=int).reshape(-1, fitted.k)
+    else:
+        ref, own = _centers(fitted), np.arange(fitted.k)
+        if fitted.model_type == "kmeans":
+            pts, centers, unconverged = bootstrap_kmeans(x, id_col, fitted.k, n_iter, n_init, seed)
+            cluster_of = lambda v: _nearest(v, centers)[0]
+            numbers = [own for _ in centers]
+        else:
+            pts, mix, unconverged = bootstrap_mixtures(x, id_col, fitted.k, n_iter, n_init, seed)
+            centers = mix.means if mix is not None else np.zeros((0, fitted.k, 0))
+            log_density = mix.density() if mix is not None else None
+            cluster_of = lambda v: log_density(v).argmax(2)
+            numbers = [np.argsort(np.lexsort(c.T[::-1])) for c in centers]     # by their means' order, as predict has them
+        names = np.array([[_align(ref, c)[j] for j in own] if align else m for c, m in zip(centers, numbers)], dtype=int).reshape(-1, fitted.k)
         id_type = pts.schema["_id"].dataType.simpleString()
-        conf = pts.select("_id", "h", "v").mapInPandas(_votes(centers, names), f"_id {id_type}, confidence double") \
+        conf = pts.select("_id", "h", "v").mapInPandas(_votes(cluster_of, names), f"_id {id_type}, confidence double") \
             .withColumnRenamed("_id", id_col)
-    else:
-        ref, out = _centers(fitted), scratch_path(spark, "bootstrap")
-        base = x.select(id_col, "features").checkpoint(eager=True)
-        for it in range(n_iter):
-            wdf = base.withColumn("_w", poisson_weight(id_col, it, seed)).where(F.col("_w") > 0)
-            m = fit_gmm(wdf, fitted.k, seed + it, weight_col="_w")
-            pred = predict(m, base)
-            if align:
-                expr = F.lit(-1)
-                for a, b in _align(ref, _centers(Fitted(fitted.model_type, fitted.k, m))).items():
-                    expr = F.when(F.col("cluster_id") == a, F.lit(b)).otherwise(expr)
-                pred = pred.withColumn("cluster_id", expr)
-            pred.select(id_col, "cluster_id", F.lit(it).alias("iter")).write.mode("append").parquet(out)
-        cnt = spark.read.parquet(out).groupBy(id_col, "cluster_id").agg(F.count(F.lit(1)).alias("c"))
-        conf = cnt.groupBy(id_col).agg((F.max("c") / F.lit(float(n_iter))).alias("confidence"))
     st = conf.agg(F.avg("confidence").alias("m"), F.stddev_pop("confidence").alias("s")).collect()[0]
     return conf, {"stability_mean": None if st["m"] is None else float(st["m"]), "stability_std": float(st["s"] or 0.0), "n_iter": n_iter,
                   "n_unconverged": unconverged}
