@@ -126,3 +126,57 @@ def test_starts_are_rows_of_their_own():
         for i in range(init):
             places = MD.start_places(n, k, i, init, 42)
             assert len(set(places)) == k and 0 <= min(places) and max(places) < n
+
+
+def test_scattered_points_in_blocks(spark):
+    """Scattered points are compared in few pairs of blocks, not in pairs of cells, and the labels are exact."""
+    x = np.random.default_rng(11).normal(0, 1, (700, 3))
+    placed, boxes = MD.spatial_blocks(frame(spark, x).selectExpr("id AS uid").withColumn("vec", MD.F.array(*[MD.F.lit(0.0)] * 3)), ["uid"], 3, 100)
+    assert placed.groupBy("blk").count().agg({"count": "max"}).first()[0] <= 200      # identical points, still cut
+    pts = frame(spark, x).select("id", MD.vector_to_array("features").alias("vec"))
+    placed, boxes = MD.spatial_blocks(pts, ["id"], 3, 100)
+    sizes = [r["n"] for r in boxes.collect()]
+    assert sum(sizes) == 700 and max(sizes) <= 200 and len(sizes) <= 32
+    pairs = [(r.p, r.a, r.b) for r in MD.near_blocks(boxes, 0.5).collect()]
+    assert sorted(p for p, _, _ in pairs) == list(range(len(pairs)))
+    blk = {r["id"]: r["blk"] for r in placed.collect()}
+    met = {(a, b) for _, a, b in pairs}
+    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(2))
+    for i, j in zip(*np.nonzero(d <= 0.5)):
+        assert tuple(sorted((blk[i], blk[j]))) in met
+    grid = [(0.3, 2), (0.5, 5)]
+    out = MD.dbscan_grid(frame(spark, x), "id", grid=grid, chunk=200).collect()
+    for g, (eps, least) in enumerate(grid):
+        got = {r["id"]: r["cluster_id"] for r in out if r["g"] == g}
+        assert [got[i] for i in range(len(x))] == brute_dbscan(x, np.ones(len(x)), eps, least).tolist()
+
+
+def test_neighbours_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(MD, "CELL_CHUNK", 40)
+    x = np.concatenate([np.random.default_rng(4).normal(0, 0.4, (150, 4)), np.zeros((9, 4))])
+    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(2))
+    want = {(f"c{i}", f"c{j}") for i, j in zip(*np.nonzero(d <= 0.5)) if i != j}
+    df = frame(spark, x).selectExpr("'c' || id AS id", "features")
+    got = MD.eps_neighbours(df, "id", "features", 0.5).collect()
+    assert len(got) == len(want) and {(r["i"], r["j"]) for r in got} == want
+    assert all(r["distance"] == pytest.approx(d[int(r["i"][1:]), int(r["j"][1:])], abs=1e-12) for r in got)
+
+
+def test_silhouette_of_many_clusters(spark):
+    """A point has rows for its own cluster, clusters that blocks cut and one per block, not one per cluster."""
+    rng = np.random.default_rng(6)
+    x, lab = rng.normal(0, 1, (240, 3)), np.sort(rng.integers(0, 80, 240))
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    s = []
+    for i in range(len(x)):
+        own = lab == lab[i]
+        own[i] = False
+        a = d[i, own].mean() if own.any() else None
+        b = min(d[i, lab == c].mean() for c in set(lab) if c != lab[i])
+        s.append(0.0 if a is None else (b - a) / max(a, b))
+    df = spark.createDataFrame([(i, int(c), [float(v) for v in r]) for i, (r, c) in enumerate(zip(x, lab))], "id long, cluster_id int, features array<double>")
+    for size in (None, 50):
+        assert MD.silhouette(df, id_col="id", method="euclidean", block_size=size)[0] == pytest.approx(np.mean(s), abs=1e-9)
+    import pandas as pd
+    block = pd.DataFrame({"p": [0], "blk": [0], "cl": [lab], "ct": [np.array([(lab == c).sum() for c in lab])], "vec": [x.ravel()]})
+    assert len(MD._block_sums((0,), block)) <= 2 * len(x)
