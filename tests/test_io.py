@@ -118,3 +118,16 @@ def test_stream_keeps_items_without_id_and_second_checkpoints(spark):
             ST.stream_upsert(spark, f"{root}/{s}", SCH.VIDEO_ITEM, LD.flatten_videos, f"{root}/table", f"{root}/up-{s}", ["video_id"]).awaitTermination()
     assert sorted((r["video_id"], r["view_count"]) for r in spark.read.parquet(f"{root}/out").collect()) == [("", 2), ("v1", 1), ("v1", 3), ("v1", 4)]
     assert sorted((r["video_id"], r["view_count"]) for r in MG.read_current(spark, f"{root}/table").collect()) == [("", 2), ("v1", 4)]
+
+
+def test_landing_pages_are_parsed_and_shuffled_once(spark, tmp_path):
+    """A page is parsed by one expression, and landing it takes one exchange, of the tables' columns."""
+    from tidewatch.sources import landing_fixture as LF
+    pages = spark.createDataFrame([("[]", "f", 0), ('[{"id": "a"}, {"id": "b"}]', "f", 0), ("not json [", "g", 0), (" ", "h", 0)], "value string, _source_file string, _block long")
+    items = LD.parse_pages(pages, SCH.VIDEO_ITEM)
+    assert items._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert sorted((r["id"], r[SCH.CORRUPT_COL]) for r in items.collect() if r["id"]) == [("a", None), ("b", None)] and items.count() == 3
+    rows = spark.createDataFrame([(1, 2, "x"), (1, 1, "y"), (0, 5, None), (None, 1, "z")], "page long, o int, t string")
+    LF.write_pages(LF.Items(rows, ["o"], lambda r: LF.F.struct(r["t"].alias("t"), r["o"].alias("o"))), f"{tmp_path}/pages")
+    assert sorted(r[0] for r in spark.read.text(f"{tmp_path}/pages").collect()) == ['[{"o":5}]', '[{"t":"y","o":1},{"t":"x","o":2}]', '[{"t":"z","o":1}]']
+    assert list(tmp_path.glob("pages/*.gz")) and not list(tmp_path.glob("pages/*.txt"))

@@ -126,7 +126,7 @@ def merge_into(spark: SparkSession, base: str, updates: DataFrame, keys: Sequenc
     else:
         merged = latest_updates(u, keys, seq_col)
         merged = merged.drop(seq_col) if seq_col is not None else merged
-    merged.withColumn("bucket", bucket).repartition(buckets, "bucket").write.mode("overwrite").parquet(f"{base}/_staged")
+    merged.withColumn("bucket", bucket).repartitionById(buckets, F.col("bucket")).write.mode("overwrite").parquet(f"{base}/_staged")
     _overwrite(spark, base)
     return read_current(spark, base)
 

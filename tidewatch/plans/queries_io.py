@@ -60,16 +60,16 @@ FROM lineitem"""
 VID_ITEMS_SQL = _vid_items_sql()
 
 
-def landing(spark, sf_dir):
-    return LF.build_landing(spark, sf_dir)
+def landing(spark, sf_dir, *kinds):
+    return LF.build_landing(spark, sf_dir, kinds or LF.KINDS)
 
 
 def _raw_channels(spark, sf_dir):
-    return LD.read_landing(spark, f"{landing(spark, sf_dir)}/channels", SCH.CHANNEL_ITEM)
+    return LD.read_landing(spark, f"{landing(spark, sf_dir, 'channels')}/channels", SCH.CHANNEL_ITEM)
 
 
 def _raw_videos(spark, sf_dir):
-    return LD.read_landing(spark, f"{landing(spark, sf_dir)}/videos", SCH.VIDEO_ITEM)
+    return LD.read_landing(spark, f"{landing(spark, sf_dir, 'videos')}/videos", SCH.VIDEO_ITEM)
 
 
 @register("src_channels_json", f"""
@@ -81,7 +81,7 @@ SELECT id AS channel_id, CASE WHEN c_nationkey = 0 THEN NULL ELSE c_name END AS
 FROM ({CH_ITEMS_SQL}) i""")
 def q_src_channels_json(spark, sf_dir):
     """Nested channel JSON pages -> flat cleaning rows (broken file skipped)."""
-    return LD.read_channels_json(spark, f"{landing(spark, sf_dir)}/channels")
+    return LD.read_channels_json(spark, f"{landing(spark, sf_dir, 'channels')}/channels")
 
 
 @register("src_videos_json", f"""
@@ -89,7 +89,7 @@ SELECT video_id, channel_id, published_at, view_count, like_count, comment_count
 FROM ({VID_ITEMS_SQL}) v""")
 def q_src_videos_json(spark, sf_dir):
     """Nested video JSON -> flat rows (P4 durations, P5 times, P6 disabled comments)."""
-    return LD.read_videos_json(spark, f"{landing(spark, sf_dir)}/videos")
+    return LD.read_videos_json(spark, f"{landing(spark, sf_dir, 'videos')}/videos")
 
 
 @register("src_corrupt_files", f"""

@@ -49,9 +49,11 @@ def parse_pages(pages: DataFrame, schema: T.StructType) -> DataFrame:
         "value", "_source_file", F.struct(F.col("_source_file").alias("f"), F.col("_block").alias("b"),
                                           F.monotonically_increasing_id().alias("i")).alias("_page"),
         F.from_json("value", T.ArrayType(schema), {"mode": "PERMISSIVE"}).alias("_items"))
-    parsed = parsed.where(F.col("_items").isNull() | (F.size("_items") > 0))
+    # Empty pages go after the items are taken apart: a filter on the parsed array would be
+    # pushed below it and parse each page again.
     one = parsed.select("_source_file", "_page", F.when(F.col("_items").isNull(), F.col("value")).alias(SC.CORRUPT_COL),
                         F.posexplode_outer("_items").alias("_pos", "_item"))
+    one = one.where(F.col("_pos").isNotNull() | F.col(SC.CORRUPT_COL).isNotNull())
     return one.select(*[F.col(f"_item.{f.name}").alias(f.name) for f in schema.fields], SC.CORRUPT_COL, "_source_file",
                       F.struct("_page.*", F.col("_pos").alias("p")).alias(ITEM_ORDER))
 
