@@ -76,3 +76,11 @@ def test_parse_ts_fractions_and_offsets(spark):
     got = [r["v"] for r in df.select("i", S.parse_ts("t").cast("string").alias("v")).orderBy("i").collect()]
     t = "2024-06-15 10:20:30"
     assert got == [t, t, t + ".123456", t + ".123456", t, t, "2024-06-15 08:20:30.5", t + ".123456", "2024-06-15 00:00:00", None, None, None]
+
+
+def test_duration_matches_few_patterns(spark):
+    """A duration's text is taken apart once, not once for every number and use."""
+    df = spark.createDataFrame([("PT1H2M3S",), ("-P1W2DT3H4M5,9S",), ("+pt7.9s ",), ("PT",), ("P1DT",), ("x;y",), ("",), (None,)], "d string")
+    out = df.select(S.iso8601_duration_seconds("d").alias("s"))
+    assert [r["s"] for r in out.collect()] == [3723, -788645, 7, None, None, None, None, None]
+    assert str(out._jdf.queryExecution().analyzed()).count("(?:T(?:") <= 2
