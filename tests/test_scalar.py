@@ -84,3 +84,11 @@ def test_duration_matches_few_patterns(spark):
     out = df.select(S.iso8601_duration_seconds("d").alias("s"))
     assert [r["s"] for r in out.collect()] == [3723, -788645, 7, None, None, None, None, None]
     assert str(out._jdf.queryExecution().analyzed()).count("(?:T(?:") <= 2
+
+
+def test_api_times_are_cast(spark):
+    """The API's form of a time is cast without trying patterns; what is no time of that form stays null."""
+    texts = ["2000-02-29T23:59:59Z", "2000-02-30T00:00:00Z", "2001-01-01T24:00:00Z", "2001-01-01T00:00:00Z\n", " 2001-01-01T00:00:00Z "]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, d string").select("i", S.parse_ts("d").cast("string").alias("t"))
+    assert [str(r["t"]) for r in df.orderBy("i").collect()] == ["2000-02-29 23:59:59", "None", "None", "None", "2001-01-01 00:00:00"]
+    assert "substring(trim(d" in df._jdf.queryExecution().analyzed().toString()
