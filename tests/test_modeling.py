@@ -239,3 +239,35 @@ def test_silhouette_with_singleton_cluster(spark):
     assert val == pytest.approx(brute_silhouette(x, lab), abs=1e-12)
     val, _ = MD.silhouette(df, "vec", "label")
     assert val == pytest.approx(brute_silhouette(x, lab, squared=True), abs=1e-9)
+
+
+def test_selection_scores_all_labellings_in_one_chain(spark, monkeypatch):
+    x, _ = blobs(n=90, d=3, std=1.0, seed=3)
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "id long, vec array<double>")
+    df = df.select("id", array_to_vector("vec").alias("features")).checkpoint(eager=True)
+    calls, whole = [], MD.silhouettes
+    monkeypatch.setattr(MD, "silhouettes", lambda pts, rows: calls.append(rows) or whole(pts, rows, block_size=16))
+    grid = [(0.01, 2), (0.8, 2), (1.0, 5)]             # the first leaves nothing but noise
+    f = MD.select_best_model(df, "id", 2, 3, grid=grid, kinds=("kmeans",))
+    assert len(calls) == 1
+    fits = MD.kmeans_fits(df, "id", [2, 3])
+    want = []
+    for k in (2, 3):
+        lab = {r["id"]: r["cluster_id"] for r in fits[k].assign(df).collect()}
+        want.append((brute_silhouette(x, np.array([lab[i] for i in range(len(x))])), None))
+    for eps, ms in grid:
+        lab = brute_dbscan(x, eps, ms)
+        own = lab >= 0
+        want.append((brute_silhouette(x[own], lab[own]) if len(set(lab[own])) > 1 else 0.0, (~own).mean()))
+    for t, (sil, noise) in zip(f.trials, want, strict=True):
+        assert t["silhouette"] == pytest.approx(sil, abs=1e-9)
+        assert noise is None or t["noise_frac"] == pytest.approx(noise)
+
+
+def test_pairs_of_blocks_are_dealt_in_turn(spark):
+    """No task has two pairs while another has none, and there are no more tasks than pairs."""
+    blocks = spark.range(6).select(F.col("id").alias("blk"), F.array(F.col("id")).alias("uid"))
+    pairs = spark.createDataFrame([(p, p, p) for p in range(6)], "p long, a long, b long")
+    met = MD._meeting(blocks, pairs, ["uid"], 6)
+    per = [r[0] for r in met.groupBy(F.spark_partition_id()).agg(F.countDistinct("p")).select("count(DISTINCT p)").collect()]
+    assert met.rdd.getNumPartitions() <= 6 and per == [1] * 6
