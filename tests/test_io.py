@@ -131,3 +131,20 @@ def test_landing_pages_are_parsed_and_shuffled_once(spark, tmp_path):
     LF.write_pages(LF.Items(rows, ["o"], lambda r: LF.F.struct(r["t"].alias("t"), r["o"].alias("o"))), f"{tmp_path}/pages")
     assert sorted(r[0] for r in spark.read.text(f"{tmp_path}/pages").collect()) == ['[{"o":5}]', '[{"t":"y","o":1},{"t":"x","o":2}]', '[{"t":"z","o":1}]']
     assert list(tmp_path.glob("pages/*.gz")) and not list(tmp_path.glob("pages/*.txt"))
+
+
+def test_merge_rows_hold_a_file_number_and_keep_path_order(spark, monkeypatch):
+    """Of a key in several files the last file in path order wins, as text; the rows that a
+    merge sorts have the file's number, and a broken file's number leaves the others' order."""
+    from tidewatch.operators import merge as MG
+    from tidewatch.streaming import ingest as ST
+    root, kinds, whole = scratch_path(spark, "stream-order"), [], MG.merge_into
+    for name, views in (("p10", 1), ("p9", 2), ("p1", 3)):
+        _write(spark, f"{root}/in", name, f'[{{"id": "v", "statistics": {{"viewCount": "{views}"}}}}, {{"id": "{name}"}}]')
+    _write(spark, f"{root}/in", "p95", '[{"id": "v"')
+    monkeypatch.setattr(MG, "merge_into", lambda s, base, rows, *a, **k: kinds.append(rows.schema[ST.ITEM_ORDER].dataType["f"].dataType.simpleString()) or whole(s, base, rows, *a, **k))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    ST.stream_upsert(spark, f"{root}/in", SCH.VIDEO_ITEM, LD.flatten_videos, f"{root}/table", f"{root}/cp", ["video_id"]).awaitTermination()
+    got = {r["video_id"]: r["view_count"] for r in MG.read_current(spark, f"{root}/table").collect()}
+    assert got == {"v": 2, "p10": None, "p9": None, "p1": None}
+    assert kinds and set(kinds) <= {"bigint", "int"} and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
