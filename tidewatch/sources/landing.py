@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as SC
 from ..functions import scalar as S
-from ..operators.ordering import dedup_first
+from ..operators.ordering import dedup_first, global_index
 from ..session import exists, saved
 
 ITEM_ORDER = "_item_order"   # place of an item: file, block, page, position in the page
@@ -68,6 +68,15 @@ def split_corrupt(raw: DataFrame):
     return good, bad.select("_source_file", SC.CORRUPT_COL)
 
 
+def numbered_files(good: DataFrame, items: DataFrame) -> DataFrame:
+    """``good`` with the file's number in path order among ``items`` for its path in
+    ``ITEM_ORDER``: the same order, without a path in every row that is sorted and sent."""
+    files = saved(items.select("_source_file").distinct(), "landing-files")   # a row per file
+    files = F.broadcast(saved(global_index(files, ["_source_file"], index_col="_file"), "landing-files"))
+    place = F.struct(F.col("_file").alias("f"), *[F.col(f"{ITEM_ORDER}.{c}").alias(c) for c in ("b", "i", "p")])
+    return good.join(files, "_source_file").withColumn(ITEM_ORDER, place).drop("_file")
+
+
 def read_channels_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """S1 (cleaning projection): id, title, three counters as text->double, hidden flag."""
     raw, _ = split_corrupt(read_landing(spark, path, SC.CHANNEL_ITEM, multi_line))

@@ -111,7 +111,8 @@ def write_pages(items: Items, path: str) -> None:
     dealt = items.rows.repartitionByRange("page")
     pages = dealt.groupBy("page").agg(F.sort_array(F.collect_list(F.struct(*items.order, *rest))).alias("rows"))
     value = F.to_json(F.transform("rows", items.item))
-    pages.sortWithinPartitions("page").select(value.alias("value")).write.mode("overwrite").option("compression", "gzip").text(path)
+    pages.sortWithinPartitions("page").select(value.alias("value")).write.mode("overwrite") \
+        .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

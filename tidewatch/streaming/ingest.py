@@ -26,9 +26,8 @@ from pyspark.sql import types as T
 
 from .. import schemas as SC
 from ..operators import merge as MG
-from ..operators.ordering import global_index
-from ..session import saved, scratch_path
-from ..sources.landing import ITEM_ORDER, parse_pages, split_corrupt
+from ..session import scratch_path
+from ..sources.landing import ITEM_ORDER, numbered_files, parse_pages, split_corrupt
 
 
 def stream_id(checkpoint: str) -> str:
@@ -56,15 +55,6 @@ def _items(batch: DataFrame, item_schema: T.StructType) -> DataFrame:
 SPLIT_MB = 16   # of a merge's input per task: some hundred thousand items, whose sort stays in memory
 
 
-def _numbered_files(good: DataFrame, items: DataFrame) -> DataFrame:
-    """``good`` with the file's number in path order among ``items`` for its path in
-    ``ITEM_ORDER``: the same order, without a path in every row that a merge sorts and sends."""
-    files = saved(items.select("_source_file").distinct(), "stream-files")   # a row per file
-    files = F.broadcast(saved(global_index(files, ["_source_file"], index_col="_file"), "stream-files"))
-    place = F.struct(F.col("_file").alias("f"), *[F.col(f"{ITEM_ORDER}.{c}").alias(c) for c in ("b", "i", "p")])
-    return good.join(files, "_source_file").withColumn(ITEM_ORDER, place).drop("_file")
-
-
 def _sized_for_merge(session: SparkSession) -> None:
     """Settings of the stream's own session: smaller splits, and a writer for every
     bucket in place of a sort by bucket, so that a merge's tasks do not spill."""
@@ -107,7 +97,7 @@ def stream_upsert(spark: SparkSession, path: str, item_schema: T.StructType,
         _sized_for_merge(batch.sparkSession)
         items = _items(batch, item_schema)
         good, _ = split_corrupt(items)
-        rows = flatten(_numbered_files(good, items), ITEM_ORDER)
+        rows = flatten(numbered_files(good, items), ITEM_ORDER)
         MG.merge_into(batch.sparkSession, table_path, rows, keys, update_cols=update_cols, seq_col=ITEM_ORDER)
 
     w = pages.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
