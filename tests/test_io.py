@@ -148,3 +148,32 @@ def test_merge_rows_hold_a_file_number_and_keep_path_order(spark, monkeypatch):
     got = {r["video_id"]: r["view_count"] for r in MG.read_current(spark, f"{root}/table").collect()}
     assert got == {"v": 2, "p10": None, "p9": None, "p1": None}
     assert kinds and set(kinds) <= {"bigint", "int"} and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_a_run_parses_each_folder_once(spark, monkeypatch):
+    """Features and merges of a run read the same parsed items, and what they sort holds a
+    file's number; the first item of a repeated video counts in the features, the last is merged."""
+    import datetime as dt
+    from tidewatch.functions import scalar as S
+    from tidewatch.operators import scoring
+    from tidewatch.plans import raw_run as RR
+    root, read, kinds, whole = scratch_path(spark, "raw-run"), [], [], RR.dedup_first
+    _write(spark, f"{root}/channels", "f", json.dumps(CHANNELS))
+    again = [{**v, "statistics": {"viewCount": "9000"}} for v in VIDEOS]
+    _write(spark, f"{root}/videos", "p10", json.dumps(VIDEOS))
+    _write(spark, f"{root}/videos", "p9", json.dumps(again))
+    _write(spark, f"{root}/videos", "p95", "[{")
+    parse = LD.parse_pages
+    monkeypatch.setattr(LD, "parse_pages", lambda *a: read.append(1) or parse(*a))
+    monkeypatch.setattr(RR, "dedup_first", lambda df, *a, **k: kinds.append(df.schema[LD.ITEM_ORDER].dataType["f"].dataType.simpleString()) or whole(df, *a, **k))
+    ref = dt.datetime(2024, 6, 15)
+    items = RR.landed(spark, root)
+    feats = RR.raw_to_features(spark, root, ref, items=items)
+    a = feats.where(F.col("channel_id") == "UC" + "a" * 22).first()
+    assert feats.count() == 2 and a["upload_freq_30d"] == 2 / 30 and a["avg_engagement_rate"] == pytest.approx(0.4)
+    clusters = scoring.score_with_fixed_clusters(feats, F.length("channel_id") % 3, S.ts_lit(ref))
+    out = RR.load_all(spark, root, feats, clusters, f"{root}/tables", ref, items=items)
+    assert {r["table_name"]: (r["actual"], r["expected"]) for r in out.collect()} == {
+        "channels": (2, 2), "channel_snapshots": (2, 2), "videos": (2, 4), "creator_features": (2, 2), "creator_clusters": (2, 2)}
+    assert [r["view_count"] for r in spark.read.parquet(f"{root}/tables/videos").collect()] == [9000, 9000]
+    assert len(read) == 2 and set(kinds) == {"bigint"}

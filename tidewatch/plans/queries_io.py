@@ -167,9 +167,10 @@ def q_load_all(spark, sf_dir):
     """Landing rows, features and clusters merged into the five keyed
     tables; rows of each table against the rows that came in."""
     root = landing(spark, sf_dir)
-    feats = spark.read.parquet(SK.write_snapshot(RR.raw_to_features(spark, root, BD.B1.ref), scratch_path(spark, "load-features")))
+    items = RR.landed(spark, root)
+    feats = spark.read.parquet(SK.write_snapshot(RR.raw_to_features(spark, root, BD.B1.ref, items=items), scratch_path(spark, "load-features")))
     clusters = SC.score_with_fixed_clusters(feats, F.length("channel_id") % 3, S.ts_lit(BD.B1.ref))
-    return RR.load_all(spark, root, feats, clusters, scratch_path(spark, "tables"), AS_OF)
+    return RR.load_all(spark, root, feats, clusters, scratch_path(spark, "tables"), AS_OF, items=items)
 
 
 @register("src_parquet", """
