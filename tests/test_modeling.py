@@ -271,3 +271,38 @@ def test_pairs_of_blocks_are_dealt_in_turn(spark):
     met = MD._meeting(blocks, pairs, ["uid"], 6)
     per = [r[0] for r in met.groupBy(F.spark_partition_id()).agg(F.countDistinct("p")).select("count(DISTINCT p)").collect()]
     assert met.rdd.getNumPartitions() <= 6 and per == [1] * 6
+
+
+def test_starts_of_an_iteration_share_its_draws(monkeypatch):
+    """A task draws a row's weight once for an iteration, whatever starts it has, and its
+    sums are those of plain numpy; the fits' costs add up over their rows."""
+    rng, drawn = np.random.default_rng(4), []
+    v, h, centers = rng.normal(size=(70, 3)), rng.integers(0, 1 << 62, 70), rng.normal(size=(6, 2, 3))
+    centers[4, 1] = centers[4, 0]                                      # equally near: the first centre has all rows
+    its, draw = np.repeat(np.arange(2), 3), MD.poisson_draws
+    monkeypatch.setattr(MD, "poisson_draws", lambda h, it, seed: drawn.append(len(it)) or draw(h, it, seed))
+    pdf = pd.DataFrame({"h": h, "v": list(v)})
+    got = pd.concat(MD._lloyd_step(centers, np.arange(6) + 10, its, 7)(iter([pdf, pdf[:0]])))
+    assert set(drawn) == {2}
+    w = draw(h, np.arange(2), 7)[:, its]
+    d2 = ((v[:, None, None] - centers[None]) ** 2).sum(3)
+    near, cost = d2.argmin(2), np.zeros(6)
+    for r in got.itertuples():
+        f = r.refit - 10
+        m = w[:, f] * (near[:, f] == r.cl)
+        assert np.allclose(r.sums[:4], [*(m[:, None] * v).sum(0), m.sum()])
+        cost[f] += r.sums[4]
+    assert np.allclose(cost, (w * d2.min(2)).sum(0)) and len(got) == 11 and not len(got[(got.refit == 14) & (got.cl == 1)])
+
+
+def test_starts_are_the_rows_of_the_least_hash(spark):
+    """The rows that a refit begins at, wherever in the rows they lie."""
+    df = spark.range(0, 700, 1, 2).select("id", array_to_vector(F.array(F.col("id").cast("double"))).alias("features"))
+    pts, centers, _ = MD.bootstrap_kmeans(df, "id", 3, n_iter=2, n_init=2, seed=5, max_steps=0)
+    rows = sorted((r["_id"], r["h"]) for r in pts.collect())
+    with np.errstate(over="ignore"):
+        key = np.array([r[1] for r in rows]).astype(np.uint64)[:, None] ^ ((np.arange(4, dtype=np.uint64) + np.uint64(5)) * np.uint64(0xA24BAED4963EE407))[None]
+        key = (key ^ (key >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+        key ^= key >> np.uint64(32)
+    first = np.sort(np.argsort(key, axis=0)[:3].T, axis=1)
+    assert [sorted(c[:, 0].tolist()) for c in centers] == [first[0].tolist(), first[2].tolist()]   # of equal costs the first start
