@@ -2,6 +2,7 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -180,3 +181,25 @@ def test_silhouette_of_many_clusters(spark):
     import pandas as pd
     block = pd.DataFrame({"p": [0], "blk": [0], "cl": [lab], "ct": [np.array([(lab == c).sum() for c in lab])], "vec": [x.ravel()]})
     assert len(MD._block_sums((0,), block)) <= 2 * len(x)
+
+
+def test_distances_come_in_small_tiles(monkeypatch):
+    """Tiles of bounded size cover all pairs, with equal and close points exact, and a pair of
+    blocks sums to the same over any tiles, also where a cluster's rows lie in several."""
+    rng = np.random.default_rng(8)
+    a, b = rng.normal(0, 1, (53, 4)), rng.normal(0, 1, (17, 4))
+    b[3], b[4] = a[5], a[6] + 1e-9
+    cl = (np.sort(rng.integers(0, 5, 53)), np.sort(rng.integers(0, 5, 17)))
+    blocks = pd.DataFrame([{"p": 0, "blk": i, "cl": c, "ct": np.bincount(c)[c], "vec": v.ravel()} for i, (c, v) in enumerate(zip(cl, (a, b)))])
+    brute, found = np.sqrt(((a[:, None] - b[None]) ** 2).sum(2)), []
+    for cached, tile in ((1 << 16, 1 << 21), (40, 200), (1, 17)):
+        monkeypatch.setattr(MD, "CACHED", cached)
+        monkeypatch.setattr(MD, "TILE", tile)
+        d = np.zeros((53, 17))
+        for at, part in MD._distances(a, b):
+            assert part.size <= max(cached, 17)
+            d[at:at + len(part)] = part
+        assert np.allclose(d, brute, rtol=1e-9, atol=1e-12) and d[5, 3] == 0
+        rows = MD._block_sums((0,), blocks)
+        found.append(rows.fillna({"cl": -1}).groupby(["pid", "cl"]).agg({"dsum": "sum", "n": "sum", "least": "min"}).sort_index())
+    assert all(np.allclose(f.to_numpy(dtype=float), found[0].to_numpy(dtype=float), equal_nan=True) and (f.index == found[0].index).all() for f in found)
